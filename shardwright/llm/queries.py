@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, topk
+from . import langid, lm, topk
 from .common import table
 
 
@@ -29,11 +29,15 @@ WHERE rank <= 5
 """
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = langid.folds(table(spark, sf_dir, "documents"))
     model = langid.train(docs.filter("not held_out"))
     return langid.identify(docs, model, ["doc_id", "held_out"])
 
 
-QUERIES = {"op1_topk": op1_topk, "op7_language_id": op7_language_id}
+QUERIES = {"op1_topk": op1_topk, "op2_lm_score": op2_lm_score, "op7_language_id": op7_language_id}
 ORACLE = {"op1_topk": OP1_SQL}
