@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, lm, topk
+from . import langid, lm, ngram_join, topk
 from .common import table
 
 
@@ -39,5 +39,42 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model, ["doc_id", "held_out"])
 
 
-QUERIES = {"op1_topk": op1_topk, "op2_lm_score": op2_lm_score, "op7_language_id": op7_language_id}
-ORACLE = {"op1_topk": OP1_SQL}
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x09-\x0D\x20]+') AS w
+  FROM documents
+), k AS (
+  SELECT doc_id, array_to_string(w, ' ') AS key, len(w) AS n, w FROM t
+), c AS (
+  SELECT key, min(doc_id) AS copy_id, count(*) AS copies, any_value(n) AS n, any_value(w) AS w FROM k WHERE n > 0 GROUP BY key
+), g AS (
+  SELECT DISTINCT copy_id, unnest(list_transform(range(1, greatest(n - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS gram FROM c
+), s AS (
+  SELECT copy_id, count(*) AS size FROM g GROUP BY copy_id
+), p AS (
+  SELECT a.copy_id AS x, b.copy_id AS y, count(*) AS common
+  FROM g a JOIN g b ON a.gram = b.gram AND a.copy_id <> b.copy_id GROUP BY ALL
+), l AS (
+  SELECT x, y FROM p JOIN s a ON a.copy_id = x JOIN s b ON b.copy_id = y WHERE common >= 0.8 * (a.size + b.size - common) - 1e-9
+), r AS (
+  SELECT copy_id AS node, copy_id AS root FROM c
+  UNION
+  SELECT l.y, r.root FROM r JOIN l ON l.x = r.node
+), m AS (
+  SELECT node, min(root) AS class_id FROM r GROUP BY node
+), d AS (
+  SELECT x, sum(copies) AS links FROM l JOIN c ON c.copy_id = y GROUP BY x
+)
+SELECT k.doc_id, CASE WHEN k.n = 0 THEN k.doc_id ELSE c.copy_id END AS copy_id,
+       CASE WHEN k.n = 0 THEN k.doc_id ELSE m.class_id END AS class_id,
+       CAST(CASE WHEN k.n = 0 THEN 0 ELSE c.copies - 1 + coalesce(d.links, 0) END AS BIGINT) AS n_links
+FROM k LEFT JOIN c ON c.key = k.key AND k.n > 0 LEFT JOIN m ON m.node = c.copy_id LEFT JOIN d ON d.x = c.copy_id
+"""
+
+
+QUERIES = {"op1_topk": op1_topk, "op2_lm_score": op2_lm_score, "op7_language_id": op7_language_id, "op8_ngram_join": op8_ngram_join}
+ORACLE = {"op1_topk": OP1_SQL, "op8_ngram_join": OP8_SQL}
