@@ -63,10 +63,10 @@ def held_out(doc_id, modulus: int):
     return F.coalesce(F.crc32(doc_id.cast("string")) % modulus == 1, F.lit(False))
 
 
-def sum_blobs(df: DataFrame, dtype: str = "float64", fan_in: int = 64) -> np.ndarray | None:
+def sum_blobs(df: DataFrame, dtype: str = "float64", fan_in: int = 16) -> np.ndarray | None:
     """Element-wise sum of equally long vectors, one in each row's column `blob`.
 
-    Tasks add up streams of rows, so neither an executor nor the driver holds more than fan_in of them.
+    Tasks add up streams of rows, so the driver holds fan_in of them and a task one and a batch.
     """
 
     def add(batches):

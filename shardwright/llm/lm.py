@@ -4,7 +4,8 @@ Texts are lower-cased (A-Z only) and split at ASCII white space; every word is c
 a public tokenizer (its file is a parameter, read on the driver and shipped).  The model predicts the
 class of each next id from at most `WINDOW` earlier ones: one causal self-attention layer over learned
 embeddings, added to a prior of log bigram probabilities; an id's probability within its class is its
-relative frequency.  Frequent ids are classes of their own, the rest share bins of like frequency.
+relative frequency there after the last id's class.  Frequent ids are classes of their own, the rest
+share bins of like frequency.
 Windows overlap: each starts STRIDE positions after the last, and scores only the positions that no
 earlier window scored, so each token counts once and (but for the first) has WINDOW - STRIDE ids of
 context at least.
@@ -33,8 +34,8 @@ from pyspark.sql import functions as F
 from .common import as_bytes, held_out, materialise, sum_blobs
 
 TOKENIZER = os.environ.get("SHARDWRIGHT_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
-WINDOW, STRIDE, WIDTH = 64, 48, 16
-START, END, SINGLES, BINS = 0, 1, 180, 30
+WINDOW, STRIDE, WIDTH = 32, 24, 16
+START, END, SINGLES, BINS = 0, 1, 38, 12
 CLASSES = 2 + SINGLES + 2 * BINS
 #: Words at least this frequent, so at most 1 / HOT_SHARE of them, and at most HOT_BYTES long are shipped to every task; the rest meet their counts in a join.
 HOT_SHARE, HOT_BYTES = 2e-6, 64
@@ -93,41 +94,62 @@ def id_counts(words: DataFrame, model: bytes, n_ids: int) -> np.ndarray:
     return found if found is not None else np.zeros(n_ids)
 
 
-def classes(counts: np.ndarray, initial: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each id's class, and the log10 of its share of the class."""
+def classes(counts: np.ndarray, initial: np.ndarray) -> np.ndarray:
+    """Each id's class; START and END follow the ids."""
     order = np.argsort(-counts, kind="stable")
-    of = np.zeros(len(counts), np.uint8)
+    of = np.zeros(len(counts) + 2, np.uint8)
     of[order[:SINGLES]] = 2 + np.arange(len(order[:SINGLES]))
     for k in (0, 1):
         rest = order[SINGLES:][initial[order[SINGLES:]] == k]
         mass = np.cumsum(counts[rest] + 0.5)
         of[rest] = 2 + SINGLES + k * BINS + np.minimum(BINS - 1, (BINS * mass / max(mass[-1] if len(mass) else 1, 1)).astype(int))
-    total = np.bincount(of, counts + 0.5, minlength=CLASSES)
-    return of, np.log10((counts + 0.5) / total[of])
+    of[-2:] = START, END
+    return of
 
 
-def bigram_prior(words: DataFrame, model: bytes, of: np.ndarray, n_texts: int) -> np.ndarray:
-    """Log probability of the next class given the last one; across words the first class doesn't depend on it."""
+def id_bigrams(words: DataFrame, model: bytes, of: np.ndarray) -> dict[int, float]:
+    """class * number of ids + id -> how often the id follows the class within a word; after CLASSES stands a word's first id, after CLASSES + 1 its last.
+
+    At most (CLASSES + 2) times the tokenizer's ids, whatever the corpus.
+    """
+    n = len(of)
 
     def count(batches):
-        total = np.zeros((CLASSES + 2, CLASSES))  # the last two rows: of the first and of the last class of a word
+        own: Counter = Counter()
         for ids, c in tokenised(batches, pieces(model)):
+            last = CLASSES
+            for i in ids:
+                own[last * n + i] += c
+                last = int(of[i])
             if ids:
-                k = of[ids]
-                total[-2, k[0]] += c
-                total[-1, k[-1]] += c
-                for a, b in zip(k[:-1], k[1:], strict=True):
-                    total[a, b] += c
-        yield pa.RecordBatch.from_pydict({"blob": pa.array([total.tobytes()], pa.binary())})
-
-    found = sum_blobs(words.mapInArrow(count, "blob binary"))
-    total = found.reshape(CLASSES + 2, CLASSES) if found is not None else np.zeros((CLASSES + 2, CLASSES))
-    first = total[-2] + 0.1
-    first[END] += n_texts
-    first = first / first.sum()
-    table = total[:CLASSES] + np.outer(total[-1], first) + 2 * first
+                own[(CLASSES + 1) * n + ids[-1]] += c
+        yield pa.RecordBatch.from_pydict({"k": pa.array(list(own), pa.int64()), "c": pa.array(own.values(), pa.int64())})
+
+    found = words.mapInArrow(count, "k long, c long").groupBy("k").agg(F.sum("c").alias("c")).collect()
+    return {r["k"]: float(r["c"]) for r in found}
+
+
+def tables(counts: np.ndarray, bigrams: dict[int, float], of: np.ndarray, n_texts: int, weight: float = 5.0) -> tuple[np.ndarray, np.ndarray]:
+    """Log probability of the next class given the last one (across words it doesn't depend on it), and of an id within its class given the last class."""
+    n = len(of)
+    follow = np.zeros((CLASSES + 2, n))
+    if bigrams:
+        keys = np.fromiter(bigrams, np.int64, len(bigrams))
+        follow.ravel()[keys] = np.fromiter(bigrams.values(), float, len(bigrams))
+    by_class = np.zeros((CLASSES + 2, CLASSES))
+    for row in range(CLASSES + 2):
+        by_class[row] = np.bincount(of, follow[row], CLASSES)
+    first = by_class[CLASSES] + 0.1
+    first[START], first[END] = 0.01, n_texts + 0.1
+    first /= first.sum()
+    table = by_class[:CLASSES] + np.outer(by_class[CLASSES + 1], first) + 2 * first
     table[START] = first
-    return np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
+    prior = np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
+
+    own = np.concatenate([counts + 0.5, [1.0, 1.0]])
+    share = own / np.bincount(of, own, CLASSES)[of]
+    within = (follow[:CLASSES] + weight * share) / (by_class[:CLASSES][:, of] + weight)
+    return prior, np.log(within).astype(np.float32)
 
 
 # --- the attention model ---
@@ -150,6 +172,7 @@ def first_parameters(seed: int = 11) -> np.ndarray:
     p = np.random.default_rng(seed).normal(0, 0.3, SIZE).astype(np.float32)
     views(p)["W"][:] = 0  # starts as the prior
     views(p)["P"][:] *= 0.1
+    views(p)["Q"][:] *= 0.25
     return p
 
 
@@ -158,8 +181,7 @@ def forward(p: dict, x: np.ndarray, causal: np.ndarray):
     h = p["E"][x] + p["P"][: x.shape[1]]
     q, k, v = h @ p["Q"], h @ p["K"], h @ p["V"]
     a = q @ k.transpose(0, 2, 1)
-    a *= WIDTH**-0.5
-    np.clip(a, -30, 30, out=a)
+    np.minimum(a, 60, out=a)
     np.exp(a, out=a)
     a *= causal
     a /= a.sum(axis=2, keepdims=True)
@@ -167,16 +189,15 @@ def forward(p: dict, x: np.ndarray, causal: np.ndarray):
     return h + z @ p["O"], (h, q, k, v, a, z)
 
 
-def log_probabilities(p: dict, prior: np.ndarray, x: np.ndarray, targets: np.ndarray, scored: np.ndarray, causal: np.ndarray) -> np.ndarray:
-    """Natural log of each scored position's probability, in row order."""
-    y, _ = forward(p, x, causal)
+def log_probabilities(p: dict, odds: np.ndarray, prior: np.ndarray, x: np.ndarray, targets: np.ndarray, scored: np.ndarray) -> np.ndarray:
+    """Natural log of each scored position's probability, in row order.  odds: exp of prior."""
+    y, _ = forward(p, x, CAUSAL)
     last, to = x[scored], targets[scored]
     logits = y[scored] @ p["W"]
-    logits += prior[last]
-    np.clip(logits, -60, 60, out=logits)
-    own = logits[np.arange(len(to)), to].copy()
+    np.minimum(logits, 60, out=logits)
+    own = logits[np.arange(len(to)), to] + prior[last, to]
     np.exp(logits, out=logits)
-    return own - np.log(logits.sum(axis=1))
+    return own - np.log(np.einsum("ij,ij->i", logits, odds[last]))
 
 
 def gradients(flat: np.ndarray, prior: np.ndarray, x: np.ndarray, targets: np.ndarray, real: np.ndarray, causal: np.ndarray) -> tuple[np.ndarray, float]:
@@ -201,7 +222,7 @@ def gradients(flat: np.ndarray, prior: np.ndarray, x: np.ndarray, targets: np.nd
     dz = dy @ p["O"].T
     da = dz @ v.transpose(0, 2, 1)
     dv = a.transpose(0, 2, 1) @ dz
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * np.float32(WIDTH**-0.5)
+    ds = a * (da - (da * a).sum(axis=2, keepdims=True))
     dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
     dh = dy + dq @ p["Q"].T + dk @ p["K"].T + dv @ p["V"].T
     for name, part in (("Q", dq), ("K", dk), ("V", dv)):
@@ -258,24 +279,22 @@ def average(windows: DataFrame, flat: np.ndarray, prior: np.ndarray, rate: float
 
 
 class Spelling(dict):
-    """word -> its classes as bytes; shares holds the log10 of the ids' shares of their classes."""
+    """word -> its ids as bytes of 16-bit numbers."""
 
-    def __init__(self, model: bytes, of: np.ndarray, share: np.ndarray, most: int = 500_000):
+    def __init__(self, model: bytes, n: int, most: int = 500_000):
         super().__init__()
-        self.sp, self.of, self.share, self.most, self.shares = pieces(model), of, share, most, {}
+        self.sp, self.most = pieces(model), most
+        self.start, self.end = (np.array([n - 2 + k], np.uint16).tobytes() for k in (0, 1))
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.sp.encode(word.decode("utf-8", "replace"))
-        self.shares[word] = float(self.share[ids].sum()) if ids else 0.0
-        self[word] = out = self.of[ids].tobytes() if ids else b""
+        self[word] = out = np.array(self.sp.encode(word.decode("utf-8", "replace")), np.uint16).tobytes()
         return out
 
     def text(self, words: list[bytes]) -> np.ndarray:
-        """START, the classes of the words, END."""
+        """The ids of START, the words and END."""
         if len(self) > self.most:
             self.clear()
-            self.shares.clear()
-        return np.frombuffer(b"\x00" + b"".join(map(self.__getitem__, words)) + b"\x01", np.uint8)
+        return np.frombuffer(self.start + b"".join(map(self.__getitem__, words)) + self.end, np.uint16)
 
 
 def cut(seq: np.ndarray) -> np.ndarray:
@@ -294,33 +313,30 @@ def scored_positions(n: int, length: int) -> np.ndarray:
     return own
 
 
-def score_sequences(flat: np.ndarray, prior: np.ndarray, sequences, chunk: int = 192) -> np.ndarray:
+def score_sequences(flat: np.ndarray, prior: np.ndarray, sequences, chunk: int = 384) -> np.ndarray:
     """Natural log probability of each sequence of classes."""
-    p, out = views(flat), []
+    p, odds = views(flat), np.exp(prior)
+    totals = np.zeros(len(sequences))
     held, masks, owners, waiting = [], [], [], 0
 
     def run():
         w, mask, own = np.concatenate(held), np.concatenate(masks), np.concatenate(owners)
-        lp = log_probabilities(p, prior, w[:, :-1], w[:, 1:], mask, CAUSAL)
-        np.add.at(totals, np.repeat(own, mask.sum(axis=1)), lp)
+        lp = log_probabilities(p, odds, prior, w[:, :-1], w[:, 1:], mask)
+        totals[:] += np.bincount(np.repeat(own, mask.sum(axis=1)), lp, len(totals))
 
-    totals = np.zeros(len(sequences))
     for i, seq in enumerate(sequences):
-        windows, mask = cut(seq), None
+        windows = cut(seq)
+        mask = scored_positions(len(windows), len(seq))
         for at in range(0, len(windows), chunk):
-            part = windows[at : at + chunk]
-            if mask is None:
-                mask = scored_positions(len(windows), len(seq))
-            held.append(part)
+            held.append(windows[at : at + chunk])
             masks.append(mask[at : at + chunk])
-            owners.append(np.full(len(part), i))
-            waiting += len(part)
+            owners.append(np.full(len(held[-1]), i))
+            waiting += len(held[-1])
             if waiting >= chunk:
                 run()
                 held, masks, owners, waiting = [], [], [], 0
     if waiting:
         run()
-    del out
     return totals
 
 
@@ -328,7 +344,7 @@ def score_sequences(flat: np.ndarray, prior: np.ndarray, sequences, chunk: int =
 class Model:
     tokenizer: bytes
     of: np.ndarray
-    share: np.ndarray
+    within: np.ndarray
     prior: np.ndarray
     flat: np.ndarray
     hot: dict[bytes, int]
@@ -337,7 +353,7 @@ class Model:
     n_texts: int
 
 
-def train(texts: DataFrame, tokenizer: str = TOKENIZER, every: int = 32, rounds: int = 3) -> tuple[Model, DataFrame]:
+def train(texts: DataFrame, tokenizer: str = TOKENIZER, every: int = 32, rounds: int = 2) -> tuple[Model, DataFrame]:
     """The model, and the table of training words with their counts.  texts: a column text."""
     spark = texts.sparkSession
     raw = open(tokenizer, "rb").read()
@@ -348,19 +364,21 @@ def train(texts: DataFrame, tokenizer: str = TOKENIZER, every: int = 32, rounds:
     n_texts = texts.count()
     n, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     n, distinct = n + n_texts, distinct + (n_texts > 0)
-    of, share = classes(id_counts(words, raw, n_ids), initial)
-    prior = bigram_prior(words, raw, of, n_texts)
+    counts = id_counts(words, raw, n_ids)
+    of = classes(counts, initial)
+    prior, within = tables(counts, id_bigrams(words, raw, of), of, n_texts)
     hot = {bytes(w): c for w, c in words.filter((F.col("c") >= HOT_SHARE * n) & (F.length("word") <= HOT_BYTES)).collect()}
-    shipped = spark.sparkContext.broadcast((raw, of, share))
+    shipped = spark.sparkContext.broadcast((raw, of))
 
     def pick(batches):
         import zlib
 
-        spell = Spelling(*shipped.value)
+        raw, of = shipped.value
+        spell = Spelling(raw, len(of))
         for batch in batches:
             out = []
             for text in as_bytes(batch.column(0)):
-                windows = cut(spell.text(words_of(text)))
+                windows = cut(of[spell.text(words_of(text))])
                 out += [w.tobytes() for w in windows[zlib.crc32(text) % every :: every]]
             yield pa.RecordBatch.from_pydict({"w": pa.array(out, pa.binary())})
 
@@ -368,7 +386,7 @@ def train(texts: DataFrame, tokenizer: str = TOKENIZER, every: int = 32, rounds:
     flat = first_parameters()
     for r in range(rounds):
         flat = average(windows, flat, prior, 0.02 / (1 + r))
-    return Model(raw, of, share, prior, flat, hot, n, distinct, n_texts), words
+    return Model(raw, of, within, prior, flat, hot, n, distinct, n_texts), words
 
 
 def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
@@ -380,20 +398,21 @@ def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
         from pyspark import TaskContext
 
         m = shipped.value
-        spell = Spelling(m.tokenizer, m.of, m.share)
+        spell = Spelling(m.tokenizer, len(m.of))
         whole = m.n + 0.5 * (m.distinct + 1)
         hot = {w: (c, float(np.log10((c + 0.5) / whole))) for w, c in m.hot.items()}
         unseen, end = float(np.log10(0.5 / whole)), float(np.log10((m.n_texts + 0.5) / whole))
         uid = TaskContext.get().partitionId() << 33
         for batch in batches:
-            uids, tokens, known, base, shares, sequences = [], [], [], [], [], []
+            uids, tokens, known, base, within, sequences = [], [], [], [], [], []
             cold, times, offsets = [], [], [0]
             for text in as_bytes(batch.column(2)):
                 words = words_of(text)
-                sequences.append(spell.text(words))
-                k, b, s = int(m.n_texts > 0), end, 0.0
+                ids = spell.text(words)
+                sequences.append(m.of[ids])
+                within.append(float(m.within[sequences[-1][:-1], ids[1:]].sum(dtype=float)))
+                k, b = int(m.n_texts > 0), end
                 for word, tf in Counter(words).items():
-                    s += tf * spell.shares[word]
                     if found := hot.get(word):
                         k += tf
                         b += tf * found[1]
@@ -407,12 +426,11 @@ def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
                 tokens.append(len(words) + 1)
                 known.append(k)
                 base.append(b)
-                shares.append(s)
             lp = score_sequences(m.flat, m.prior, sequences)
             at = pa.array(offsets, pa.int32())
             yield pa.RecordBatch.from_arrays([
                 pa.array(uids, pa.int64()), batch.column(0), batch.column(1), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-                pa.array(lp / LOG10 + np.array(shares), pa.float64()), pa.ListArray.from_arrays(at, pa.array(cold, pa.binary())), pa.ListArray.from_arrays(at, pa.array(times, pa.int32())),
+                pa.array((lp + np.array(within)) / LOG10, pa.float64()), pa.ListArray.from_arrays(at, pa.array(cold, pa.binary())), pa.ListArray.from_arrays(at, pa.array(times, pa.int32())),
             ], names=[x.split()[0] for x in schema.split(", ")])
 
     rows = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "text").mapInArrow(run, schema), "lm-scores")

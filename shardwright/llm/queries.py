@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, lm, ngram_join, topk
+from . import decontaminate, langid, lm, mixing, ngram_join, secrets, topk
 from .common import table
 
 
@@ -33,6 +33,15 @@ def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "lang", "n_tokens", "keep_probability", "mix_weight")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = langid.folds(table(spark, sf_dir, "documents"))
     model = langid.train(docs.filter("not held_out"))
@@ -76,5 +85,9 @@ FROM k LEFT JOIN c ON c.key = k.key AND k.n > 0 LEFT JOIN m ON m.node = c.copy_i
 """
 
 
-QUERIES = {"op1_topk": op1_topk, "op2_lm_score": op2_lm_score, "op7_language_id": op7_language_id, "op8_ngram_join": op8_ngram_join}
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_topk, op2_lm_score, op5_secret_scan, op6_mixing, op7_language_id, op8_ngram_join, op9_decontamination)}
 ORACLE = {"op1_topk": OP1_SQL, "op8_ngram_join": OP8_SQL}
