@@ -23,6 +23,7 @@ Texts of any length are scored window by window.
 from __future__ import annotations
 
 import os
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 
@@ -286,14 +287,13 @@ class Spelling(dict):
         self.sp, self.most = pieces(model), most
         self.start, self.end = (np.array([n - 2 + k], np.uint16).tobytes() for k in (0, 1))
 
-    def __missing__(self, word: bytes) -> bytes:
-        self[word] = out = np.array(self.sp.encode(word.decode("utf-8", "replace")), np.uint16).tobytes()
-        return out
-
-    def text(self, words: list[bytes]) -> np.ndarray:
-        """The ids of START, the words and END."""
+    def text(self, words: list[bytes], distinct=None) -> np.ndarray:
+        """The ids of START, the words and END.  distinct: the words without repeats, where known."""
         if len(self) > self.most:
             self.clear()
+        if new := [w for w in (set(words) if distinct is None else distinct) if w not in self]:
+            for word, ids in zip(new, self.sp.encode([w.decode("utf-8", "replace") for w in new], num_threads=1), strict=True):
+                self[word] = array("H", ids).tobytes()
         return np.frombuffer(self.start + b"".join(map(self.__getitem__, words)) + self.end, np.uint16)
 
 
@@ -408,11 +408,12 @@ def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
             cold, times, offsets = [], [], [0]
             for text in as_bytes(batch.column(2)):
                 words = words_of(text)
-                ids = spell.text(words)
+                times_of = Counter(words)
+                ids = spell.text(words, times_of)
                 sequences.append(m.of[ids])
                 within.append(float(m.within[sequences[-1][:-1], ids[1:]].sum(dtype=float)))
                 k, b = int(m.n_texts > 0), end
-                for word, tf in Counter(words).items():
+                for word, tf in times_of.items():
                     if found := hot.get(word):
                         k += tf
                         b += tf * found[1]
