@@ -36,7 +36,9 @@ from .common import as_bytes, held_out, materialise, sum_blobs
 
 TOKENIZER = os.environ.get("SHARDWRIGHT_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 WINDOW, STRIDE, WIDTH = 32, 24, 16
-START, END, SINGLES, BINS = 0, 1, 38, 12
+START, END, SINGLES, BINS = 0, 1, 180, 30
+#: Scored positions whose class probabilities are worked out at once.
+HEAD = 256
 CLASSES = 2 + SINGLES + 2 * BINS
 #: Words at least this frequent, so at most 1 / HOT_SHARE of them, and at most HOT_BYTES long are shipped to every task; the rest meet their counts in a join.
 HOT_SHARE, HOT_BYTES = 2e-6, 64
@@ -193,12 +195,16 @@ def forward(p: dict, x: np.ndarray, causal: np.ndarray):
 def log_probabilities(p: dict, odds: np.ndarray, prior: np.ndarray, x: np.ndarray, targets: np.ndarray, scored: np.ndarray) -> np.ndarray:
     """Natural log of each scored position's probability, in row order.  odds: exp of prior."""
     y, _ = forward(p, x, CAUSAL)
-    last, to = x[scored], targets[scored]
-    logits = y[scored] @ p["W"]
-    np.minimum(logits, 60, out=logits)
-    own = logits[np.arange(len(to)), to] + prior[last, to]
-    np.exp(logits, out=logits)
-    return own - np.log(np.einsum("ij,ij->i", logits, odds[last]))
+    y, last, to = y[scored], x[scored], targets[scored]
+    out = prior[last, to]
+    for at in range(0, len(to), HEAD):  # few enough rows to stay in the cache
+        rows = slice(at, at + HEAD)
+        logits = y[rows] @ p["W"]
+        np.minimum(logits, 60, out=logits)
+        out[rows] += logits[np.arange(len(logits)), to[rows]]
+        np.exp(logits, out=logits)
+        out[rows] -= np.log(np.einsum("ij,ij->i", logits, odds[last[rows]]))
+    return out
 
 
 def gradients(flat: np.ndarray, prior: np.ndarray, x: np.ndarray, targets: np.ndarray, real: np.ndarray, causal: np.ndarray) -> tuple[np.ndarray, float]:
@@ -313,7 +319,7 @@ def scored_positions(n: int, length: int) -> np.ndarray:
     return own
 
 
-def score_sequences(flat: np.ndarray, prior: np.ndarray, sequences, chunk: int = 384) -> np.ndarray:
+def score_sequences(flat: np.ndarray, prior: np.ndarray, sequences, chunk: int = 64) -> np.ndarray:
     """Natural log probability of each sequence of classes."""
     p, odds = views(flat), np.exp(prior)
     totals = np.zeros(len(sequences))
