@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, langid, lm, mixing, ngram_join, secrets, topk
+from . import chat, decontaminate, langid, licenses, lm, mixing, ngram_join, pii, secrets, topk
 from .common import table
 
 
@@ -33,6 +33,14 @@ def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_pii(table(spark, sf_dir, "documents"), key="shardwright", keep=["doc_id", "text"])
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -99,5 +107,22 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(rows.unionByName(own))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_lm_score, op5_secret_scan, op6_mixing, op7_language_id, op8_ngram_join, op9_decontamination, op10_chat_format)}
-ORACLE = {"op1_topk": OP1_SQL, "op8_ngram_join": OP8_SQL}
+OP10_SQL = r"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), e AS (
+  SELECT *, regexp_replace(role, '([<\[])(\\*)(\|[^|<>\[\]\s]{1,32}\|>|/?s>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g') AS er,
+         regexp_replace(text, '([<\[])(\\*)(\|[^|<>\[\]\s]{1,32}\|>|/?s>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g') AS et FROM r
+)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+       CAST(sum(23 + length(er) + length(et)) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+QUERIES = {f.__name__: f for f in (op1_topk, op2_lm_score, op3_license_scan, op4_pii_surrogates, op5_secret_scan, op6_mixing, op7_language_id, op8_ngram_join, op9_decontamination, op10_chat_format)}
+ORACLE = {"op1_topk": OP1_SQL, "op8_ngram_join": OP8_SQL, "op10_chat_format": OP10_SQL}
