@@ -39,35 +39,33 @@ WORD, NUM, UNIT, NAME = 0, 1, 2, 3
 
 
 class Vocabulary(dict):
-    """word -> number; arrays tell each number's literal hash, kind, and whether it is capitalised, ends a sentence or is empty."""
+    """word -> number; arrays tell each number's literal hash, kind, whether it is capitalised (1) or a unit (2), and whether it ends a sentence.
 
-    def __init__(self):
+    The arrays double in size when full, so a new word costs no copy of them.
+    """
+
+    def __init__(self, size: int = 1 << 12):
         super().__init__()
         self.units, self.names = frozenset(UNITS), frozenset(NAMES)
-        self.literal, self.kind, self.capital, self.ends = [], [], [], []
-        self.seen = 0
+        self.literal, self.kind, self.marks, self.ends = np.zeros(size, np.uint64), np.zeros(size, np.int8), np.zeros(size, np.int8), np.zeros(size, bool)
 
     def __missing__(self, raw: bytes) -> int:
+        n = len(self)
+        if n == len(self.kind):
+            self.literal, self.kind, self.marks, self.ends = (np.concatenate([a, np.zeros_like(a)]) for a in (self.literal, self.kind, self.marks, self.ends))
         word = raw.decode("utf-8", "replace")
         core = word.strip("\"'()[]{}<>.,;:!?*#$%&_|=+-/\\`~“”‘’«»…")
         low = core.lower()
         kind = -1 if not core else NUM if NUMBER.fullmatch(core) else NAME if core.istitle() and low in self.names else WORD
-        self.literal.append(xxhash.xxh3_64_intdigest(low))
-        self.kind.append(kind)
-        self.capital.append((1 if kind == WORD and core.istitle() else 0) | (2 if low in self.units else 0))
-        self.ends.append(word.rstrip("\"')]”’»")[-1:] in ".!?:")
-        self[raw] = out = len(self.kind) - 1
-        return out
-
-    def arrays(self):
-        if self.seen != len(self.kind):
-            self.seen = len(self.kind)
-            self.own = np.array(self.literal, np.uint64), np.array(self.kind, np.int8), np.array(self.capital, np.int8), np.array(self.ends, bool)
-        return self.own
+        self.literal[n] = xxhash.xxh3_64_intdigest(low)
+        self.kind[n] = kind
+        self.marks[n] = (kind == WORD and core.istitle()) | 2 * (low in self.units)
+        self.ends[n] = word.rstrip("\"')]”’»")[-1:] in ".!?:"
+        self[raw] = n
+        return n
 
     def bound(self, most: int = 1_000_000) -> None:
         if len(self) > most:
-            self.__init__()
             self.clear()
 
 
@@ -79,13 +77,13 @@ def template(text: bytes, words: Vocabulary) -> tuple[np.ndarray, np.ndarray, np
     split = text.split()
     words.bound()
     number = np.fromiter(map(words.__getitem__, split), np.int64, len(split))
-    literal, kind, capital, ends = (a[number] for a in words.arrays()) if len(split) else (np.zeros(0, t) for t in (np.uint64, np.int8, np.int8, bool))
+    literal, kind, marks, ends = words.literal[number], words.kind[number], words.marks[number], words.ends[number]
     start = np.concatenate([[True], ends[:-1]]) if len(split) else ends
     at = np.flatnonzero(kind >= 0)
-    kind = np.where((kind == WORD) & (capital & 1 > 0) & ~start, NAME, kind)[at]
-    literal, capital = literal[at], capital[at]
+    kind = np.where((kind == WORD) & (marks & 1 > 0) & ~start, NAME, kind)[at]
+    literal, marks = literal[at], marks[at]
     after_number = np.concatenate([[False], kind[:-1] == NUM]) if len(at) else np.zeros(0, bool)
-    kind = np.where(after_number & (capital & 2 > 0), UNIT, kind)
+    kind = np.where(after_number & (marks & 2 > 0), UNIT, kind)
     return np.where(kind == WORD, literal, _PLACE[kind]), literal, kind, at
 
 
