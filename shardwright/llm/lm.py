@@ -11,8 +11,8 @@ earlier window scored, so each token counts once and (but for the first) has WIN
 context at least.
 
 What comes from the corpus covers all of it: word counts, id and bigram frequencies come from every
-training text.  Attention is trained on one in `every` windows of every training text, so on windows
-in proportion to the corpus: tasks train on their own windows from common parameters, which are then
+training text.  Attention is trained on windows at one in `every` blocks of words of every training text,
+so on windows in proportion to the corpus: tasks train on their own windows from common parameters, which are then
 averaged, `rounds` times.
 
 Cases: a null text is empty and holds only its end.  Any id may repeat or be null (null: a training
@@ -22,7 +22,9 @@ Texts of any length are scored window by window.
 
 from __future__ import annotations
 
+import itertools
 import os
+import zlib
 from array import array
 from collections import Counter
 from dataclasses import dataclass
@@ -37,6 +39,8 @@ from .common import as_bytes, held_out, materialise, sum_blobs
 TOKENIZER = os.environ.get("SHARDWRIGHT_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 WINDOW, STRIDE, WIDTH = 32, 24, 16
 START, END, SINGLES, BINS = 0, 1, 180, 30
+#: Training windows start at every BLOCK-th word that is chosen; TEXTS texts are scored at a time.
+BLOCK, TEXTS = 10, 128
 #: Scored positions whose class probabilities are worked out at once.
 HEAD = 256
 CLASSES = 2 + SINGLES + 2 * BINS
@@ -293,13 +297,16 @@ class Spelling(dict):
         self.sp, self.most = pieces(model), most
         self.start, self.end = (np.array([n - 2 + k], np.uint16).tobytes() for k in (0, 1))
 
-    def text(self, words: list[bytes], distinct=None) -> np.ndarray:
-        """The ids of START, the words and END.  distinct: the words without repeats, where known."""
+    def learn(self, words) -> None:
+        """Spells the words that aren't known yet, in one call of the tokenizer, which a call a text would slow down."""
         if len(self) > self.most:
             self.clear()
-        if new := [w for w in (set(words) if distinct is None else distinct) if w not in self]:
-            for word, ids in zip(new, self.sp.encode([w.decode("utf-8", "replace") for w in new], num_threads=1), strict=True):
-                self[word] = array("H", ids).tobytes()
+        new = [w for w in words if w not in self]
+        for word, ids in zip(new, self.sp.encode([w.decode("utf-8", "replace") for w in new], num_threads=1) if new else (), strict=True):
+            self[word] = array("H", ids).tobytes()
+
+    def text(self, words: list[bytes]) -> np.ndarray:
+        """The ids of START, the words (all learned) and END."""
         return np.frombuffer(self.start + b"".join(map(self.__getitem__, words)) + self.end, np.uint16)
 
 
@@ -377,15 +384,19 @@ def train(texts: DataFrame, tokenizer: str = TOKENIZER, every: int = 32, rounds:
     shipped = spark.sparkContext.broadcast((raw, of))
 
     def pick(batches):
-        import zlib
-
         raw, of = shipped.value
         spell = Spelling(raw, len(of))
         for batch in batches:
-            out = []
+            spans = []
             for text in as_bytes(batch.column(0)):
-                windows = cut(of[spell.text(words_of(text))])
-                out += [w.tobytes() for w in windows[zlib.crc32(text) % every :: every]]
+                words = words_of(text)
+                for at in range(zlib.crc32(text) % every * BLOCK, len(words) + 1, every * BLOCK):
+                    spans.append((at == 0, words[at : at + WINDOW], at + WINDOW >= len(words)))
+            spell.learn({w for _, words, _ in spans for w in words})
+            out = []
+            for first, words, last in spans:
+                ids = spell.text(words)[(0 if first else 1) : (None if last else -1)]
+                out.append(bytes(of[ids[: WINDOW + 1]]).ljust(WINDOW + 1, bytes([END])))
             yield pa.RecordBatch.from_pydict({"w": pa.array(out, pa.binary())})
 
     windows = materialise(texts.select("text").mapInArrow(pick, "w binary"), "lm-windows")
@@ -409,13 +420,14 @@ def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
         hot = {w: (c, float(np.log10((c + 0.5) / whole))) for w, c in m.hot.items()}
         unseen, end = float(np.log10(0.5 / whole)), float(np.log10((m.n_texts + 0.5) / whole))
         uid = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in itertools.chain.from_iterable(([b.slice(at, TEXTS) for at in range(0, b.num_rows, TEXTS)] for b in batches)):
             uids, tokens, known, base, within, sequences = [], [], [], [], [], []
             cold, times, offsets = [], [], [0]
-            for text in as_bytes(batch.column(2)):
-                words = words_of(text)
-                times_of = Counter(words)
-                ids = spell.text(words, times_of)
+            texts = [words_of(t) for t in as_bytes(batch.column(2))]
+            counted = [Counter(words) for words in texts]
+            spell.learn(set().union(*counted))
+            for words, times_of in zip(texts, counted, strict=True):
+                ids = spell.text(words)
                 sequences.append(m.of[ids])
                 within.append(float(m.within[sequences[-1][:-1], ids[1:]].sum(dtype=float)))
                 k, b = int(m.n_texts > 0), end
