@@ -31,7 +31,7 @@ def union(checks: list[DataFrame]) -> DataFrame:
 
 
 def totals(entries: DataFrame) -> DataFrame:
-    """objects, bytes and counted values of every group and of the whole, in one aggregation."""
+    """objects, bytes and counted values of every group and of the whole, in one aggregation; no entries, no rows."""
     found = entries.groupingSets([["grp"], []], "grp").agg(F.count("*").alias("objects"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.sum("count_value").alias("count_value"), F.grouping("grp").alias("g"))
     return found.select(F.when(F.col("g") == 1, WHOLE).otherwise(F.col("grp")).alias("grp"), "objects", "bytes", "count_value")
 
@@ -39,7 +39,7 @@ def totals(entries: DataFrame) -> DataFrame:
 def totals_mismatch(entries: DataFrame, declared: DataFrame) -> DataFrame:
     """declared: grp, objects, bytes.  code, path (the group)."""
     both = totals(entries).alias("t").join(declared.alias("d"), "grp", "right")
-    wrong = lambda c: ~F.col(f"t.{c}").eqNullSafe(F.col(f"d.{c}"))
+    wrong = lambda c: ~F.coalesce(F.col(f"t.{c}"), F.lit(0)).eqNullSafe(F.col(f"d.{c}"))
     both = both.withColumn("path", F.col("grp"))
     return union([violation(f"{c}-total", both, wrong(c)) for c in ("objects", "bytes")])
 

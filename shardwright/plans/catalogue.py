@@ -187,9 +187,9 @@ def resolve_split(spark, sf_dir):
     return splits.resolve(R.entries(spark, sf_dir)).select("path", "count_value")
 
 
-@query(f"WITH {R.ENTRIES} SELECT path, count_value FROM entries WHERE split = 'val' AND source = 'src2' AND domain = 'long'")
+@query(f"WITH {R.ENTRIES} SELECT path, count_value FROM entries WHERE split = 'train' AND source = 'src2' AND domain = 'long'")
 def resolve_labels(spark, sf_dir):
-    return splits.resolve(R.entries(spark, sf_dir), split="val", labels={"source": "src2", "domain": "long"}).select("path", "count_value")
+    return splits.resolve(R.entries(spark, sf_dir), split="train", labels={"source": "src2", "domain": "long"}).select("path", "count_value")
 
 
 @query(f"WITH {R.ENTRIES}, x AS (SELECT path, CASE WHEN domain = 'long' THEN 'train' ELSE split END AS split, source, domain FROM entries UNION ALL SELECT 'g/a/b/c/train-00000.bin', 'train', 'a', 'b') SELECT 'split-contradicts-filename' AS code, path FROM x WHERE domain = 'long' AND path LIKE '%/val-%' UNION ALL SELECT 'labels-unnameable-path', 'g/a/b/c/train-00000.bin'")
@@ -273,10 +273,10 @@ def conversation_wellformed(spark, sf_dir):
     return R.chats(spark, sf_dir).select("conv_id", rows.message_problem(F.col("messages")).alias("problem"))
 
 
-@query("WITH c AS (SELECT sha256(coalesce(text, 'None')) AS key, max(CASE WHEN conv_id % 5 = 0 THEN 1 ELSE 0 END) AS h, max(CASE WHEN conv_id % 5 = 0 THEN 0 ELSE 1 END) AS t FROM conversations GROUP BY 1) SELECT key FROM c WHERE h = 1 AND t = 1")
+@query("WITH c AS (SELECT sha256(coalesce(substr(text, 1, 6), 'None')) AS key, max(CASE WHEN conv_id % 5 = 0 THEN 1 ELSE 0 END) AS h, max(CASE WHEN conv_id % 5 = 0 THEN 0 ELSE 1 END) AS t FROM conversations GROUP BY 1) SELECT key FROM c WHERE h = 1 AND t = 1")
 def train_heldout_leakage(spark, sf_dir):
-    """Turns' texts on both sides."""
-    c = R.table(spark, sf_dir, "conversations").select(F.sha2(F.coalesce("text", F.lit("None")), 256).alias("key"), F.when(F.col("conv_id") % 5 == 0, "held").otherwise("train").alias("side"))
+    """Openings of turns on both sides."""
+    c = R.table(spark, sf_dir, "conversations").select(F.sha2(F.coalesce(F.substring("text", 1, 6), F.lit("None")), 256).alias("key"), F.when(F.col("conv_id") % 5 == 0, "held").otherwise("train").alias("side"))
     return rows.leakage(c)
 
 
@@ -405,11 +405,11 @@ def parent_pin_status(spark, sf_dir):
     return lineage.pin_status(o, c)
 
 
-@query("WITH o AS (SELECT CAST(doc_id AS VARCHAR) AS path, sha256(text) AS observed FROM documents), s AS (SELECT CAST(doc_id AS VARCHAR) AS path, sha256(trim(text, ' ')) AS sealed FROM documents) SELECT path, sealed, observed FROM s JOIN o USING (path) WHERE sealed <> observed UNION ALL SELECT '-', 'a', 'b' WHERE false")
+@query("WITH o AS (SELECT CAST(doc_id AS VARCHAR) AS path, sha256(text) AS observed FROM documents), s AS (SELECT CAST(doc_id AS VARCHAR) AS path, sha256(replace(text, chr(10), ' ')) AS sealed FROM documents) SELECT path, sealed, observed FROM s JOIN o USING (path) WHERE sealed <> observed")
 def seal_checksum_compare(spark, sf_dir):
-    """Sealed over texts without outer blanks."""
+    """Sealed before the texts were broken into lines."""
     docs = R.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), "text")
-    return lineage.checksum_differences(docs.select("path", F.sha2(F.trim("text"), 256).alias("crc")), docs.select("path", F.sha2("text", 256).alias("crc")))
+    return lineage.checksum_differences(docs.select("path", F.sha2(F.replace("text", F.lit("\n"), F.lit(" ")), 256).alias("crc")), docs.select("path", F.sha2("text", 256).alias("crc")))
 
 
 @query("WITH listed AS (SELECT DISTINCT l_orderkey AS k, 1 AS bytes FROM lineitem), stored AS (SELECT o_orderkey AS k, CASE WHEN o_orderstatus = 'O' THEN 2 ELSE 1 END AS length FROM orders WHERE o_orderpriority <> '1-URGENT') SELECT CASE WHEN length IS NULL THEN 'object-gone' ELSE 'object-resized' END AS code, CAST(k AS VARCHAR) AS path FROM listed LEFT JOIN stored USING (k) WHERE length IS NULL OR length <> bytes")
