@@ -24,8 +24,13 @@ import itertools
 import math
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .common import materialise
 
 OTHER = "~other"
 DIMENSIONS = ("source", "lang", "topic")
@@ -33,17 +38,49 @@ DIMENSIONS = ("source", "lang", "topic")
 POWERS = {"source": 0.5, "lang": 0.7, "topic": 1.0}
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_CAPITAL = np.zeros(256, bool)
+_CAPITAL[65:91] = True
+
+
+def count_tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens, capitals (A-Z) and bytes of each text, from the batch's buffers at once."""
+    own = pc.fill_null(column, "").cast(pa.binary())
+    offsets = np.frombuffer(own.buffers()[1], np.int32)[own.offset : own.offset + len(own) + 1].astype(np.int64)
+    data = np.frombuffer(own.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    at, sizes = offsets[:-1] - offsets[0], np.diff(offsets)
+    space = _SPACE[data]
+    starts = ~space
+    starts[1:] &= space[:-1]
+    full = sizes > 0
+    starts[at[full]] = ~space[at[full]]
+    out = np.zeros((2, len(own)), np.int64)
+    for row, flags in enumerate((starts, _CAPITAL[data])):
+        if full.any():
+            out[row, full] = np.add.reduceat(flags, at[full], dtype=np.int64)
+    return out[0], out[1], sizes
+
+
+def forms(column: pa.Array, capitals: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    has = lambda s: pc.fill_null(pc.match_substring(column, s), False).to_numpy(zero_copy_only=False)
+    return np.select([has("\n| "), has("\n- ") | has("\n* "), capitals * 2 > sizes, sizes < 500], ["table", "list", "loud", "brief"], "prose")
+
+
 def prepared(docs: DataFrame) -> DataFrame:
     """docs with _tokens and the three classes."""
-    text = F.coalesce("text", F.lit(""))
-    tokens = F.length(F.regexp_replace(F.regexp_replace(text, r"[^\t-\r ]+", "x"), r"[\t-\r ]+", ""))
-    head = F.substring(text, 1, 1 << 30)
-    form = (
-        F.when(head.contains("\n| "), "table").when(head.contains("\n- ") | head.contains("\n* "), "list")
-        .when(F.length(F.regexp_replace(head, r"[^A-Z]", "")) * 2 > F.length(head), "loud").when(F.length(head) < 500, "brief").otherwise("prose")
-    )
-    topic = F.col("topic").cast("string") if "topic" in docs.columns else form
-    return docs.withColumns({"_tokens": tokens.cast("long"), "_source": F.coalesce(F.col("source").cast("string"), F.lit(OTHER)), "_lang": F.coalesce(F.col("lang").cast("string"), F.lit(OTHER)), "_topic": F.coalesce(topic, F.lit(OTHER))})
+    names = docs.columns
+    schema = T.StructType([*docs.schema.fields, T.StructField("_tokens", T.LongType()), T.StructField("_form", T.StringType())])
+
+    def run(batches):
+        for batch in batches:
+            text = batch.column(names.index("text"))
+            tokens, capitals, sizes = count_tokens(text)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tokens), pa.array(forms(text, capitals, sizes), pa.string())], names=[*names, "_tokens", "_form"])
+
+    topic = F.col("topic").cast("string") if "topic" in names else F.col("_form")
+    classed = lambda c: F.coalesce(c, F.lit(OTHER))
+    return docs.mapInArrow(run, schema).withColumns({"_source": classed(F.col("source").cast("string")), "_lang": classed(F.col("lang").cast("string")), "_topic": classed(topic)})
 
 
 def tempered(ready: DataFrame, powers: dict[str, float] = POWERS, most: int = 500) -> dict[str, dict[str, float]]:
@@ -97,8 +134,10 @@ def classed(name: str, targets: dict[str, dict[str, float]]):
 def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, fraction: float = 0.5, seed: int = 42, max_cells: int = 1_000_000) -> DataFrame:
     """The sampled documents: the columns of docs, and keep_probability, mix_weight (1 / probability) and n_tokens."""
     spark = docs.sparkSession
+    docs = docs.select([c for c in docs.columns if c not in ("_tokens", "_form", "_source", "_lang", "_topic")])
     ready = prepared(docs)
-    narrow = ready.groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("_tokens"))
+    read = [c for c in ("text", "source", "lang", "topic") if c in docs.columns]
+    narrow = materialise(prepared(docs.select(read)).groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("_tokens")), "mix-cells")
     targets = targets or tempered(narrow)
     if math.prod(len(targets[d]) + 1 for d in DIMENSIONS) > max_cells:
         raise ValueError("the targets make too many cells")
