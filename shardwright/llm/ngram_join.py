@@ -164,6 +164,7 @@ def local_roots(links: np.ndarray, nodes: np.ndarray) -> np.ndarray:
 def verify(table: pa.Table, n: int, threshold: float) -> pa.Table:
     """One block, or pair of blocks, of a component, or several whole small components."""
     hashes, by_root = WordHashes(), {}
+    within = table.num_rows == 0 or table.column("low")[0].as_py() == table.column("high")[0].as_py()
     for row in zip(*(table.column(c).to_pylist() for c in ("root", "node", "block", "copies")), as_bytes(table.column("text").combine_chunks()), strict=True):
         root, node, block, copies, text = row
         by_root.setdefault(root, {}).setdefault(node, (block, copies, text))
@@ -173,14 +174,16 @@ def verify(table: pa.Table, n: int, threshold: float) -> pa.Table:
         blocks = np.array([b for b, *_ in members.values()])
         copies = np.array([c for _, c, _ in members.values()], np.int64)
         sets = [gram_set(t.lower().split(), n, hashes) for *_, t in members.values()]
-        if (first := blocks.min()) == blocks.max():
+        if within:
             links = linked(sets, sets, threshold)
             np.fill_diagonal(links, False)
         else:  # links across two blocks; those within are counted where a block meets itself
+            first = blocks.min()
             a, b = np.flatnonzero(blocks == first), np.flatnonzero(blocks != first)
             links = np.zeros((len(nodes), len(nodes)), bool)
-            links[np.ix_(a, b)] = linked([sets[i] for i in a], [sets[i] for i in b], threshold)
-            links |= links.T
+            if len(a) and len(b):
+                links[np.ix_(a, b)] = linked([sets[i] for i in a], [sets[i] for i in b], threshold)
+                links |= links.T
         degree = links @ copies
         out += zip(nodes.tolist(), degree.tolist(), local_roots(links, nodes).tolist(), strict=True)
     columns = zip(*out, strict=True) if out else ((), (), ())
