@@ -4,7 +4,7 @@ Tokens (runs of anything but ASCII white space) are counted by cell of source, l
 Raking scales the cells' weights to each marginal's targets in turn until all agree.  A document is
 then kept with its cell's probability, scaled so that the expected tokens are `fraction` of the
 corpus; no cell can give more than it has, so raking holds every cell at its own tokens and lets the
-others make up for it.  Keeping depends on a keyed hash of the document only, so it is repeatable.
+others make up for it; where targets and budget can't both be met, the budget is.  Keeping depends on a keyed hash of the document only, so it is repeatable.
 
 The targets are a mapping from value to share for each marginal; what isn't named goes into one class,
 OTHER, so that the cells are bounded by the targets' sizes.  `tempered` makes targets from the corpus:
@@ -112,16 +112,22 @@ def rake(cells: dict[tuple, float], targets: dict[str, dict[str, float]], fracti
         of = np.array([values.index(k[d]) for k in keys])
         goal = np.array([targets[name].get(v, 0.0) for v in values])
         sides.append((of, goal / goal.sum() * want if goal.sum() else np.bincount(of, have) * fraction, len(values)))
+    def filled(w):
+        """What is missing to the budget comes from the cells that have more, in proportion."""
+        for _ in range(len(w) + 1):
+            missing, free = want - w.sum(), w < have
+            if missing <= tolerance * want or not w[free].sum() > 0:
+                break
+            w = np.where(free, np.minimum(have, w * (1 + missing / w[free].sum())), w)
+        return w
+
     w = have * fraction
     for _ in range(sweeps):
-        before = w.copy()
+        before = w
         for of, goal, n in sides:
             got = np.bincount(of, w, n)
             w = np.minimum(have, w * (goal / np.where(got > 0, got, 1))[of])
-        free = w < have
-        missing = want - w.sum()
-        if missing > 0 and free.any() and w[free].sum() > 0:
-            w[free] = np.minimum(have[free], w[free] * (1 + missing / w[free].sum()))
+        w = filled(w)
         if np.abs(w - before).max() <= tolerance * want:
             break
     return dict(zip(keys, np.divide(w, have, out=np.zeros_like(w), where=have > 0).tolist(), strict=True))

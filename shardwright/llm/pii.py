@@ -36,7 +36,7 @@ SYLLABLES = {"latin": "ba be bo da de do ga go ha ka ke ko la le lo ma me mo na
 
 _CAP = r"\p{Lu}[\p{L}'-]+"
 _TITLE = "(?:" + "|".join(t for k in TITLES.values() for t in k) + r")\.? "
-_GIVEN = "(?:" + "|".join(n.title() for k in GIVEN.values() for n in k) + ")"
+_GIVEN = "(?:" + "|".join(x for k in GIVEN.values() for n in k for x in (n.title(), n.upper())) + ")"
 # What entities look like.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}"
 IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\d.]*\d)"
