@@ -3,7 +3,8 @@
 Texts are lower-cased (A-Z only) and split at ASCII white space; every word is cut into subword ids by
 a public tokenizer (its file is a parameter, read on the driver and shipped).  The model predicts the
 class of each next id from at most `WINDOW` earlier ones: one causal self-attention layer over learned
-embeddings, added to a prior of log bigram probabilities; an id's probability within its class is its
+embeddings, added to a prior of log bigram probabilities (trigram, after the PAIRS most frequent pairs
+of classes inside words); an id's probability within its class is its
 relative frequency there after the last id's class.  Frequent ids are classes of their own, the rest
 share bins of like frequency.
 Windows overlap: each starts STRIDE positions after the last, and scores only the positions that no
@@ -44,6 +45,7 @@ BLOCK, TEXTS = 10, 128
 #: Scored positions whose class probabilities are worked out at once.
 HEAD = 256
 CLASSES = 2 + SINGLES + 2 * BINS
+PAIRS = 2000
 #: Words at least this frequent, so at most 1 / HOT_SHARE of them, and at most HOT_BYTES long are shipped to every task; the rest meet their counts in a join.
 HOT_SHARE, HOT_BYTES = 2e-6, 64
 LOG10 = float(np.log(10))
@@ -132,26 +134,82 @@ def id_bigrams(words: DataFrame, model: bytes, of: np.ndarray) -> dict[int, floa
                 own[(CLASSES + 1) * n + ids[-1]] += c
         yield pa.RecordBatch.from_pydict({"k": pa.array(list(own), pa.int64()), "c": pa.array(own.values(), pa.int64())})
 
-    found = words.mapInArrow(count, "k long, c long").groupBy("k").agg(F.sum("c").alias("c")).collect()
-    return {r["k"]: float(r["c"]) for r in found}
+    return collected(words.mapInArrow(count, "k long, c long"))
 
 
-def tables(counts: np.ndarray, bigrams: dict[int, float], of: np.ndarray, n_texts: int, weight: float = 5.0) -> tuple[np.ndarray, np.ndarray]:
-    """Log probability of the next class given the last one (across words it doesn't depend on it), and of an id within its class given the last class."""
+def collected(counts: DataFrame) -> dict[int, float]:
+    """Sums of c by k, on the driver; k is bounded by the caller."""
+    found = counts.groupBy("k").agg(F.sum("c").alias("c")).toArrow()
+    return dict(zip(found["k"].to_pylist(), map(float, found["c"].to_pylist()), strict=True))
+
+
+def class_trigrams(words: DataFrame, model: bytes, of: np.ndarray, pairs: np.ndarray) -> dict[int, float]:
+    """(pair - CLASSES) * (CLASSES + 1) + next class, or CLASSES where the word ends, for the pairs that are numbered."""
+
+    def count(batches):
+        own: Counter = Counter()
+        for ids, c in tokenised(batches, pieces(model)):
+            k = of[ids].tolist()
+            for a, b, then in zip(k, k[1:], [*k[2:], CLASSES], strict=False):
+                if (row := pairs[a, b]) >= CLASSES:
+                    own[(int(row) - CLASSES) * (CLASSES + 1) + then] += c
+        yield pa.RecordBatch.from_pydict({"k": pa.array(list(own), pa.int64()), "c": pa.array(own.values(), pa.int64())})
+
+    return collected(words.mapInArrow(count, "k long, c long"))
+
+
+@dataclass
+class Prior:
+    """log[row]: log probabilities of the next class.  A row is the last class, or the number of the last two where pairs has one."""
+
+    log: np.ndarray
+    pairs: np.ndarray
+
+    def rows(self, x: np.ndarray) -> np.ndarray:
+        out = x.astype(np.int32)
+        out[:, 1:] = self.pairs[x[:, :-1], x[:, 1:]]
+        return out
+
+
+def frequent_pairs(by_class: np.ndarray, most: int = PAIRS) -> np.ndarray:
+    """Table of rows of Prior.log by the last two classes."""
+    pairs = np.tile(np.arange(CLASSES, dtype=np.int32), (CLASSES, 1))
+    flat = by_class[:CLASSES].ravel()
+    top = np.argsort(-flat, kind="stable")[:most]
+    top = top[flat[top] > 0]
+    pairs.ravel()[top] = CLASSES + np.arange(len(top))
+    return pairs
+
+
+def filled(counts: dict[int, float], rows: int, columns: int) -> np.ndarray:
+    out = np.zeros((rows, columns))
+    if counts:
+        out.ravel()[np.fromiter(counts, np.int64, len(counts))] = np.fromiter(counts.values(), float, len(counts))
+    return out
+
+
+def tables(counts: np.ndarray, bigrams: dict[int, float], of: np.ndarray, n_texts: int, trigrams=lambda pairs: {}, weight: float = 5.0, more: float = 20.0) -> tuple[Prior, np.ndarray]:
+    """The prior (across words the next class doesn't depend on the last), and the log probability of an id within its class given the last class.
+
+    trigrams: what class_trigrams gives for a table of pairs.
+    """
     n = len(of)
-    follow = np.zeros((CLASSES + 2, n))
-    if bigrams:
-        keys = np.fromiter(bigrams, np.int64, len(bigrams))
-        follow.ravel()[keys] = np.fromiter(bigrams.values(), float, len(bigrams))
-    by_class = np.zeros((CLASSES + 2, CLASSES))
-    for row in range(CLASSES + 2):
-        by_class[row] = np.bincount(of, follow[row], CLASSES)
+    follow = filled(bigrams, CLASSES + 2, n)
+    by_class = np.array([np.bincount(of, row, CLASSES) for row in follow])
     first = by_class[CLASSES] + 0.1
     first[START], first[END] = 0.01, n_texts + 0.1
     first /= first.sum()
     table = by_class[:CLASSES] + np.outer(by_class[CLASSES + 1], first) + 2 * first
     table[START] = first
-    prior = np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
+    table /= table.sum(axis=1, keepdims=True)
+    pairs = frequent_pairs(by_class)
+    after = filled(trigrams(pairs), int(pairs.max()) + 1 - CLASSES, CLASSES + 1) if pairs.max() >= CLASSES else np.zeros((0, CLASSES + 1))
+    second = np.zeros(len(after), int)
+    where = np.argwhere(pairs >= CLASSES)
+    second[pairs[pairs >= CLASSES] - CLASSES] = where[:, 1]
+    deeper = after[:, :CLASSES] + after[:, CLASSES:] * first + more * table[second]
+    deeper /= np.maximum(deeper.sum(axis=1, keepdims=True), 1e-30)
+    prior = Prior(np.log(np.concatenate([table, deeper])).astype(np.float32), pairs)
 
     own = np.concatenate([counts + 0.5, [1.0, 1.0]])
     share = own / np.bincount(of, own, CLASSES)[of]
@@ -196,11 +254,11 @@ def forward(p: dict, x: np.ndarray, causal: np.ndarray):
     return h + z @ p["O"], (h, q, k, v, a, z)
 
 
-def log_probabilities(p: dict, odds: np.ndarray, prior: np.ndarray, x: np.ndarray, targets: np.ndarray, scored: np.ndarray) -> np.ndarray:
-    """Natural log of each scored position's probability, in row order.  odds: exp of prior."""
+def log_probabilities(p: dict, odds: np.ndarray, prior: Prior, x: np.ndarray, targets: np.ndarray, scored: np.ndarray) -> np.ndarray:
+    """Natural log of each scored position's probability, in row order.  odds: exp of prior.log."""
     y, _ = forward(p, x, CAUSAL)
-    y, last, to = y[scored], x[scored], targets[scored]
-    out = prior[last, to]
+    y, last, to = y[scored], prior.rows(x)[scored], targets[scored]
+    out = prior.log[last, to]
     for at in range(0, len(to), HEAD):  # few enough rows to stay in the cache
         rows = slice(at, at + HEAD)
         logits = y[rows] @ p["W"]
@@ -211,13 +269,13 @@ def log_probabilities(p: dict, odds: np.ndarray, prior: np.ndarray, x: np.ndarra
     return out
 
 
-def gradients(flat: np.ndarray, prior: np.ndarray, x: np.ndarray, targets: np.ndarray, real: np.ndarray, causal: np.ndarray) -> tuple[np.ndarray, float]:
+def gradients(flat: np.ndarray, prior: Prior, x: np.ndarray, targets: np.ndarray, real: np.ndarray, causal: np.ndarray) -> tuple[np.ndarray, float]:
     """Of the mean loss over the real positions."""
     p, g = views(flat), np.zeros_like(flat)
     d = views(g)
     y, (h, q, k, v, a, z) = forward(p, x, causal)
     n = max(1, int(real.sum()))
-    logits = y @ p["W"] + prior[x]
+    logits = y @ p["W"] + prior.log[prior.rows(x)]
     logits -= logits.max(axis=2, keepdims=True)
     e = np.exp(logits)
     e /= e.sum(axis=2, keepdims=True)
@@ -244,7 +302,7 @@ def gradients(flat: np.ndarray, prior: np.ndarray, x: np.ndarray, targets: np.nd
     return g, loss
 
 
-def train_locally(flat: np.ndarray, prior: np.ndarray, windows: np.ndarray, rate: float, batch: int = 32, seed: int = 5) -> np.ndarray:
+def train_locally(flat: np.ndarray, prior: Prior, windows: np.ndarray, rate: float, batch: int = 32, seed: int = 5) -> np.ndarray:
     """Adam over the windows (rows of WINDOW + 1 classes; END repeats after the end) once."""
     flat = flat.copy()
     m, v = np.zeros_like(flat), np.zeros_like(flat)
@@ -259,7 +317,7 @@ def train_locally(flat: np.ndarray, prior: np.ndarray, windows: np.ndarray, rate
     return flat
 
 
-def average(windows: DataFrame, flat: np.ndarray, prior: np.ndarray, rate: float) -> np.ndarray:
+def average(windows: DataFrame, flat: np.ndarray, prior: Prior, rate: float) -> np.ndarray:
     """One round: every task trains from flat on its own windows; the mean counts windows."""
     shipped = windows.sparkSession.sparkContext.broadcast((flat, prior))
 
@@ -326,9 +384,9 @@ def scored_positions(n: int, length: int) -> np.ndarray:
     return own
 
 
-def score_sequences(flat: np.ndarray, prior: np.ndarray, sequences, chunk: int = 64) -> np.ndarray:
+def score_sequences(flat: np.ndarray, prior: Prior, sequences, chunk: int = 64) -> np.ndarray:
     """Natural log probability of each sequence of classes."""
-    p, odds = views(flat), np.exp(prior)
+    p, odds = views(flat), np.exp(prior.log)
     totals = np.zeros(len(sequences))
     held, masks, owners, waiting = [], [], [], 0
 
@@ -358,7 +416,7 @@ class Model:
     tokenizer: bytes
     of: np.ndarray
     within: np.ndarray
-    prior: np.ndarray
+    prior: Prior
     flat: np.ndarray
     hot: dict[bytes, int]
     n: int
@@ -379,7 +437,7 @@ def train(texts: DataFrame, tokenizer: str = TOKENIZER, every: int = 32, rounds:
     n, distinct = n + n_texts, distinct + (n_texts > 0)
     counts = id_counts(words, raw, n_ids)
     of = classes(counts, initial)
-    prior, within = tables(counts, id_bigrams(words, raw, of), of, n_texts)
+    prior, within = tables(counts, id_bigrams(words, raw, of), of, n_texts, lambda pairs: class_trigrams(words, raw, of, pairs))
     hot = {bytes(w): c for w, c in words.filter((F.col("c") >= HOT_SHARE * n) & (F.length("word") <= HOT_BYTES)).collect()}
     shipped = spark.sparkContext.broadcast((raw, of))
 

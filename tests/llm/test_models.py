@@ -108,10 +108,11 @@ def test_every_token_is_scored_once_and_only_from_before():
     assert np.allclose(y[0, :20], y2[0, :20]) and not np.allclose(y[0, 20:], y2[0, 20:])
 
 
-def test_gradients_are_the_losss():
+def test_gradients_are_the_losses():
     rng = np.random.default_rng(4)
     flat = (lm.first_parameters() + rng.normal(0, 0.1, lm.SIZE)).astype(np.float64)
-    prior = np.log(rng.dirichlet(np.ones(lm.CLASSES), lm.CLASSES))
+    by_class = rng.integers(0, 9, (lm.CLASSES + 2, lm.CLASSES)).astype(float)
+    prior = lm.Prior(np.log(rng.dirichlet(np.ones(lm.CLASSES), lm.CLASSES + lm.PAIRS)), lm.frequent_pairs(by_class))
     w = rng.integers(2, lm.CLASSES, (3, lm.WINDOW + 1)).astype(np.uint8)
     real = np.ones((3, lm.WINDOW), bool)
     real[1, 10:] = False
@@ -132,8 +133,11 @@ def test_probabilities_sum_to_one_and_training_helps():
     of = lm.classes(counts, np.arange(500) % 2 == 0)
     n = len(of)
     bigrams = {int(c) * n + int(i): 3.0 for c, i in zip(rng.integers(2, lm.CLASSES, 200), rng.integers(0, 300, 200), strict=True)}
-    prior, within = lm.tables(counts, bigrams, of, 10)
-    assert np.allclose(np.exp(prior).sum(axis=1), 1, atol=1e-5)
+    trigrams = lambda pairs: {int(r - lm.CLASSES) * (lm.CLASSES + 1) + int(k): 4.0 for r, k in zip(pairs[pairs >= lm.CLASSES], rng.integers(0, lm.CLASSES + 1, 999), strict=False)}
+    prior, within = lm.tables(counts, bigrams, of, 10, trigrams)
+    assert len(prior.log) > lm.CLASSES and np.allclose(np.exp(prior.log).sum(axis=1), 1, atol=1e-5)
+    a, b = np.argwhere(prior.pairs >= lm.CLASSES)[0]
+    assert prior.rows(np.array([[a, b, 0]], np.uint8)).tolist() == [[a, prior.pairs[a, b], prior.pairs[b, 0]]]
     for c in range(0, lm.CLASSES, 17):
         per = np.bincount(of, np.exp(within[c]), lm.CLASSES)
         assert np.allclose(per[np.unique(of)], 1, atol=1e-4)
