@@ -18,7 +18,7 @@ from ..operators import manifest
 from ..operators.splits import partition_rows
 from ..sources import files
 from ..sources.store import Exists, Store, canonical, sha256
-from . import documents
+from . import documents, families
 
 
 class PublishError(RuntimeError):
@@ -62,8 +62,12 @@ def describe(spark: SparkSession, root: str, defaults: dict | None = None) -> Da
     )
 
 
-def build(spark: SparkSession, root: str, dataset_id: str, purpose: str, profiles: dict[str, str], defaults: dict | None = None, partitions: dict[str, list[tuple[str, str]]] | None = None, **extra) -> Plan:
-    """profiles: the profile of each group.  partitions: (name, glob) of each group; else one for each split that its files name."""
+def build(spark: SparkSession, root: str, dataset_id: str, purpose: str, profiles: dict[str, str], defaults: dict | None = None, partitions: dict[str, list[tuple[str, str]]] | None = None, tokenizer: dict | None = None, **extra) -> Plan:
+    """profiles: the profile of each group.  partitions: (name, glob) of each group; else one for each split that its files name.
+
+    defaults: the format of files whose extension doesn't tell; else the family's.  tokenizer: what pin() gives, for groups of tokens.
+    """
+    defaults = families.defaults(dataset_id) if defaults is None else defaults
     if bad := problem(spark, dataset_id, names.id_problem):
         raise PublishError(f"dataset id: {bad}")
     if bad := problem(spark, purpose, names.purpose_problem):
@@ -83,7 +87,7 @@ def build(spark: SparkSession, root: str, dataset_id: str, purpose: str, profile
         globs = (partitions or {}).get(name) or [(s, f"{s}-*") for s in splits]
         counted = {r["name"]: r["rows"] for r in partition_rows(own, globs).collect()} if globs else {}
         manifests[name] = documents.manifest_bytes(own, name)
-        groups.append({"name": name, "profile": profiles[name], "prefix": name, "manifest": f"{name}/manifest.json", "manifest_sha256": sha256(manifests[name]), "coverage": "partition", "partitions": [{"name": n, "by": "path", "glob": g, "rows": counted[n]} for n, g in globs if counted.get(n) is not None], "depends_on": [], **extra.pop(f"{name}_fields", {})})
+        groups.append({"name": name, "profile": profiles[name], "prefix": name, "manifest": f"{name}/manifest.json", "manifest_sha256": sha256(manifests[name]), "coverage": defaults.get("coverage", "partition"), "partitions": [{"name": n, "by": "path", "glob": g, "rows": counted[n]} for n, g in globs if counted.get(n) is not None], "depends_on": [tokenizer] if tokenizer and profiles[name] == "pretrain-tokens/v1" else [], **extra.pop(f"{name}_fields", {})})
     if not groups:
         raise PublishError("there is nothing to publish")
     whole = sums[manifest.WHOLE]
@@ -92,6 +96,21 @@ def build(spark: SparkSession, root: str, dataset_id: str, purpose: str, profile
     return Plan(dataset_id, entries, document, manifests)
 
 
+def pin(data: Store, name: str) -> dict:
+    """The dependency on a published tokenizer, tokenizer/<name> (its latest version) or tokenizer/<name>/<version>."""
+    from .read import latest
+
+    parts = name.split("/")
+    if parts[0] != "tokenizer" or len(parts) not in (2, 3):
+        raise PublishError(f"{name} names no tokenizer")
+    dataset_id = "/".join(parts[:2])
+    version = parts[2] if len(parts) == 3 else latest(data, dataset_id)
+    if version is None or not data.exists(f"{dataset_id}/{version}/_VALIDATED.json"):
+        raise PublishError(f"{name} isn't published")
+    first = data.load(f"{dataset_id}/{version}/dataset.json")["groups"][0]
+    return {"role": "tokenizer", "dataset_id": dataset_id, "version": version, "manifest_sha256": first["manifest_sha256"]}
+
+
 def next_version(landing: Store, data: Store, dataset_id: str) -> str:
     """One more than the greatest version in either store."""
     taken = [n[len(dataset_id) + 1 :].split("/")[0] for s in (landing, data) for n in s.names(dataset_id) if n.startswith(dataset_id + "/")]

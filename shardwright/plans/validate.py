@@ -18,6 +18,7 @@ from ..operators import lineage, manifest, splits
 from ..sources import files
 from ..sources.store import Missing, Store, sha256
 from . import documents, profiles
+from .families import FAMILIES
 from .publish import problem
 
 CORE = ("schema_version", "dataset_id", "version", "purpose", "mutability", "inventory", "groups")
@@ -165,7 +166,7 @@ def validate(landing: Store, prefix: str, data: Store | None = None, families: d
         return result
 
     family = dataset_id.split("/")[0]
-    defaults = (families or {}).get(family, {})
+    defaults = (FAMILIES if families is None else families).get(family, {})
     listing = files.objects(spark, landing.uri(prefix)).cache()
     frames: list[DataFrame] = []
     every, unread, declared = None, False, set()

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from shardwright.plans import cli, documents, profiles, readme
-from shardwright.plans.publish import PublishError, build, promote, publish
+from shardwright.plans.publish import PublishError, build, pin, promote, publish
 from shardwright.plans.read import NotValidated, ReadError, SealMismatch, build_mixture, latest, resolve, verify_seal
 from shardwright.plans.sweep import sweep
 from shardwright.plans.validate import validate
@@ -89,6 +89,26 @@ def test_mixtures_never_draw_held_out_files(spark, stores, tmp_path):
         build_mixture(data, NAME, "v1", [{"labels": {"source": "z"}, "ratio": 1.0}], 10, 1)
 
 
+def test_tokens_are_held_against_their_tokenizer(spark, stores, tmp_path):
+    source, landing, data = stores
+    words = Store(spark, f"file://{tmp_path}/words")
+    write(tmp_path / "words/bpe/tokenizer.json", json.dumps({"model": {"vocab": {str(i): i for i in range(50_000)}}, "added_tokens": [{"id": 1, "content": "</s>"}]}))
+    with pytest.raises(PublishError):
+        pin(data, "tokenizer/tiny-bpe")
+    version = publish(build(spark, words.root, "tokenizer/tiny-bpe", PURPOSE, {"bpe": "tokenizer/v1"}), words, landing, data)
+    result = validate(landing, f"tokenizer/tiny-bpe/{version}", data)
+    assert result.violations == []
+    promote(result, landing, data, "now")
+    tokens_source(tmp_path)
+    plan = build(spark, source.root, NAME, PURPOSE, {"tokens": "pretrain-tokens/v1"}, tokenizer=pin(data, "tokenizer/tiny-bpe"))
+    publish(plan, source, landing, data)
+    assert validate(landing, f"{NAME}/v1", data).violations == []
+    write(tmp_path / "data/tokenizer/tiny-bpe/v1/bpe/tokenizer.json", json.dumps({"model": {"vocab": {"a": 0}}}))
+    for crc in (tmp_path / "data").rglob(".*.crc"):
+        crc.unlink()
+    assert "vocab-out-of-range" in validate(landing, f"{NAME}/v1", data).codes()
+
+
 def test_tampering_is_seen(spark, stores, tmp_path):
     published(spark, stores, tmp_path)
     _, landing, data = stores
