@@ -22,9 +22,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; a null lang is filled in."""
     bound_batches(spark)
     model = langid.train(langid.folds(docs).filter("not held_out"))
-    judged = langid.identify(docs, model, [*docs.columns])
-    kept = judged.filter((F.col("lang_pred") != langid.UND) & (F.col("score") >= LEAST_CONFIDENCE))
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+    judged = langid.identify(docs, model, docs.columns, ("_found", "_score"))
+    kept = judged.filter((F.col("_found") != langid.UND) & (F.col("_score") >= LEAST_CONFIDENCE))
+    return kept.withColumn("lang", F.coalesce("lang", "_found")).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

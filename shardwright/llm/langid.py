@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import held_out, sum_blobs
 
@@ -154,11 +155,9 @@ def train(training: DataFrame, per_language: int = 1000) -> Model:
     return Model(languages, idf.astype(np.float32), weights.astype(np.float32), fit_temperature(logits, np.array([y for *_, y in last], int)))
 
 
-def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The columns of keep, then lang_pred and score.  docs has a column text."""
-    from pyspark.sql import types as T
-
-    schema = T.StructType([docs.select(*keep).schema[c] for c in keep] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+def identify(docs: DataFrame, model: Model, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The columns of keep, then the language and its probability under the given names.  docs has a column text."""
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches):
@@ -167,7 +166,7 @@ def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
             found = [own.predict(t) for t in batch.column(len(keep)).to_pylist()]
             columns = [batch.column(i) for i in range(len(keep))]
             columns += [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *names])
 
     return docs.select(*keep, F.col("text").alias("_text_")).mapInArrow(predict, schema)
 

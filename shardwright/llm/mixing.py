@@ -14,7 +14,8 @@ Topics, unless docs has a column `topic`, are the kind of writing by its form: t
 (mostly capitals), brief or prose.
 
 Cases: null source, language or topic is the class OTHER.  A null or empty text has no tokens and is
-never kept.  Repeated rows share their fate.  An empty table gives an empty result.  A target for a
+never kept.  Repeated rows share their fate.  An empty table gives an empty result.  Columns
+of docs that are named like the results (keep_probability, mix_weight, n_tokens) give way to them.  A target for a
 value that no document has goes to the others in proportion.
 """
 

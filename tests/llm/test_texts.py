@@ -231,7 +231,7 @@ def test_the_pipeline(spark, tmp_path):
     bench = [(1, prose("xx", 20))]
     docs = [(i, prose("xx" if i % 3 else "yy", 60), "xx" if i % 3 else "yy", f"s{i % 4}") for i in range(90)]
     docs += [(100, docs[0][1], "yy", "s0"), (101, docs[1][1].replace(" ", "  "), "xx", "s1"), (102, " ".join([*docs[2][1].split()[:-1], "odd"]), "xx", "s2"), (103, "12 34", "xx", "s1"), (104, None, None, "s1"), (105, prose("xx", 20) + " " + bench[0][1], "xx", "s1"), (106, prose("xx", 20) + " password=abcdef123", None, "s2")]
-    spark.createDataFrame([(*d, len(d[1] or "")) for d in docs], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(*d, len(d[1] or ""), 1.0, "x") for d in docs], "doc_id long, text string, lang string, source string, n_chars long, score double, node string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     at, held = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
     for name, stage in corpus_pipeline.STAGES:
