@@ -1,7 +1,9 @@
 """Connected components of an edge table, by alternating large-star and small-star steps.
 
 Every step is a grouped minimum (combined before the shuffle) and a join on the node, so no node's
-neighbours are ever gathered; edges are written to the shared folder after each round.
+neighbours are ever gathered.  The minima are written to the shared folder before they are joined:
+both sides of a join are then dealt out for it alone, so Spark can split the rows of a node that very
+many edges meet.
 """
 
 from __future__ import annotations
@@ -22,9 +24,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     before = None
     for _ in range(most_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = _star(both.filter("v > u"), least).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = materialise(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = materialise(_star(both.filter("v > u"), least).distinct(), "large")
+        least = materialise(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = _star(large, least).unionByName(least.select("u", F.col("m").alias("v")))
         edges = materialise(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
