@@ -24,6 +24,7 @@ import hashlib
 import os
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -101,19 +102,23 @@ class Packer:
         self.clear()
 
     def clear(self):
-        self.ids, self.positions, self.loss, self.starts, self.ends, self.parents, self.leaf_keys, self.leaf_nodes = ([] for _ in range(8))
+        self.ids, self.places, self.spoken, self.starts, self.ends, self.parents, self.leaf_keys, self.leaf_nodes = ([] for _ in range(8))
         self.path: list[tuple[tuple[str, str], int]] = []  # the turns of the last conversation, and their nodes
 
     def pack(self) -> dict:
-        seen = []
+        seen, positions, loss = [], np.zeros(len(self.ids), np.int32), np.zeros(len(self.ids), bool)
         for n, parent in enumerate(self.parents):
+            start, end = self.starts[n], self.ends[n]
+            positions[start:end] = np.arange(self.places[n], self.places[n] + end - start)
+            if self.spoken[n]:
+                loss[start + self.spoken[n] : end - 1] = True
             above = seen[parent] if parent >= 0 else []
-            if above and above[-1]["last"] == self.starts[n]:  # goes on where its parent ends
-                seen.append([*above[:-1], {"first": above[-1]["first"], "last": self.ends[n]}])
+            if above and above[-1]["last"] == start:  # goes on where its parent ends
+                seen.append([*above[:-1], {"first": above[-1]["first"], "last": end}])
             else:
-                seen.append([*above, {"first": self.starts[n], "last": self.ends[n]}])
+                seen.append([*above, {"first": start, "last": end}])
         out = {
-            "pack": f"{self.name}-{self.count}", "token_ids": self.ids, "position_ids": self.positions, "loss_mask": self.loss, "node_start": self.starts,
+            "pack": f"{self.name}-{self.count}", "token_ids": np.array(self.ids, np.int32), "position_ids": positions, "loss_mask": loss, "node_start": self.starts,
             "node_end": self.ends, "parent": self.parents, "attention": seen, "leaf_key": self.leaf_keys, "leaf_node": self.leaf_nodes,
         }
         self.count += 1
@@ -132,13 +137,11 @@ class Packer:
         del self.path[shared:]
         for turn, (ids, head) in zip(turns[shared:], new, strict=True):
             above = self.path[-1][1] if self.path else -1
-            place = self.positions[self.ends[above] - 1] + 1 if above >= 0 else 0
+            self.places.append(self.places[above] + self.ends[above] - self.starts[above] if above >= 0 else 0)
             self.parents.append(above)
             self.starts.append(len(self.ids))
             self.ids += ids
-            self.positions += range(place, place + len(ids))
-            spoken = turn[0] == "assistant"
-            self.loss += [False] * head + [spoken] * (len(ids) - head - 1) + [False]
+            self.spoken.append(head if turn[0] == "assistant" else 0)
             self.ends.append(len(self.ids))
             self.path.append((turn, len(self.starts) - 1))
         self.leaf_keys.append(key)
@@ -157,13 +160,13 @@ def packs(convs: DataFrame, tokenizer: str = TOKENIZER, most_tokens: int = 8192)
         from pyspark import TaskContext
 
         packer = Packer(Codec(shipped.value), str(TaskContext.get().partitionId()), most_tokens)
-        as_rows = lambda ps: pa.RecordBatch.from_pylist(ps, schema=arrow)
+        as_row = lambda p: pa.RecordBatch.from_arrays([pa.array([p[f.name]], f.type) for f in arrow], schema=arrow)
         for batch in batches:
             for key, turns in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for done in packer.add(key, [(t["role"], t["text"]) for t in turns]):
-                    yield as_rows([done])
+                    yield as_row(done)
         if packer.ids:
-            yield as_rows([packer.pack()])
+            yield as_row(packer.pack())
 
     distinct = convs.groupBy("key").agg(F.first("path").alias("path"), F.first("turns").alias("turns"))
     ordered = distinct.repartitionByRange("path", "key").sortWithinPartitions("path", "key")
@@ -176,8 +179,9 @@ def read_back(packed: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     names = ["leaf_key", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
     def leaves(codec: Codec, row: dict):
-        nodes = [codec.decode(row["token_ids"][a:b]) for a, b in zip(row["node_start"], row["node_end"], strict=True)]
-        spoken = [any(row["loss_mask"][a:b]) for a, b in zip(row["node_start"], row["node_end"], strict=True)]
+        spans = list(zip(row["node_start"], row["node_end"], strict=True))
+        nodes = [codec.decode(row["token_ids"][a:b].tolist()) for a, b in spans]
+        spoken = [bool(row["loss_mask"][a:b].any()) for a, b in spans]
         for key, node in zip(row["leaf_key"], row["leaf_node"], strict=True):
             path, place = [], 0
             while node >= 0:
@@ -199,8 +203,11 @@ def read_back(packed: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
 
     def run(batches):
         codec = Codec(shipped.value)
+        large = ("token_ids", "position_ids", "loss_mask")
         for batch in batches:
-            for row in batch.to_pylist():
+            small = {c: batch.column(c).to_pylist() for c in ("node_start", "node_end", "parent", "leaf_key", "leaf_node")}
+            for i in range(batch.num_rows):
+                row = {c: v[i] for c, v in small.items()} | {c: batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in large}
                 columns = zip(*leaves(codec, row), strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
