@@ -346,7 +346,7 @@ def sample_offsets(spark, sf_dir):
 
 # --- names, versions, lineage ---
 
-IDS = ["pretrain/dolma2-150b", "pretrain/mix-1124-30b", "eval/gsm-4hop", "pretrain/mix-jul22", "pretrain/mix-2026", "pretrain/a-20260728", "sft/final-v2", "sft/chat-v2", "eval/results-set", "probe/big-probe", "curriculum/experiment-3", "vendor/dolma2_150B", "pretrain/one", "pretrain/a-b-c-d-e-f", "other/x-y", "noslash", "a/b/c", "", "tokenizer/mix-october", "sft/decoder-5b5"]
+IDS = ["pretrain/corpus2-150b", "pretrain/mix-1124-30b", "eval/gsm-4hop", "pretrain/mix-jul22", "pretrain/mix-2026", "pretrain/a-20260728", "sft/final-v2", "sft/chat-v2", "eval/results-set", "probe/big-probe", "curriculum/experiment-3", "vendor/corpus2_150B", "pretrain/one", "pretrain/a-b-c-d-e-f", "other/x-y", "noslash", "a/b/c", "", "tokenizer/mix-october", "sft/decoder-5b5"]
 PURPOSES = ["TODO", "To-Do!", "see README", "short one", "Held-out passages for the reader to compare splits", "x" * 40, "word " * 80, "  training   data ", None, "The dataset"]
 
 

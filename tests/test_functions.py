@@ -45,9 +45,9 @@ def test_trainable_is_never_assumed(spark):
 
 
 @pytest.mark.parametrize(("value", "want"), [
-    ("pretrain/dolma2-150b", None), ("pretrain/olmo-mix-1124-30b", None), ("eval/gsm-4hop", None), ("sft/decoder-5b5", None), ("pretrain/mix-jul22", "month"), ("pretrain/mix-2026", "year"),
+    ("pretrain/corpus2-150b", None), ("pretrain/web-mix-1124-30b", None), ("eval/gsm-4hop", None), ("sft/decoder-5b5", None), ("pretrain/mix-jul22", "month"), ("pretrain/mix-2026", "year"),
     ("pretrain/a-20260728", "date"), ("sft/final-v2", "version-word"), ("eval/results-set", "generic-word"), ("probe/big-probe", "relative-word"), ("curriculum/experiment-3", "ordinal"),
-    ("vendor/dolma2_150B", "not-kebab-case"), ("pretrain/one", "word-count"), ("other/x-y", "family"), ("a/b/c", "shape"), ("", "empty"), (None, "empty"), ("sft/mix-may", "month"), ("sft/maybe-mix", None),
+    ("vendor/corpus2_150B", "not-kebab-case"), ("pretrain/one", "word-count"), ("other/x-y", "family"), ("a/b/c", "shape"), ("", "empty"), (None, "empty"), ("sft/mix-may", "month"), ("sft/maybe-mix", None),
 ])
 def test_ids(spark, value, want):
     assert values(spark, names.id_problem, [value]) == [want]
