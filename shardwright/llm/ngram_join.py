@@ -200,14 +200,16 @@ def ngram_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: floa
     )
     nodes = materialise(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     rows_ = nodes.select("node", F.explode("bands").alias("h"))
-    buckets = rows_.groupBy("h").agg(F.min("node").alias("m"), F.max("node").alias("x")).filter("m < x").select("h", "m")
+    # Minima are written before they are joined: Spark can then split the rows of a bucket or group that holds very many.
+    buckets = materialise(rows_.groupBy("h").agg(F.min("node").alias("m"), F.max("node").alias("x")).filter("m < x").select("h", "m"), "buckets")
     ties = rows_.join(buckets, "h").filter("node <> m").select(F.col("node").alias("u"), F.col("m").alias("v"))
     found = components(ties)
 
     members = found.join(nodes.select("node", "first", "copies", "grams"), "node")
     sizes = members.groupBy("root").agg(F.sum("grams").alias("g"), F.count("*").alias("m"))
     blocks = F.greatest(F.ceil(F.col("g") / BLOCK_GRAMS), F.ceil(F.col("m") / BLOCK_TEXTS)).cast("int")
-    members = materialise(members.join(sizes.select("root", blocks.alias("blocks")), "root").select("node", "root", "blocks", "copies", "grams", "first.doc_id", "first.xh"), "members")
+    sizes = materialise(sizes.select("root", blocks.alias("blocks")), "sizes")
+    members = materialise(members.join(sizes, "root").select("node", "root", "blocks", "copies", "grams", "first.doc_id", "first.xh"), "members")
     total, count = members.agg(F.coalesce(F.sum("grams"), F.lit(0)), F.count("*")).first()
     tasks = max(1, math.ceil(total / BLOCK_GRAMS), spark.sparkContext.defaultParallelism)
     small = members.select("node", "root", "blocks", "copies", F.col("doc_id").alias("own"), "xh")
@@ -227,7 +229,7 @@ def ngram_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: floa
 
     named = nodes.select("node", "tkey", "copy_id", "copies").join(degrees, "node", "left").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = materialise(named.select("root", "tkey", "copy_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "classes")
-    names = named.groupBy("root").agg(F.min("copy_id").alias("class_id"))
+    names = materialise(named.groupBy("root").agg(F.min("copy_id").alias("class_id")), "names")
     named = named.join(names, "root").select("tkey", "copy_id", "class_id", "n_links")
     empty = F.col("grams") == 0
     out = sketches.select("doc_id", "tkey", "grams").join(named, "tkey", "left")
