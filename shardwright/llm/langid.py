@@ -13,11 +13,11 @@ long.  Repeated rows are predicted one by one.  Rows with null lang are predicte
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +26,7 @@ from .common import held_out, sum_blobs
 
 BITS = 15
 UND = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 _ASCII = np.array([32 if not chr(i).isalpha() else i for i in range(128)], np.uint32)
 
 

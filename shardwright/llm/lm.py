@@ -6,7 +6,8 @@ class of each next id from at most `WINDOW` earlier ones: one causal self-attent
 embeddings, added to a prior of log bigram probabilities (trigram, after the PAIRS most frequent pairs
 of classes inside words); an id's probability within its class is its
 relative frequency there after the last id's class.  Frequent ids are classes of their own, the rest
-share bins of like frequency.
+share bins of like frequency.  Classes come in GROUPS: the softmax is over the groups, then over the
+members of the target's group, which costs an eighth of one over all classes.
 Windows overlap: each starts STRIDE positions after the last, and scores only the positions that no
 earlier window scored, so each token counts once and (but for the first) has WINDOW - STRIDE ids of
 context at least.
@@ -42,10 +43,10 @@ WINDOW, STRIDE, WIDTH = 32, 24, 16
 START, END, SINGLES, BINS = 0, 1, 180, 30
 #: Training windows start at every BLOCK-th word that is chosen; TEXTS texts are scored at a time.
 BLOCK, TEXTS = 10, 128
-#: Scored positions whose class probabilities are worked out at once.
-HEAD = 256
 CLASSES = 2 + SINGLES + 2 * BINS
 PAIRS = 2000
+#: Class k is member k % MEMBERS of group k // MEMBERS.
+GROUPS = MEMBERS = 16
 #: Words at least this frequent, so at most 1 / HOT_SHARE of them, and at most HOT_BYTES long are shipped to every task; the rest meet their counts in a join.
 HOT_SHARE, HOT_BYTES = 2e-6, 64
 LOG10 = float(np.log(10))
@@ -170,6 +171,14 @@ class Prior:
         out[:, 1:] = self.pairs[x[:, :-1], x[:, 1:]]
         return out
 
+    def odds(self) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities of the groups by row, and of the members by row * GROUPS + group."""
+        p = np.zeros((len(self.log), GROUPS * MEMBERS), self.log.dtype)
+        p[:, : self.log.shape[1]] = np.exp(self.log)
+        p = p.reshape(-1, GROUPS, MEMBERS)
+        groups = p.sum(axis=2)
+        return groups, (p / np.maximum(groups, 1e-30)[:, :, None]).reshape(-1, MEMBERS)
+
 
 def frequent_pairs(by_class: np.ndarray, most: int = PAIRS) -> np.ndarray:
     """Table of rows of Prior.log by the last two classes."""
@@ -219,7 +228,7 @@ def tables(counts: np.ndarray, bigrams: dict[int, float], of: np.ndarray, n_text
 
 # --- the attention model ---
 
-SHAPES = {"E": (CLASSES, WIDTH), "P": (WINDOW, WIDTH), "Q": (WIDTH, WIDTH), "K": (WIDTH, WIDTH), "V": (WIDTH, WIDTH), "O": (WIDTH, WIDTH), "W": (WIDTH, CLASSES)}
+SHAPES = {"E": (CLASSES, WIDTH), "P": (WINDOW, WIDTH), "Q": (WIDTH, WIDTH), "K": (WIDTH, WIDTH), "V": (WIDTH, WIDTH), "O": (WIDTH, WIDTH), "W": (GROUPS, WIDTH, MEMBERS), "G": (WIDTH, GROUPS)}
 SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
 CAUSAL = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 
@@ -235,7 +244,7 @@ def views(flat: np.ndarray) -> dict[str, np.ndarray]:
 
 def first_parameters(seed: int = 11) -> np.ndarray:
     p = np.random.default_rng(seed).normal(0, 0.3, SIZE).astype(np.float32)
-    views(p)["W"][:] = 0  # starts as the prior
+    views(p)["W"][:] = views(p)["G"][:] = 0  # starts as the prior
     views(p)["P"][:] *= 0.1
     views(p)["Q"][:] *= 0.25
     return p
@@ -254,39 +263,67 @@ def forward(p: dict, x: np.ndarray, causal: np.ndarray):
     return h + z @ p["O"], (h, q, k, v, a, z)
 
 
-def log_probabilities(p: dict, odds: np.ndarray, prior: Prior, x: np.ndarray, targets: np.ndarray, scored: np.ndarray) -> np.ndarray:
-    """Natural log of each scored position's probability, in row order.  odds: exp of prior.log."""
+def by_group(groups: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order in which positions of a group are together, and (group, first, last) of those that have any."""
+    order = np.argsort(groups, kind="stable")
+    bounds = np.searchsorted(groups[order], np.arange(GROUPS + 1)).tolist()
+    return order, [(k, a, b) for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)) if b > a]
+
+
+def softmaxes(p: dict, odds, y: np.ndarray, last: np.ndarray, to: np.ndarray):
+    """Unnormalised probabilities of the groups, and of the members of the targets' groups in the order that by_group gives; and their logits at the targets."""
+    groups, members = odds
+    g, m, each = to >> 4, to & 15, np.arange(len(to))
+    coarse = y @ p["G"]
+    np.minimum(coarse, 60, out=coarse)
+    own = coarse[each, g]
+    np.exp(coarse, out=coarse)
+    coarse *= groups[last]
+    order, parts = by_group(g)
+    fine, sorted_y = np.empty((len(to), MEMBERS), y.dtype), y[order]
+    for k, a, b in parts:
+        np.matmul(sorted_y[a:b], p["W"][k], out=fine[a:b])
+    np.minimum(fine, 60, out=fine)
+    own[order] += fine[each, m[order]]
+    np.exp(fine, out=fine)
+    fine *= members[last[order] * GROUPS + g[order]]
+    return coarse, fine, own, order, parts
+
+
+def log_probabilities(p: dict, odds, prior: Prior, x: np.ndarray, targets: np.ndarray, scored: np.ndarray) -> np.ndarray:
+    """Natural log of each scored position's probability, in row order.  odds: those of prior."""
     y, _ = forward(p, x, CAUSAL)
-    y, last, to = y[scored], prior.rows(x)[scored], targets[scored]
-    out = prior.log[last, to]
-    for at in range(0, len(to), HEAD):  # few enough rows to stay in the cache
-        rows = slice(at, at + HEAD)
-        logits = y[rows] @ p["W"]
-        np.minimum(logits, 60, out=logits)
-        out[rows] += logits[np.arange(len(logits)), to[rows]]
-        np.exp(logits, out=logits)
-        out[rows] -= np.log(np.einsum("ij,ij->i", logits, odds[last[rows]]))
-    return out
+    y, last, to = y[scored], prior.rows(x)[scored], targets[scored].astype(np.int64)
+    coarse, fine, own, order, _ = softmaxes(p, odds, y, last, to)
+    own -= np.log(coarse.sum(axis=1))
+    own[order] -= np.log(fine.sum(axis=1))
+    return own + prior.log[last, to]
 
 
-def gradients(flat: np.ndarray, prior: Prior, x: np.ndarray, targets: np.ndarray, real: np.ndarray, causal: np.ndarray) -> tuple[np.ndarray, float]:
+def gradients(flat: np.ndarray, prior: Prior, odds, x: np.ndarray, targets: np.ndarray, real: np.ndarray, causal: np.ndarray) -> tuple[np.ndarray, float]:
     """Of the mean loss over the real positions."""
     p, g = views(flat), np.zeros_like(flat)
     d = views(g)
     y, (h, q, k, v, a, z) = forward(p, x, causal)
-    n = max(1, int(real.sum()))
-    logits = y @ p["W"] + prior.log[prior.rows(x)]
-    logits -= logits.max(axis=2, keepdims=True)
-    e = np.exp(logits)
-    e /= e.sum(axis=2, keepdims=True)
-    rows = np.arange(x.size)
-    flat_e = e.reshape(-1, CLASSES)
-    loss = float(-(np.log(flat_e[rows, targets.ravel()] + 1e-30) * real.ravel()).sum() / n)
-    flat_e[rows, targets.ravel()] -= 1
-    flat_e *= (real.ravel() / n).astype(np.float32)[:, None]
     side = lambda m: m.reshape(-1, m.shape[-1])
-    d["W"][:] = side(y).T @ flat_e
-    dy = (flat_e @ p["W"].T).reshape(y.shape)
+    last, to, each = prior.rows(x).ravel(), targets.ravel().astype(np.int64), np.arange(x.size)
+    weight = (real.ravel() / max(1, int(real.sum()))).astype(flat.dtype)
+    coarse, fine, _, order, parts = softmaxes(p, odds, side(y), last, to)
+    coarse /= coarse.sum(axis=1, keepdims=True)
+    fine /= fine.sum(axis=1, keepdims=True)
+    member = to[order] & 15
+    loss = float(-(np.log(coarse[each, to >> 4] + 1e-30) * weight).sum() - (np.log(fine[each, member] + 1e-30) * weight[order]).sum())
+    coarse[each, to >> 4] -= 1
+    fine[each, member] -= 1
+    coarse *= weight[:, None]
+    fine *= weight[order][:, None]
+    d["G"][:] = side(y).T @ coarse
+    dy, sorted_y, back = coarse @ p["G"].T, side(y)[order], np.empty_like(side(y))
+    for n, lo, hi in parts:
+        d["W"][n] = sorted_y[lo:hi].T @ fine[lo:hi]
+        back[lo:hi] = fine[lo:hi] @ p["W"][n].T
+    dy[order] += back
+    dy = dy.reshape(y.shape)
     d["O"][:] = side(z).T @ side(dy)
     dz = dy @ p["O"].T
     da = dz @ v.transpose(0, 2, 1)
@@ -305,12 +342,12 @@ def gradients(flat: np.ndarray, prior: Prior, x: np.ndarray, targets: np.ndarray
 def train_locally(flat: np.ndarray, prior: Prior, windows: np.ndarray, rate: float, batch: int = 32, seed: int = 5) -> np.ndarray:
     """Adam over the windows (rows of WINDOW + 1 classes; END repeats after the end) once."""
     flat = flat.copy()
-    m, v = np.zeros_like(flat), np.zeros_like(flat)
+    m, v, odds = np.zeros_like(flat), np.zeros_like(flat), prior.odds()
     order = np.random.default_rng(seed).permutation(len(windows))
     for t, at in enumerate(range(0, len(order), batch), 1):
         w = windows[order[at : at + batch]]
         x, y = w[:, :-1], w[:, 1:]
-        g, _ = gradients(flat, prior, x, y, x != END, CAUSAL)
+        g, _ = gradients(flat, prior, odds, x, y, x != END, CAUSAL)
         m += 0.1 * (g - m)
         v += 0.01 * (g * g - v)
         flat -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
@@ -384,9 +421,9 @@ def scored_positions(n: int, length: int) -> np.ndarray:
     return own
 
 
-def score_sequences(flat: np.ndarray, prior: Prior, sequences, chunk: int = 64) -> np.ndarray:
+def score_sequences(flat: np.ndarray, prior: Prior, sequences, chunk: int = 128) -> np.ndarray:
     """Natural log probability of each sequence of classes."""
-    p, odds = views(flat), np.exp(prior.log)
+    p, odds = views(flat), prior.odds()
     totals = np.zeros(len(sequences))
     held, masks, owners, waiting = [], [], [], 0
 
