@@ -6,13 +6,11 @@ next one's docs.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardwright.llm import decontaminate, langid, mixing, ngram_join, secrets
-from shardwright.llm.common import bound_batches, shared_dir, table
+from shardwright.llm.common import bound_batches, materialise, table
 
 #: Language ID rejects a document whose best language is less probable, or that has no letters.
 LEAST_CONFIDENCE = 0.4
@@ -58,8 +56,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    at = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{at}/{name}")
-        docs = spark.read.parquet(f"{at}/{name}")
+        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
