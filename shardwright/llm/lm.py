@@ -258,14 +258,14 @@ def forward(p: dict, x: np.ndarray, causal: np.ndarray):
     np.minimum(a, 60, out=a)
     np.exp(a, out=a)
     a *= causal
-    a /= a.sum(axis=2, keepdims=True)
+    a /= (a @ np.ones(a.shape[2], a.dtype))[:, :, None]
     z = a @ v
     return h + z @ p["O"], (h, q, k, v, a, z)
 
 
 def by_group(groups: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """An order in which positions of a group are together, and (group, first, last) of those that have any."""
-    order = np.argsort(groups, kind="stable")
+    order = np.argsort(groups.astype(np.uint8), kind="stable")
     bounds = np.searchsorted(groups[order], np.arange(GROUPS + 1)).tolist()
     return order, [(k, a, b) for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)) if b > a]
 
@@ -295,8 +295,8 @@ def log_probabilities(p: dict, odds, prior: Prior, x: np.ndarray, targets: np.nd
     y, _ = forward(p, x, CAUSAL)
     y, last, to = y[scored], prior.rows(x)[scored], targets[scored].astype(np.int64)
     coarse, fine, own, order, _ = softmaxes(p, odds, y, last, to)
-    own -= np.log(coarse.sum(axis=1))
-    own[order] -= np.log(fine.sum(axis=1))
+    own -= np.log(coarse @ np.ones(GROUPS, coarse.dtype))  # faster than sums of short rows
+    own[order] -= np.log(fine @ np.ones(MEMBERS, fine.dtype))
     return own + prior.log[last, to]
 
 
