@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -114,9 +113,8 @@ def extension(path: Column) -> Column:
 
 def claimed(path: Column, field: str) -> Column:
     """The value of a field that the extension claims; null where it claims none."""
-    found = extension(path)
-    own = {e: c[field] for e, c in CLAIMS.items() if field in c}
-    return reduce(lambda out, e: F.when(found == e, F.lit(own[e])).otherwise(out), own, F.lit(None))
+    own = [F.lit(x) for e, c in CLAIMS.items() if field in c for x in (e, c[field])]
+    return F.element_at(F.create_map(*own), extension(path))
 
 
 def width(dtype: Column) -> Column:
