@@ -13,9 +13,9 @@ earlier window scored, so each token counts once and (but for the first) has WIN
 context at least.
 
 What comes from the corpus covers all of it: word counts, id and bigram frequencies come from every
-training text.  Attention is trained on windows at one in `every` blocks of words of every training text,
-so on windows in proportion to the corpus: tasks train on their own windows from common parameters, which are then
-averaged, `rounds` times.
+training text.  Attention is trained on windows that lie end to end over every training text, so each of
+its ids (but START) is predicted once a round: tasks train on their own windows from common parameters,
+which are then averaged, `rounds` times.
 
 Cases: a null text is empty and holds only its end.  Any id may repeat or be null (null: a training
 text).  Without training texts the counts are 0 and the base's probabilities 1/(V+1) with V = 0.
@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import itertools
 import os
-import zlib
 from array import array
 from collections import Counter
 from dataclasses import dataclass
@@ -41,8 +40,8 @@ from .common import as_bytes, held_out, materialise, sum_blobs
 TOKENIZER = os.environ.get("SHARDWRIGHT_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 WINDOW, STRIDE, WIDTH = 32, 24, 16
 START, END, SINGLES, BINS = 0, 1, 180, 30
-#: Training windows start at every BLOCK-th word that is chosen; TEXTS texts are scored at a time.
-BLOCK, TEXTS = 10, 128
+#: TEXTS texts are scored at a time.
+TEXTS = 128
 CLASSES = 2 + SINGLES + 2 * BINS
 PAIRS = 2000
 #: Class k is member k % MEMBERS of group k // MEMBERS.
@@ -413,6 +412,14 @@ def cut(seq: np.ndarray) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(padded, WINDOW + 1)[::STRIDE]
 
 
+def training_windows(seq: np.ndarray) -> np.ndarray:
+    """Windows of WINDOW + 1 classes end to end (the last of one is the first of the next); END fills the last."""
+    n = max(1, -(-(len(seq) - 1) // WINDOW))
+    padded = np.full(n * WINDOW + 1, END, np.uint8)
+    padded[: len(seq)] = seq
+    return np.lib.stride_tricks.sliding_window_view(padded, WINDOW + 1)[::WINDOW]
+
+
 def scored_positions(n: int, length: int) -> np.ndarray:
     """Which of n windows' positions count, for a sequence of the given length."""
     at = np.arange(n)[:, None] * STRIDE + np.arange(WINDOW)
@@ -461,7 +468,7 @@ class Model:
     n_texts: int
 
 
-def train(texts: DataFrame, tokenizer: str = TOKENIZER, every: int = 32, rounds: int = 2) -> tuple[Model, DataFrame]:
+def train(texts: DataFrame, tokenizer: str = TOKENIZER, rounds: int = 3) -> tuple[Model, DataFrame]:
     """The model, and the table of training words with their counts.  texts: a column text."""
     spark = texts.sparkSession
     raw = open(tokenizer, "rb").read()
@@ -482,16 +489,9 @@ def train(texts: DataFrame, tokenizer: str = TOKENIZER, every: int = 32, rounds:
         raw, of = shipped.value
         spell = Spelling(raw, len(of))
         for batch in batches:
-            spans = []
-            for text in as_bytes(batch.column(0)):
-                words = words_of(text)
-                for at in range(zlib.crc32(text) % every * BLOCK, len(words) + 1, every * BLOCK):
-                    spans.append((at == 0, words[at : at + WINDOW], at + WINDOW >= len(words)))
-            spell.learn({w for _, words, _ in spans for w in words})
-            out = []
-            for first, words, last in spans:
-                ids = spell.text(words)[(0 if first else 1) : (None if last else -1)]
-                out.append(bytes(of[ids[: WINDOW + 1]]).ljust(WINDOW + 1, bytes([END])))
+            texts = [words_of(t) for t in as_bytes(batch.column(0))]
+            spell.learn(set().union(*texts))
+            out = [bytes(w) for words in texts for w in training_windows(of[spell.text(words)])]
             yield pa.RecordBatch.from_pydict({"w": pa.array(out, pa.binary())})
 
     windows = materialise(texts.select("text").mapInArrow(pick, "w binary"), "lm-windows")

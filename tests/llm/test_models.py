@@ -92,6 +92,21 @@ def test_no_training_texts(spark):
     assert (row["n_tokens"], row["n_known"], row["train_tokens"], row["base_score"]) == (3, 0, 0, 0.0)
 
 
+def test_attention_learns_from_every_id_of_every_text(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(lm, "average", lambda windows, flat, *_: (seen.append(windows.collect()), flat)[1])
+    texts = ["ralo", "", None, "mita suno " * 25, "lora kemi " * 700]
+    model, _ = lm.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    spell = lm.Spelling(model.tokenizer, len(model.of))
+    words = [lm.words_of((t or "").encode()) for t in texts]
+    spell.learn(set().union(*words))
+    want = Counter(bytes(p) for w in words for ids in [model.of[spell.text(w)]] for p in zip(ids[:-1], ids[1:], strict=True))
+    for windows in seen:
+        pairs = ((r["w"][i], r["w"][i + 1]) for r in windows for i in range(lm.WINDOW))
+        assert Counter(bytes(p) for p in pairs if p[0] != lm.END) == want
+    assert len(seen) == 3
+
+
 def test_every_token_is_scored_once_and_only_from_before():
     rng = np.random.default_rng(3)
     for length in (1, 2, lm.WINDOW, lm.WINDOW + 1, lm.WINDOW + 2, 200, 777):
