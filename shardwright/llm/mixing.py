@@ -6,9 +6,10 @@ then kept with its cell's probability, scaled so that the expected tokens are `f
 corpus; no cell can give more than it has, so raking holds every cell at its own tokens and lets the
 others make up for it; where targets and budget can't both be met, the budget is.  Keeping depends on a keyed hash of the document only, so it is repeatable.
 
-The targets are a mapping from value to share for each marginal; what isn't named goes into one class,
-OTHER, so that the cells are bounded by the targets' sizes.  `tempered` makes targets from the corpus:
-each share to a power, for the `most` largest values.
+Given targets are a mapping from value to share for each marginal; what they don't name goes into one
+class, OTHER.  Without them, targets are `tempered` from the corpus: each value's share to a power, for
+every value, OTHER being the nulls.  The cells that occur are raked as arrays on the driver, which must
+hold them.
 
 Topics, unless docs has a column `topic`, are the kind of writing by its form: table, list, loud
 (mostly capitals), brief or prose.
@@ -22,7 +23,6 @@ value that no document has goes to the others in proportion.
 from __future__ import annotations
 
 import itertools
-import math
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +37,8 @@ OTHER = "~other"
 DIMENSIONS = ("source", "lang", "topic")
 #: Powers of the corpus's shares that the production targets take.
 POWERS = {"source": 0.5, "lang": 0.7, "topic": 1.0}
+#: Probabilities of the cells go to every task up to this size; beyond, Spark joins by shuffle.
+BROADCAST_BYTES = 64 << 20
 
 
 _SPACE = np.zeros(256, bool)
@@ -84,19 +86,12 @@ def prepared(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, schema).withColumns({"_source": classed(F.col("source").cast("string")), "_lang": classed(F.col("lang").cast("string")), "_topic": classed(topic)})
 
 
-def tempered(ready: DataFrame, powers: dict[str, float] = POWERS, most: int = 500) -> dict[str, dict[str, float]]:
-    """Targets from the corpus: for each dimension, the `most` values of most tokens and OTHER."""
+def tempered(sides: list[tuple[np.ndarray, list[str]]], have: np.ndarray, powers: dict[str, float] = POWERS) -> dict[str, dict[str, float]]:
+    """Targets from the corpus for every value of each dimension.  sides: each dimension's value number by cell, and values."""
     targets = {}
-    for name in DIMENSIONS:
-        by = ready.groupBy(F.col(f"_{name}").alias("k")).agg(F.sum("_tokens").alias("n")).filter("n > 0")
-        whole = by.agg(F.sum("n")).first()[0] or 0
-        top = {r["k"]: r["n"] for r in by.filter(F.col("k") != OTHER).orderBy(F.desc("n"), "k").limit(most).collect()}
-        rest = whole - sum(top.values())
-        if rest > 0:
-            top[OTHER] = rest
-        shares = {k: (n / whole) ** powers.get(name, 1.0) for k, n in top.items()}
-        total = sum(shares.values())
-        targets[name] = {k: s / total for k, s in shares.items()}
+    for name, (of, values) in zip(DIMENSIONS, sides, strict=True):
+        shares = (np.bincount(of, have, len(values)) / have.sum()) ** powers.get(name, 1.0)
+        targets[name] = dict(zip(values, (shares / shares.sum()).tolist(), strict=True))
     return targets
 
 
@@ -105,14 +100,19 @@ def rake(cells: dict[tuple, float], targets: dict[str, dict[str, float]], fracti
     keys = sorted(cells)
     if not keys:
         return {}
-    have = np.array([cells[k] for k in keys], float)
+    coded = [np.unique([k[d] for k in keys], return_inverse=True) for d in range(len(DIMENSIONS))]
+    w = raked([(of, values.tolist()) for values, of in coded], np.array([cells[k] for k in keys], float), targets, fraction, sweeps, tolerance)
+    return dict(zip(keys, w.tolist(), strict=True))
+
+
+def raked(coded: list[tuple[np.ndarray, list[str]]], have: np.ndarray, targets: dict[str, dict[str, float]], fraction: float, sweeps: int = 500, tolerance: float = 1e-9) -> np.ndarray:
+    """As rake, of cells given by their tokens and, as for tempered, by their values."""
     want = have.sum() * fraction
     sides = []
-    for d, name in enumerate(DIMENSIONS):
-        values = sorted({k[d] for k in keys})
-        of = np.array([values.index(k[d]) for k in keys])
+    for name, (of, values) in zip(DIMENSIONS, coded, strict=True):
         goal = np.array([targets[name].get(v, 0.0) for v in values])
         sides.append((of, goal / goal.sum() * want if goal.sum() else np.bincount(of, have) * fraction, len(values)))
+
     def filled(w):
         """What is missing to the budget comes from the cells that have more, in proportion."""
         for _ in range(len(w) + 1):
@@ -131,31 +131,30 @@ def rake(cells: dict[tuple, float], targets: dict[str, dict[str, float]], fracti
         w = filled(w)
         if np.abs(w - before).max() <= tolerance * want:
             break
-    return dict(zip(keys, np.divide(w, have, out=np.zeros_like(w), where=have > 0).tolist(), strict=True))
+    return np.divide(w, have, out=np.zeros_like(w), where=have > 0)
 
 
-def classed(name: str, targets: dict[str, dict[str, float]]):
-    return F.when(F.col(f"_{name}").isin(list(targets[name])), F.col(f"_{name}")).otherwise(F.lit(OTHER))
+def classed(name: str, targets: dict[str, dict[str, float]] | None):
+    return F.col(f"_{name}") if targets is None else F.when(F.col(f"_{name}").isin(list(targets[name])), F.col(f"_{name}")).otherwise(F.lit(OTHER))
 
 
-def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, fraction: float = 0.5, seed: int = 42, max_cells: int = 1_000_000) -> DataFrame:
+def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, fraction: float = 0.5, seed: int = 42) -> DataFrame:
     """The sampled documents: the columns of docs, and keep_probability, mix_weight (1 / probability) and n_tokens."""
     spark = docs.sparkSession
     docs = docs.select([c for c in docs.columns if c not in ("_tokens", "_form", "_source", "_lang", "_topic")])
     ready = prepared(docs)
     read = [c for c in ("text", "source", "lang", "topic") if c in docs.columns]
     narrow = materialise(prepared(docs.select(read)).groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("_tokens")), "mix-cells")
-    targets = targets or tempered(narrow)
-    if math.prod(len(targets[d]) + 1 for d in DIMENSIONS) > max_cells:
-        raise ValueError("the targets make too many cells")
-    keys = [classed(d, targets).alias(d) for d in DIMENSIONS]
-    cells = {tuple(r)[:3]: r["n"] for r in narrow.groupBy(*keys).agg(F.sum("_tokens").alias("n")).filter("n > 0").collect()}
-    shares = rake(cells, targets, fraction)
-    rows = [(*k, float(p)) for k, p in shares.items()]
-    table = spark.createDataFrame(rows, "_s string, _l string, _t string, _p double")
+    keys = [classed(d, targets).alias(k) for d, k in zip(DIMENSIONS, ("_s", "_l", "_t"), strict=True)]
+    cells = narrow.groupBy(*keys).agg(F.sum("_tokens").alias("n")).filter("n > 0").toArrow().sort_by([(k, "ascending") for k in ("_s", "_l", "_t")])
+    columns, have = [cells.column(k).combine_chunks() for k in ("_s", "_l", "_t")], cells.column("n").to_numpy().astype(float)
+    coded = [(c.indices.to_numpy(), c.dictionary.to_pylist()) for c in map(pc.dictionary_encode, columns)]
+    p = raked(coded, have, targets or tempered(coded, have), fraction) if len(have) else have
+    table = spark.createDataFrame(pa.table({"_s": columns[0], "_l": columns[1], "_t": columns[2], "_p": pa.array(p, pa.float64())}))
+    table = F.broadcast(table) if cells.nbytes <= BROADCAST_BYTES else table
     unit = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")), F.lit(seed)), F.lit(1 << 52)) / float(1 << 52)
     named = ready.withColumns({"_s": classed("source", targets), "_l": classed("lang", targets), "_t": classed("topic", targets)})
-    kept = named.filter("_tokens > 0").join(F.broadcast(table), ["_s", "_l", "_t"]).filter(unit < F.col("_p"))
+    kept = named.filter("_tokens > 0").join(table, ["_s", "_l", "_t"]).filter(unit < F.col("_p"))
     own = [c for c in docs.columns if c not in ("keep_probability", "mix_weight", "n_tokens")]
     return kept.select(*own, F.col("_p").alias("keep_probability"), (1 / F.col("_p")).alias("mix_weight"), F.col("_tokens").alias("n_tokens"))
 

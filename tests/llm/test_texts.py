@@ -126,6 +126,18 @@ def test_mixing_keeps_calibrated_documents(spark):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+def test_every_source_and_language_has_its_target(spark):
+    rows = [(i, "word " * (40 if i % 700 < 10 else 10), f"s{i % 700}", f"l{i % 340}" if i % 5 else None) for i in range(14_000)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string"), fraction=0.3).collect()
+    whole = sum(len(r[1].split()) for r in rows)
+    part = {s: sum(len(r[1].split()) for r in rows if r[2] == s) / whole for s in ("s3", "s600")}
+    scale = sum((part["s3"] if k < 10 else part["s600"]) ** 0.5 for k in range(700))
+    for named, own in (({f"s{k}" for k in range(10)}, 10 * part["s3"] ** 0.5 / scale), ({f"s{k}" for k in range(500, 700)}, 200 * part["s600"] ** 0.5 / scale)):
+        assert sum(r["n_tokens"] for r in got if r["source"] in named) / sum(r["n_tokens"] for r in got) == pytest.approx(own, rel=0.15)
+    expected = sum(r["mix_weight"] * r["n_tokens"] for r in got)
+    assert expected == pytest.approx(whole, rel=0.1)
+
+
 BENCH = [(1, "If Alice walks 12 km in 3 hours and then rests, how far does she walk in 9 hours at that pace?"), (2, "Plain words without any slot that go on for a while here"), (3, "too short here"), (4, None), (None, "Plain words without any slot that go on for a while here"), (5, "Plain words without any slot that go on for a while here")]
 DOCS = [
     (0, "before it. " + BENCH[0][1] + " after"), (1, "so: If Bob walks 15 km in 4 hours and then rests, how far does she walk in 8 hours at that pace?"), (2, "PLAIN words without, any slot that go on FOR a while here!"), (3, "If Alice walks 12 km in 3 hours and then rests, how far"), (4, "clean text that says nothing of the kind at all, ever"),
