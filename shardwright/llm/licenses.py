@@ -102,10 +102,16 @@ KNOWN = {normalised(part): key for key, texts in SENTENCES.items() for text in t
 LONGEST = max(map(len, KNOWN)) + 40
 
 
-def identified(text: str, known: dict[str, str]) -> list[tuple[int, int, int, str]]:
+def beginnings(known: dict[str, str]) -> set[str]:
+    """The known sentences' first words, for each number of words."""
+    return {" ".join(words[:n]) for words in map(str.split, known) for n in range(1, len(words) + 1)}
+
+
+def identified(text: str, known: dict[str, str], starts: set[str]) -> list[tuple[int, int, int, str]]:
     """(number, start, end, identifier) of the known sentences; a number counts all sentences.
 
-    Known sentences that hold stops themselves are found by joining up to three sentences.
+    Line ends, comment marks and stops may cut a known sentence into any number of pieces: pieces are
+    joined as long as they begin one (starts: `beginnings`), and the longest known one is taken.
     """
     cuts, out, i = sentences(text), [], 0
     forms = [normalised(text[a:b]) if b - a <= 4 * LONGEST else "" for a, b in cuts]
@@ -114,15 +120,21 @@ def identified(text: str, known: dict[str, str]) -> list[tuple[int, int, int, st
         if not forms[i]:
             i += 1
             continue
-        for k in (3, 2, 1):
-            group = " ".join(f for f in forms[i : i + k] if f)
-            if key := known.get(group):
-                a, b = cuts[i][0], cuts[min(i + k, len(cuts)) - 1][1]
-                a += len(text[a:b]) - len(text[a:b].lstrip())
-                b -= len(text[a:b]) - len(text[a:b].rstrip())
-                out.append((number, a, b, key))
-                i += k
+        group, j, last = forms[i], i + 1, None
+        while group in starts:
+            if group in known:
+                last = j, known[group]
+            while j < len(cuts) and not forms[j] and cuts[j][1] - cuts[j][0] <= 4 * LONGEST:
+                j += 1
+            if j == len(cuts) or not forms[j]:
                 break
+            group, j = f"{group} {forms[j]}", j + 1
+        if last:
+            a, b = cuts[i][0], cuts[last[0] - 1][1]
+            a += len(text[a:b]) - len(text[a:b].lstrip())
+            b -= len(text[a:b]) - len(text[a:b].rstrip())
+            out.append((number, a, b, last[1]))
+            i = last[0]
         else:
             i += 1
         number += 1
@@ -154,13 +166,13 @@ HINT = r"(?i)licen[sc]e|permi(?:t|ss)|copyright|redistribut|warrant|public|reser
 
 def scan(docs: DataFrame, gap: int = 2) -> DataFrame:
     """doc_id, licence, first, last (code points, end exclusive), n_sentences: one row a match."""
-    known, rules = dict(KNOWN), list(RULES)
+    known, starts, rules = dict(KNOWN), beginnings(KNOWN), list(RULES)
 
     def run(batches):
         for batch in batches:
             texts = pc.fill_null(batch.column(1), "")
             maybe = pc.match_substring_regex(texts, HINT)
-            rows = [(d, *m) for d, t in zip(batch.column(0).filter(maybe).to_pylist(), texts.filter(maybe).to_pylist(), strict=True) for m in match_rules(identified(t, known), rules, gap)]
+            rows = [(d, *m) for d, t in zip(batch.column(0).filter(maybe).to_pylist(), texts.filter(maybe).to_pylist(), strict=True) for m in match_rules(identified(t, known, starts), rules, gap)]
             columns = list(zip(*rows, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if i == 1 else pa.int64()) for i, c in enumerate(columns)], names=["doc_id", "licence", "first", "last", "n_sentences"])
 

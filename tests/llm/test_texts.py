@@ -27,6 +27,20 @@ def test_licences(spark):
     assert (3, "Licensed under CC BY-NC 4.0.") in spans and (8, "Released under the MIT License.") in spans
 
 
+def test_wrapped_licences_and_comment_headers(spark):
+    import textwrap
+
+    own = lambda *keys: "\n\n".join(textwrap.fill(" ".join(licenses.SENTENCES[k][0] for k in part), 78) for part in keys)
+    mit = "MIT License\n\nCopyright (c) 2020 Someone\n\n" + own(["mit-grant"], ["mit-notice"], ["mit-warranty", "mit-liability"])
+    bsd = own(["bsd-use"]) + "\n\n1. " + own(["bsd-source"]) + "\n\n2. " + own(["bsd-binary"]) + "\n\n"
+    gpl = own(["gpl3-grant"], ["gpl-warranty", "gpl-details"])
+    marked = lambda text, mark: "\n".join(f"{mark} {line}" for line in text.split("\n"))
+    texts = [mit, bsd + own(["bsd-warranty"]), bsd + "3. " + own(["bsd-endorse"], ["bsd-warranty"]), gpl, marked(mit, "#"), "/*\n" + marked(mit, " *") + "\n */\nint x;", marked(gpl, "#"), "/*\n" + marked(gpl, " *") + "\n */", marked(mit, "//")]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((r["doc_id"], r["licence"], r["n_sentences"]) for r in licenses.scan(df).collect())
+    assert got == [(0, "MIT", 5), (1, "BSD-2-Clause", 4), (2, "BSD-3-Clause", 5), (3, "GPL-3.0-or-later", 3), (4, "MIT", 5), (5, "MIT", 5), (6, "GPL-3.0-or-later", 3), (7, "GPL-3.0-or-later", 3), (8, "MIT", 5)]
+
+
 def test_rules_match_as_brute_force_does():
     rng = random.Random(0)
     rules = [("A", ("a",)), ("AB", ("a", "b")), ("ABC", ("a", "b", "c")), ("CB", ("c", "b")), ("A2", ("a",))]
