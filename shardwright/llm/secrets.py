@@ -7,15 +7,16 @@ threshold.  The network is trained in numpy on labelled findings that `labelled`
 and look-alikes in prose, configuration and code); Platt scaling calibrates it on findings it hasn't
 seen, and the threshold is the highest whose recall on them is at least `recall`.
 
-Cases: a null text is empty and has no spans.  Whole texts are read, however long; of a candidate
-longer than LENGTH characters the network reads the first LENGTH, the span covers all.  Repeated rows
-are scanned one by one.  Other columns are ignored.
+Cases: a null text is empty and has no spans.  Whole texts are read, however long; a candidate longer
+than LENGTH characters is read by overlapping windows, and as what stands between its separators, the
+highest probability counts and the span covers all.  Repeated rows are scanned one by one.  Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import bisect
 import hashlib
+import itertools
 import re
 from dataclasses import dataclass
 
@@ -30,11 +31,15 @@ KINDS = ("assign", "access", "hex", "net")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # the runs of [0-9a-f]+ that are long enough
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=.-])(?=[A-Za-z+/_=.-]*[0-9])(?=[0-9+/_=.-]*[A-Za-z])[A-Za-z0-9+/_=.-]{16,}")
+SHAPE = r"(?<![A-Za-z0-9])(?:ghp_|gho_|glpat-|sk-|sk_live_|xoxb-|SG\.|AIza|npm_|eyJ)[A-Za-z0-9_-]{12}"
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=.-])(?:(?=[A-Za-z+/_=.-]*[0-9])(?=[0-9+/_=.-]*[A-Za-z])|(?=[A-Za-z+/_=.-]*" + SHAPE + r"))[A-Za-z0-9+/_=.-]{16,}")
+PART = re.compile(r"[A-Za-z0-9+_-]{16,}")
 #: Texts without this have no span (RE2, so in time linear in the text).
 QUICK = r"(?i:password|passwd|secret|token|api_?key)|AKIA|[A-Za-z0-9+/_=.-]{16}"
 
 SIDE, LENGTH, FILTERS, SPAN, EMBED = 20, 64, 24, 5, 8
+#: Windows of a long candidate start so many characters apart, so any secret of up to LENGTH - STEP is whole in one.
+STEP = 16
 TOTAL = 2 * SIDE + LENGTH
 
 
@@ -163,15 +168,29 @@ def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
     return out
 
 
+def views(text: str, start: int, end: int):
+    """(start, end) of all that the network reads of a candidate: the whole, or windows and the parts between separators."""
+    if end - start <= LENGTH:
+        yield start, end
+        return
+    for at in range(start, end - LENGTH + STEP, STEP):
+        yield min(at, end - LENGTH), min(at, end - LENGTH) + LENGTH
+    for m in PART.finditer(text, start, end):
+        if len(m[0]) <= LENGTH and CANDIDATE.match(m[0]):
+            yield m.span()
+
+
 def find(texts: list[str], net: Network) -> list[list[tuple[int, int, int]]]:
     """Each text's spans (start, kind number, end), sorted: the rules' and the network's."""
     found = [rule_spans(t) for t in texts]
-    asked = [(i, *c) for i, t in enumerate(texts) for c in candidates(t, found[i])]
-    for at in range(0, len(asked), 2048):
-        part = asked[at : at + 2048]
-        for (i, s, e), p in zip(part, net.probability(np.array([encode(texts[i], s, e) for i, s, e in part])), strict=True):
+    asked = ((i, c, v) for i, t in enumerate(texts) for c in candidates(t, found[i]) for v in views(t, *c))
+    secret = set()
+    while part := list(itertools.islice(asked, 2048)):
+        for (i, c, _), p in zip(part, net.probability(np.array([encode(texts[i], *v) for i, _, v in part])), strict=True):
             if p >= net.threshold:
-                found[i].append((s, 3, e))
+                secret.add((i, *c))
+    for i, s, e in secret:
+        found[i].append((s, 3, e))
     return [sorted(f) for f in found]
 
 
