@@ -4,8 +4,10 @@ Words become template tokens: numbers, units (after a number) and names turn int
 the rest stays as lower-case words without outer punctuation.  Windows of `n` template tokens of each
 benchmark item are hashed and joined with the windows of every document.  Hits of one item at one
 alignment form a passage; its slots must be filled consistently (each value of the item always stands
-for the same value of the document, and the reverse), which tells a re-parameterised question from a
-chance likeness.  A passage whose slots are all equal is `exact`, another `reparameterised`.
+for the same value of the document; two values may be redrawn alike).  Of an alignment that isn't
+consistent as a whole, the larger of two parts is the passage: the windows whose slots are all equal, or
+the longest consistent stretch of windows, each with the other windows that agree with it.  A passage whose
+slots are all equal is `exact`, another `reparameterised`.
 
 A name is a word of NAMES, or a capitalised word (one capital, then lower case) that doesn't start a
 sentence.  The benchmark's windows go to the tasks in blocks of at most `block_windows`, one pass over
@@ -20,7 +22,7 @@ take no part.  Other columns are ignored.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from functools import reduce
 
 import numpy as np
@@ -129,6 +131,59 @@ def consistent(a: np.ndarray, b: np.ndarray) -> bool:
     return len(pairs) == len({x for x, _ in pairs}) == len({y for _, y in pairs})
 
 
+class Fillings(dict):
+    """What the item's values stand for in the document, of the slots at the counted places: value -> {value: count}."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, slot: np.ndarray):
+        super().__init__()
+        self.a, self.b, self.slot, self.places, self.clashes = a.tolist(), b.tolist(), slot.tolist(), Counter(), 0
+
+    def put(self, first: int, size: int, by: int) -> None:
+        """Adds (by 1) or takes back (by -1) the window at `first`."""
+        for i in range(first, first + size):
+            before = self.places[i]
+            self.places[i] += by
+            if self.slot[i] and (before == 0 or before + by == 0):
+                of = self.setdefault(self.a[i], Counter())
+                self.clashes -= len(of) > 1
+                of[self.b[i]] += by
+                if not of[self.b[i]]:
+                    del of[self.b[i]]
+                self.clashes += len(of) > 1
+
+
+def largest_part(a: np.ndarray, b: np.ndarray, slot: np.ndarray, hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The windows (place, size) of `hits`, sorted, that make the passage: all of them if their slots agree.  a, b: literals of item and document, by place."""
+
+    def agreeing(part):
+        """part, and the other windows that agree with it, from left to right."""
+        seen, taken = Fillings(a, b, slot), set(part)
+        for w in part:
+            seen.put(*w, 1)
+        for w in hits:
+            if w not in taken:
+                seen.put(*w, 1)
+                if seen.clashes:
+                    seen.put(*w, -1)
+                else:
+                    taken.add(w)
+        return sorted(taken)
+
+    seen, first, best = Fillings(a, b, slot), 0, (0, 0)
+    for last, w in enumerate(hits):
+        seen.put(*w, 1)
+        while seen.clashes:
+            seen.put(*hits[first], -1)
+            first += 1
+        best = max(best, (last + 1 - first, -first))
+    n, first = best[0], -best[1]
+    if n in (0, len(hits)):
+        return hits[:n]
+    equal = [(p, s) for p, s in hits if not (slot[p : p + s] & (a[p : p + s] != b[p : p + s])).any()]
+    covered = lambda part: len({i for p, s in part for i in range(p, p + s)})
+    return max((agreeing(equal), agreeing(hits[first : first + n])), key=covered)
+
+
 def passages(text: bytes, sealed, words: Vocabulary):
     """(item id, kind, first word, words, windows) of each item found in the text, at its longest alignment."""
     lengths, places, items = sealed
@@ -144,12 +199,15 @@ def passages(text: bytes, sealed, words: Vocabulary):
                     found[item, p - q].add((p, size))
     best: dict = {}
     for (item, shift), hits in found.items():
-        covered = np.unique(np.concatenate([np.arange(p, p + s) for p, s in hits]))
         item_id, own_literal, own_kind = items[item]
+        low, high = min(p for p, _ in hits), max(p + s for p, s in hits)
+        own, slots = own_literal[low - shift : high - shift], kind[low:high] != WORD
+        hits = largest_part(own, literal[low:high], slots, sorted((p - low, s) for p, s in hits))
+        if not hits:
+            continue
+        covered = np.unique(np.concatenate([np.arange(low + p, low + p + s) for p, s in hits]))
         slot = covered[kind[covered] != WORD]
         a, b = own_literal[slot - shift], literal[slot]
-        if not consistent(a, b):
-            continue
         row = (len(covered), -int(word[covered[0]]), item_id, "exact" if (a == b).all() else "reparameterised", len(hits))
         best[item] = max(best.get(item, row), row)
     return [(i, k, -w, c, n) for c, w, i, k, n in best.values()]

@@ -170,6 +170,22 @@ def test_benchmark_passages_are_found(spark):
     assert {(r["doc_id"], r["item_id"], r["kind"]) for r in split.collect()} == got
 
 
+def test_edited_and_redrawn_passages_are_found():
+    long = "A farmer sells 60 eggs every single week to people of the town near the river. Later the farmer keeps the other half of what is left and again sells 60 eggs to everyone who asks for them"
+    short = "the two boxes on the table weigh 2 kg and 3 kg so how much do both of them weigh"
+    index = decontaminate.Index(8, 5)
+    for i, t in enumerate((long, short)):
+        index.add(i, t.encode())
+    found = lambda t: {(p[0], p[1], p[3]) for p in decontaminate.passages(t.encode(), index.sealed(), decontaminate.Vocabulary())}
+    assert found(long) == {(0, "exact", len(long.split()))}
+    assert found(long[::-1].replace("06", "08", 1)[::-1]) == {(0, "reparameterised", 34)}
+    longer = long + " and then the farmer sells 60 eggs to all other people who come by later on that day"
+    index.add(2, longer.encode())
+    assert (2, "exact", len(longer.split()) - 1) in found(longer.replace("again sells 60", "again sells 80"))
+    assert found(short.replace("2 kg", "5 kg").replace("3 kg", "5 kg")) == {(1, "reparameterised", len(short.split()))}
+    assert found(short.replace("2 kg", "7 kg")) == {(1, "reparameterised", len(short.split()))}
+
+
 def test_slots_stand_for_each_other():
     a = np.array
     assert decontaminate.consistent(a([1, 2, 1]), a([5, 6, 5]))
