@@ -50,7 +50,28 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes what materialise wrote, when nothing reads it any more; what isn't discarded goes when the application ends."""
+    for df in frames:
+        spark = df.sparkSession
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.scratch)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def free_names(taken: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores behind it as keep it clear (in any case of letters) of the taken ones."""
+    used, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import discard, materialise
 
 
 def _star(edges: DataFrame, least: DataFrame) -> DataFrame:
@@ -26,9 +26,10 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = materialise(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = materialise(_star(both.filter("v > u"), least).distinct(), "large")
-        least = materialise(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        small = _star(large, least).unionByName(least.select("u", F.col("m").alias("v")))
-        edges = materialise(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+        least_again = materialise(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        small = _star(large, least_again).unionByName(least_again.select("u", F.col("m").alias("v")))
+        old, edges = edges, materialise(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+        discard(old, least, large, least_again)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             break

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, materialise
+from .common import as_bytes, discard, free_names, materialise
 from .components import components
 
 #: Most n-grams, and most texts, of a block in verification.
@@ -48,8 +48,10 @@ def choose_bands(threshold: float, recall: float, most: int = 256) -> tuple[int,
 
 
 class WordHashes(dict):
+    """Hashes of words, as many as a small share of a worker's memory holds."""
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 250_000:
             self.clear()
         self[word] = out = xxhash.xxh3_64_intdigest(word)
         return out
@@ -190,8 +192,8 @@ def verify(table: pa.Table, n: int, threshold: float) -> pa.Table:
     return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("node", "links", "top"), columns, strict=True)})
 
 
-def ngram_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999) -> DataFrame:
-    """One row a document: doc_id, copy_id (least id of its exact copies), class_id (least id of its group) and n_links (documents at or above the threshold)."""
+def classes(docs: DataFrame, n: int, threshold: float, recall: float) -> tuple[DataFrame, DataFrame]:
+    """(sketches, named): what `sketch` gives, and by tkey copy_id, class_id, n_links and root, the number of the class.  Texts without words have no row in named."""
     spark = docs.sparkSession
     bands, rows = choose_bands(threshold, recall)
     sketches = materialise(sketch(docs, n, bands, rows), "sketches")
@@ -204,6 +206,7 @@ def ngram_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: floa
     buckets = materialise(rows_.groupBy("h").agg(F.min("node").alias("m"), F.max("node").alias("x")).filter("m < x").select("h", "m"), "buckets")
     ties = rows_.join(buckets, "h").filter("node <> m").select(F.col("node").alias("u"), F.col("m").alias("v"))
     found = components(ties)
+    discard(buckets)
 
     members = found.join(nodes.select("node", "first", "copies", "grams"), "node")
     sizes = members.groupBy("root").agg(F.sum("grams").alias("g"), F.count("*").alias("m"))
@@ -216,6 +219,8 @@ def ngram_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: floa
     small = F.broadcast(small) if count <= BROADCAST_ROWS else small
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("xh"), "text")
     texts = texts.join(small, (texts.xh == small.xh) & texts.doc_id.eqNullSafe(small.own)).select("node", "root", "blocks", "copies", "text")
+    # Rows that repeat an id and its text meet one node; it goes on once.
+    texts = texts.groupBy("node").agg(*(F.first(c).alias(c) for c in ("root", "blocks", "copies", "text")))
     texts = texts.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     alone = F.col("blocks") == 1
     texts = texts.select(
@@ -224,23 +229,39 @@ def ngram_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: floa
     )
     checked = texts.groupBy("task", "alone", "low", "high").applyInArrow(lambda t: verify(t, n, threshold), "node long, links long, top long")
     checked = materialise(checked, "verified")
+    discard(sizes, members)
     degrees = checked.groupBy("node").agg(F.sum("links").alias("links"))
     groups = components(checked.filter("node <> top").select(F.col("node").alias("u"), F.col("top").alias("v")))
 
     named = nodes.select("node", "tkey", "copy_id", "copies").join(degrees, "node", "left").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = materialise(named.select("root", "tkey", "copy_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "classes")
+    discard(nodes, checked)
     names = materialise(named.groupBy("root").agg(F.min("copy_id").alias("class_id")), "names")
-    named = named.join(names, "root").select("tkey", "copy_id", "class_id", "n_links")
+    return sketches, named.join(names, "root").select("tkey", "root", "copy_id", "class_id", "n_links")
+
+
+def ngram_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999) -> DataFrame:
+    """One row a document: doc_id, copy_id (least id of its exact copies), class_id (least id of its group) and n_links (documents at or above the threshold)."""
+    sketches, named = classes(docs, n, threshold, recall)
     empty = F.col("grams") == 0
     out = sketches.select("doc_id", "tkey", "grams").join(named, "tkey", "left")
     return out.select("doc_id", F.when(empty, F.col("doc_id")).otherwise(F.col("copy_id")).alias("copy_id"), F.when(empty, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
-def keep_one(docs: DataFrame, **settings) -> DataFrame:
-    """One document of each group, that of the least id.  Rows without id stay; of rows that repeat an id one stays."""
-    joined = materialise(ngram_join(docs, **settings), "joined")
-    kept = joined.filter("doc_id = class_id").select("doc_id").distinct()
-    out = docs.join(kept, "doc_id", "left_semi")
-    if not joined.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        out = out.dropDuplicates(["doc_id"])
-    return out.select(docs.columns).unionByName(docs.filter("doc_id is null"))
+def keep_one(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999) -> DataFrame:
+    """One document of each group, that of the least id (of texts under one id, that of the least hash).  Rows without id stay.
+
+    A row is known by its id and its text, so other texts under the same id are judged by themselves; of rows that repeat both one stays.  Rows without words are in no group, and all stay.
+    """
+    sketches, named = classes(docs, n, threshold, recall)
+    known = sketches.filter("doc_id is not null")
+    rows = known.filter("grams > 0").groupBy("tkey", "doc_id", "xh").agg(F.count("*").alias("times")).join(named.select("tkey", "root"), "tkey")
+    kept = rows.groupBy("root").agg(F.min(F.struct("doc_id", "xh", "times")).alias("f")).select("f.doc_id", "f.xh", "f.times")
+    wordless = known.filter("grams = 0").select("doc_id", "xh", F.lit(1).cast("long").alias("times")).distinct()
+    own, key, times, hashed = free_names(docs.columns, "own_id", "own_hash", "times", "text_hash")
+    kept = materialise(kept.unionByName(wordless).toDF(own, key, times), "kept")
+    source = docs.withColumn(hashed, F.xxhash64("text"))
+    of = lambda kept: source.join(kept, (source[hashed] == kept[key]) & (source["doc_id"].cast("long") == kept[own]))
+    out = of(kept.filter(F.col(times) == 1)).select(docs.columns).unionByName(docs.filter("doc_id is null"))
+    repeated = kept.filter(F.col(times) > 1)
+    return out if repeated.isEmpty() else out.unionByName(of(repeated).dropDuplicates([own, key]).select(docs.columns))

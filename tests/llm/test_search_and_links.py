@@ -103,6 +103,21 @@ def test_one_of_each_group_stays(spark):
     assert kept == sorted([*want, None], key=repr)
 
 
+def test_only_copies_under_a_repeated_id_collapse(spark):
+    other = " ".join(f"else{i}" for i in range(30))
+    rows = [(1, " ".join(BASE), 1), (1, other, 2), (2, NEAR[1], 3), (3, other.upper(), 4), (4, "", 5), (4, "", 6), (5, "one text", 7), (5, "one text", 8)]
+    for parts in (1, 5):
+        df = spark.createDataFrame(rows, "doc_id long, text string, own_hash int").repartition(parts)
+        kept = sorted((r["doc_id"], r["text"]) for r in ngram_join.keep_one(df).collect())
+        assert kept == sorted([(1, " ".join(BASE)), (1, other), (4, ""), (4, ""), (5, "one text")])
+
+
+def test_many_repeated_rows_meet_one_node(spark):
+    rows = [(7, " ".join(BASE))] * 500 + [(None, NEAR[2])] * 300 + [(8, NEAR[3])]
+    got = ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id long, text string")).distinct().collect()
+    assert {(r["doc_id"], r["class_id"], r["n_links"]) for r in got} == {(7, 7, 800), (None, 7, 800), (8, 7, 800)}
+
+
 @pytest.mark.parametrize(("threshold", "recall"), [(0.8, 0.999), (0.8, 0.95), (0.5, 0.9), (0.9, 0.99), (1.0, 0.9)])
 def test_bands_reach_their_recall(threshold, recall):
     bands, rows = ngram_join.choose_bands(threshold, recall)
