@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardwright.llm import decontaminate, langid, mixing, ngram_join, secrets
-from shardwright.llm.common import bound_batches, materialise, table
+from shardwright.llm.common import bound_batches, discard, free_names, materialise, table
 
 #: Language ID rejects a document whose best language is less probable, or that has no letters.
 LEAST_CONFIDENCE = 0.4
@@ -20,9 +20,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; a null lang is filled in."""
     bound_batches(spark)
     model = langid.train(langid.folds(docs).filter("not held_out"))
-    judged = langid.identify(docs, model, docs.columns, ("_found", "_score"))
-    kept = judged.filter((F.col("_found") != langid.UND) & (F.col("_score") >= LEAST_CONFIDENCE))
-    return kept.withColumn("lang", F.coalesce("lang", "_found")).select(docs.columns)
+    found, score = free_names(docs.columns, "found", "score")
+    judged = langid.identify(docs, model, docs.columns, (found, score))
+    kept = judged.filter((F.col(found) != langid.UND) & (F.col(score) >= LEAST_CONFIDENCE))
+    return kept.withColumn("lang", F.coalesce("lang", found)).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,5 +58,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if hasattr(before, "scratch"):
+            discard(before)
     return docs
