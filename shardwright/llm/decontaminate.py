@@ -66,7 +66,7 @@ class Vocabulary(dict):
         self[raw] = n
         return n
 
-    def bound(self, most: int = 1_000_000) -> None:
+    def bound(self, most: int = 250_000) -> None:
         if len(self) > most:
             self.clear()
 

@@ -4,7 +4,8 @@ Tokens (runs of anything but ASCII white space) are counted by cell of source, l
 Raking scales the cells' weights to each marginal's targets in turn until all agree.  A document is
 then kept with its cell's probability, scaled so that the expected tokens are `fraction` of the
 corpus; no cell can give more than it has, so raking holds every cell at its own tokens and lets the
-others make up for it; where targets and budget can't both be met, the budget is.  Keeping depends on a keyed hash of the document only, so it is repeatable.
+others make up for it; where targets and budget can't both be met, the budget is, and the gaps that
+remain are logged.  Raking that doesn't settle raises.  Keeping depends on a keyed hash of the document only, so it is repeatable.
 
 Given targets are a mapping from value to share for each marginal; what they don't name goes into one
 class, OTHER.  Without them, targets are `tempered` from the corpus: each value's share to a power, for
@@ -23,6 +24,7 @@ value that no document has goes to the others in proportion.
 from __future__ import annotations
 
 import itertools
+import logging
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +33,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise
+from .common import discard, free_names, materialise
 
+LOG = logging.getLogger(__name__)
 OTHER = "~other"
 DIMENSIONS = ("source", "lang", "topic")
 #: Powers of the corpus's shares that the production targets take.
@@ -70,20 +73,20 @@ def forms(column: pa.Array, capitals: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return np.select([has("\n| "), has("\n- ") | has("\n* "), capitals * 2 > sizes, sizes < 500], ["table", "list", "loud", "brief"], "prose")
 
 
-def prepared(docs: DataFrame) -> DataFrame:
-    """docs with _tokens and the three classes."""
-    names = docs.columns
-    schema = T.StructType([*docs.schema.fields, T.StructField("_tokens", T.LongType()), T.StructField("_form", T.StringType())])
+@F.arrow_udf(T.StructType([T.StructField("tokens", T.LongType()), T.StructField("form", T.StringType())]))
+def measured(column: pa.Array) -> pa.Array:
+    """Tokens and form of each text; only texts go to Python and back come numbers."""
+    tokens, capitals, sizes = count_tokens(column)
+    return pa.StructArray.from_arrays([pa.array(tokens), pa.array(forms(column, capitals, sizes), pa.string())], names=["tokens", "form"])
 
-    def run(batches):
-        for batch in batches:
-            text = batch.column(names.index("text"))
-            tokens, capitals, sizes = count_tokens(text)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tokens), pa.array(forms(text, capitals, sizes), pa.string())], names=[*names, "_tokens", "_form"])
 
-    topic = F.col("topic").cast("string") if "topic" in names else F.col("_form")
-    classed = lambda c: F.coalesce(c, F.lit(OTHER))
-    return docs.mapInArrow(run, schema).withColumns({"_source": classed(F.col("source").cast("string")), "_lang": classed(F.col("lang").cast("string")), "_topic": classed(topic)})
+def prepared(docs: DataFrame, names: list[str]) -> DataFrame:
+    """docs with the tokens and the three classes, as columns of the given names."""
+    found = names[0]
+    topic = F.col("topic").cast("string") if "topic" in docs.columns else F.col(found)["form"]
+    classes = [F.coalesce(c, F.lit(OTHER)) for c in (F.col("source").cast("string"), F.col("lang").cast("string"), topic)]
+    once = measured.asNondeterministic()  # else filters on its results move below it, and it runs for each
+    return docs.withColumn(found, once("text")).withColumns(dict(zip(names[1:], classes, strict=True))).withColumn(found, F.col(found)["tokens"])
 
 
 def tempered(sides: list[tuple[np.ndarray, list[str]]], have: np.ndarray, powers: dict[str, float] = POWERS) -> dict[str, dict[str, float]]:
@@ -105,8 +108,11 @@ def rake(cells: dict[tuple, float], targets: dict[str, dict[str, float]], fracti
     return dict(zip(keys, w.tolist(), strict=True))
 
 
-def raked(coded: list[tuple[np.ndarray, list[str]]], have: np.ndarray, targets: dict[str, dict[str, float]], fraction: float, sweeps: int = 500, tolerance: float = 1e-9) -> np.ndarray:
-    """As rake, of cells given by their tokens and, as for tempered, by their values."""
+def raked(coded: list[tuple[np.ndarray, list[str]]], have: np.ndarray, targets: dict[str, dict[str, float]], fraction: float, sweeps: int = 500, tolerance: float = 1e-9, unsettled: float = 1e-3) -> np.ndarray:
+    """As rake, of cells given by their tokens and, as for tempered, by their values.
+
+    Logs how far the result is from the targets.  Raises if a cell still moved by more than `unsettled` of the budget in the last sweep.
+    """
     want = have.sum() * fraction
     sides = []
     for name, (of, values) in zip(DIMENSIONS, coded, strict=True):
@@ -131,32 +137,35 @@ def raked(coded: list[tuple[np.ndarray, list[str]]], have: np.ndarray, targets:
         w = filled(w)
         if np.abs(w - before).max() <= tolerance * want:
             break
+    moved = np.abs(w - before).max() / max(want, 1e-300) if sweeps else np.inf
+    if moved > unsettled:
+        raise RuntimeError(f"raking did not settle: {sweeps} sweeps, and cells still move by {moved:.2g} of the budget")
+    gaps = {name: float(np.abs(np.bincount(of, w, n) - goal).max() / max(want, 1e-300)) for name, (of, goal, n) in zip(DIMENSIONS, sides, strict=True)}
+    LOG.info("raked %d cells; largest gaps to the targets, as shares of the budget: %s", len(have), gaps)
     return np.divide(w, have, out=np.zeros_like(w), where=have > 0)
 
 
-def classed(name: str, targets: dict[str, dict[str, float]] | None):
-    return F.col(f"_{name}") if targets is None else F.when(F.col(f"_{name}").isin(list(targets[name])), F.col(f"_{name}")).otherwise(F.lit(OTHER))
-
-
 def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, fraction: float = 0.5, seed: int = 42) -> DataFrame:
     """The sampled documents: the columns of docs, and keep_probability, mix_weight (1 / probability) and n_tokens."""
     spark = docs.sparkSession
-    docs = docs.select([c for c in docs.columns if c not in ("_tokens", "_form", "_source", "_lang", "_topic")])
-    ready = prepared(docs)
+    own = [c for c in docs.columns if c not in ("keep_probability", "mix_weight", "n_tokens")]
+    names = tokens, *classes = free_names(docs.columns, "tokens", "class_source", "class_lang", "class_topic")
+    *keys, p_keep = free_names([*docs.columns, *names], "key_source", "key_lang", "key_topic", "p_keep")
     read = [c for c in ("text", "source", "lang", "topic") if c in docs.columns]
-    narrow = materialise(prepared(docs.select(read)).groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("_tokens")), "mix-cells")
-    keys = [classed(d, targets).alias(k) for d, k in zip(DIMENSIONS, ("_s", "_l", "_t"), strict=True)]
-    cells = narrow.groupBy(*keys).agg(F.sum("_tokens").alias("n")).filter("n > 0").toArrow().sort_by([(k, "ascending") for k in ("_s", "_l", "_t")])
-    columns, have = [cells.column(k).combine_chunks() for k in ("_s", "_l", "_t")], cells.column("n").to_numpy().astype(float)
+    narrow = materialise(prepared(docs.select(read), names).groupBy(*classes).agg(F.sum(tokens).alias(tokens)), "mix-cells")
+    as_key = lambda name, c: F.col(c) if targets is None else F.when(F.col(c).isin(list(targets[name])), F.col(c)).otherwise(F.lit(OTHER))
+    of = [as_key(d, c).alias(k) for d, c, k in zip(DIMENSIONS, classes, keys, strict=True)]
+    cells = narrow.groupBy(*of).agg(F.sum(tokens).alias("n")).filter("n > 0").toArrow().sort_by([(k, "ascending") for k in keys])
+    discard(narrow)
+    columns, have = [cells.column(k).combine_chunks() for k in keys], cells.column("n").to_numpy().astype(float)
     coded = [(c.indices.to_numpy(), c.dictionary.to_pylist()) for c in map(pc.dictionary_encode, columns)]
     p = raked(coded, have, targets or tempered(coded, have), fraction) if len(have) else have
-    table = spark.createDataFrame(pa.table({"_s": columns[0], "_l": columns[1], "_t": columns[2], "_p": pa.array(p, pa.float64())}))
+    table = spark.createDataFrame(pa.table({**dict(zip(keys, columns, strict=True)), p_keep: pa.array(p, pa.float64())}))
     table = F.broadcast(table) if cells.nbytes <= BROADCAST_BYTES else table
     unit = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")), F.lit(seed)), F.lit(1 << 52)) / float(1 << 52)
-    named = ready.withColumns({"_s": classed("source", targets), "_l": classed("lang", targets), "_t": classed("topic", targets)})
-    kept = named.filter("_tokens > 0").join(table, ["_s", "_l", "_t"]).filter(unit < F.col("_p"))
-    own = [c for c in docs.columns if c not in ("keep_probability", "mix_weight", "n_tokens")]
-    return kept.select(*own, F.col("_p").alias("keep_probability"), (1 / F.col("_p")).alias("mix_weight"), F.col("_tokens").alias("n_tokens"))
+    named = prepared(docs, names).filter(F.col(tokens) > 0).withColumns({k: as_key(d, c) for d, c, k in zip(DIMENSIONS, classes, keys, strict=True)})
+    kept = named.join(table, keys).filter(unit < F.col(p_keep))
+    return kept.select(*own, F.col(p_keep).alias("keep_probability"), (1 / F.col(p_keep)).alias("mix_weight"), F.col(tokens).alias("n_tokens"))
 
 
 def expected(cells: dict[tuple, float], shares: dict[tuple, float], dimension: int) -> dict[str, float]:

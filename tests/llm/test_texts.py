@@ -107,13 +107,32 @@ def test_replacing_nothing(spark):
 
 def test_tokens_are_counted_as_split_does(spark):
     rng = random.Random(1)
-    texts = [None, "", " ", "a", " a\tb\x0bc ", "é ü x"] + ["".join(rng.choices("aB \n\tü", k=rng.randint(0, 30))) for _ in range(50)]
-    import pyarrow as pa
+    texts = [None, "", " ", "a", " a\tb\x0bc ", "é ü x\x85y", "x" * 300_000, " \n" * 100_000] + ["".join(rng.choices("aB \n\tü", k=rng.randint(0, 30))) for _ in range(50)]
+    texts += ["\n| a |", "a\n- b", "a\n* b", "AB cd", "AB CD e", "ab cd", "wide " * 100, "ÄÖÜ" * 9]
 
-    tokens, capitals, sizes = mixing.count_tokens(pa.array(texts).slice(1))
-    raw = [(t or "").encode() for t in texts[1:]]
-    assert tokens.tolist() == [len(r.split()) for r in raw]
-    assert capitals.tolist() == [sum(65 <= c < 91 for c in r) for r in raw] and sizes.tolist() == list(map(len, raw))
+    def kind(t):
+        raw = t.encode()
+        return "table" if "\n| " in t else "list" if "\n- " in t or "\n* " in t else "loud" if 2 * sum(65 <= c < 91 for c in raw) > len(raw) else "brief" if len(raw) < 500 else "prose"
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, text string")
+    got = {r["i"]: tuple(r["m"]) for r in df.select("i", mixing.measured("text").alias("m")).collect()}
+    assert got == {i: (len((t or "").encode().split()), kind(t or "")) for i, t in enumerate(texts)}
+
+
+def test_raking_that_does_not_settle_raises():
+    cells = {(s, l, "t"): 100.0 for s in "ab" for l in "xy"}
+    goals = {"source": {"a": 0.9, "b": 0.1}, "lang": {"x": 0.5, "y": 0.5}, "topic": {"t": 1.0}}
+    with pytest.raises(RuntimeError, match="settle"):
+        mixing.rake(cells, goals, 0.3, sweeps=1)
+    assert mixing.rake(cells, goals, 0.3)
+
+
+def test_mixing_keeps_columns_of_any_name(spark):
+    names = "tokens class_source class_lang class_topic key_source key_lang key_topic p_keep _p _s _l _t _tokens _form".split()
+    df = spark.createDataFrame([(i, "some words here", "s", "en", *range(len(names))) for i in range(50)], "doc_id long, text string, source string, lang string, " + ", ".join(f"{n} long" for n in names))
+    got = mixing.mix(df)
+    assert got.columns == [*df.columns, "keep_probability", "mix_weight", "n_tokens"]
+    assert all([r[n] for n in names] == list(range(len(names))) for r in got.collect()) and got.count() > 0
 
 
 def test_raking_meets_its_targets():
