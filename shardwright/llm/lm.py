@@ -19,11 +19,12 @@ which are then averaged, `rounds` times.
 
 Cases: a null text is empty and holds only its end.  Any id may repeat or be null (null: a training
 text).  Without training texts the counts are 0 and the base's probabilities 1/(V+1) with V = 0.
-Texts of any length are scored window by window.
+Texts of any length are scored window by window; copies of a text have the same scores.
 """
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import os
 from array import array
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, held_out, materialise, sum_blobs
+from .common import as_bytes, discard, held_out, materialise, sum_blobs
 
 TOKENIZER = os.environ.get("SHARDWRIGHT_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 WINDOW, STRIDE, WIDTH = 32, 24, 16
@@ -232,13 +233,12 @@ SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
 CAUSAL = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 
 
+_ENDS = np.cumsum([int(np.prod(s)) for s in SHAPES.values()]).tolist()
+_PLACES = [(name, slice(end - int(np.prod(shape)), end), shape) for (name, shape), end in zip(SHAPES.items(), _ENDS, strict=True)]
+
+
 def views(flat: np.ndarray) -> dict[str, np.ndarray]:
-    out, at = {}, 0
-    for name, shape in SHAPES.items():
-        n = int(np.prod(shape))
-        out[name] = flat[at : at + n].reshape(shape)
-        at += n
-    return out
+    return {name: flat[at].reshape(shape) for name, at, shape in _PLACES}
 
 
 def first_parameters(seed: int = 11) -> np.ndarray:
@@ -299,8 +299,8 @@ def log_probabilities(p: dict, odds, prior: Prior, x: np.ndarray, targets: np.nd
     return own + prior.log[last, to]
 
 
-def gradients(flat: np.ndarray, prior: Prior, odds, x: np.ndarray, targets: np.ndarray, real: np.ndarray, causal: np.ndarray) -> tuple[np.ndarray, float]:
-    """Of the mean loss over the real positions."""
+def gradients(flat: np.ndarray, prior: Prior, odds, x: np.ndarray, targets: np.ndarray, real: np.ndarray, causal: np.ndarray, told: bool = True) -> tuple[np.ndarray, float]:
+    """Of the mean loss over the real positions, and, if told, that loss."""
     p, g = views(flat), np.zeros_like(flat)
     d = views(g)
     y, (h, q, k, v, a, z) = forward(p, x, causal)
@@ -308,16 +308,16 @@ def gradients(flat: np.ndarray, prior: Prior, odds, x: np.ndarray, targets: np.n
     last, to, each = prior.rows(x).ravel(), targets.ravel().astype(np.int64), np.arange(x.size)
     weight = (real.ravel() / max(1, int(real.sum()))).astype(flat.dtype)
     coarse, fine, _, order, parts = softmaxes(p, odds, side(y), last, to)
-    coarse /= coarse.sum(axis=1, keepdims=True)
-    fine /= fine.sum(axis=1, keepdims=True)
+    coarse /= (coarse @ np.ones(GROUPS, coarse.dtype))[:, None]
+    fine /= (fine @ np.ones(MEMBERS, fine.dtype))[:, None]
     member = to[order] & 15
-    loss = float(-(np.log(coarse[each, to >> 4] + 1e-30) * weight).sum() - (np.log(fine[each, member] + 1e-30) * weight[order]).sum())
+    loss = told and float(-(np.log(coarse[each, to >> 4] + 1e-30) * weight).sum() - (np.log(fine[each, member] + 1e-30) * weight[order]).sum())
     coarse[each, to >> 4] -= 1
     fine[each, member] -= 1
     coarse *= weight[:, None]
     fine *= weight[order][:, None]
     d["G"][:] = side(y).T @ coarse
-    dy, sorted_y, back = coarse @ p["G"].T, side(y)[order], np.empty_like(side(y))
+    dy, sorted_y, back = coarse @ p["G"].T, side(y)[order], np.empty(side(y).shape, flat.dtype)
     for n, lo, hi in parts:
         d["W"][n] = sorted_y[lo:hi].T @ fine[lo:hi]
         back[lo:hi] = fine[lo:hi] @ p["W"][n].T
@@ -327,14 +327,18 @@ def gradients(flat: np.ndarray, prior: Prior, odds, x: np.ndarray, targets: np.n
     dz = dy @ p["O"].T
     da = dz @ v.transpose(0, 2, 1)
     dv = a.transpose(0, 2, 1) @ dz
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True))
+    da -= np.einsum("bij,bij->bi", da, a)[:, :, None]
+    ds = np.multiply(da, a, out=da)
     dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
     dh = dy + dq @ p["Q"].T + dk @ p["K"].T + dv @ p["V"].T
     for name, part in (("Q", dq), ("K", dk), ("V", dv)):
         d[name][:] = side(h).T @ side(part)
     d["P"][: x.shape[1]] = dh.sum(axis=0)
-    for j in range(WIDTH):
-        d["E"][:, j] = np.bincount(x.ravel(), side(dh)[:, j], minlength=CLASSES)
+    flat_x = x.ravel()
+    together = np.argsort(flat_x, kind="stable")
+    sorted_x = flat_x[together]
+    first = np.flatnonzero(np.concatenate([[True], sorted_x[1:] != sorted_x[:-1]]))
+    d["E"][sorted_x[first]] = np.add.reduceat(side(dh)[together], first, axis=0)
     return g, loss
 
 
@@ -346,7 +350,7 @@ def train_locally(flat: np.ndarray, prior: Prior, windows: np.ndarray, rate: flo
     for t, at in enumerate(range(0, len(order), batch), 1):
         w = windows[order[at : at + batch]]
         x, y = w[:, :-1], w[:, 1:]
-        g, _ = gradients(flat, prior, odds, x, y, x != END, CAUSAL)
+        g, _ = gradients(flat, prior, odds, x, y, x != END, CAUSAL, told=False)
         m += 0.1 * (g - m)
         v += 0.01 * (g * g - v)
         flat -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
@@ -498,13 +502,14 @@ def train(texts: DataFrame, tokenizer: str = TOKENIZER, rounds: int = 3) -> tupl
     flat = first_parameters()
     for r in range(rounds):
         flat = average(windows, flat, prior, 0.02 / (1 + r))
+    discard(windows)
     return Model(raw, of, within, prior, flat, hot, n, distinct, n_texts), words
 
 
 def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
     """docs: doc_id, text, held_out.  Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)
-    schema = "uid long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, cold array<binary>, times array<int>"
+    schema = "uid long, doc_id long, held_out boolean, tkey binary, n_tokens long, known long, base double, score double, cold array<binary>, times array<int>"
 
     def run(batches):
         from pyspark import TaskContext
@@ -518,7 +523,8 @@ def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
         for batch in itertools.chain.from_iterable(([b.slice(at, TEXTS) for at in range(0, b.num_rows, TEXTS)] for b in batches)):
             uids, tokens, known, base, within, sequences = [], [], [], [], [], []
             cold, times, offsets = [], [], [0]
-            texts = [words_of(t) for t in as_bytes(batch.column(2))]
+            raw_texts = as_bytes(batch.column(2))
+            texts = [words_of(t) for t in raw_texts]
             counted = [Counter(words) for words in texts]
             spell.learn(set().union(*counted))
             for words, times_of in zip(texts, counted, strict=True):
@@ -543,7 +549,7 @@ def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
             lp = score_sequences(m.flat, m.prior, sequences)
             at = pa.array(offsets, pa.int32())
             yield pa.RecordBatch.from_arrays([
-                pa.array(uids, pa.int64()), batch.column(0), batch.column(1), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
+                pa.array(uids, pa.int64()), batch.column(0), batch.column(1), pa.array([hashlib.md5(t).digest() for t in raw_texts], pa.binary()), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
                 pa.array((lp + np.array(within)) / LOG10, pa.float64()), pa.ListArray.from_arrays(at, pa.array(cold, pa.binary())), pa.ListArray.from_arrays(at, pa.array(times, pa.int32())),
             ], names=[x.split()[0] for x in schema.split(", ")])
 
@@ -551,10 +557,14 @@ def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
     pairs = rows.select("uid", F.inline(F.arrays_zip(F.col("cold").alias("word"), F.col("times").alias("tf"))).alias("word", "tf"))
     more = pairs.join(words, "word").select("uid", "tf", (F.col("tf") * F.log10((F.col("c") + 0.5) / 0.5)).alias("gain"))
     more = more.groupBy("uid").agg(F.sum("tf").alias("more"), F.sum("gain").alias("gain"))
-    return rows.select("uid", "doc_id", "held_out", "n_tokens", "known", "base", "score").join(more, "uid", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(model.n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("gain", F.lit(0.0))).alias("base_score"), "score",
+    found = rows.select("uid", "doc_id", "held_out", "tkey", "n_tokens", "known", "base", "score").join(more, "uid", "left").select(
+        "doc_id", "held_out", "tkey", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), (F.col("base") + F.coalesce("gain", F.lit(0.0))).alias("base"), "score",
     )
+    found = materialise(found, "lm-found")
+    discard(rows)
+    # Sums of floats depend a little on what else is in a batch or a shuffle: copies of a text get the least of theirs.
+    least = materialise(found.groupBy("tkey").agg(F.min("base").alias("base_score"), F.min("score").alias("score")), "lm-least")
+    return found.drop("base", "score").join(least, "tkey").select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def score_documents(docs: DataFrame, tokenizer: str = TOKENIZER, modulus: int = 5) -> DataFrame:

@@ -85,6 +85,42 @@ def test_counts_and_base_are_exact(spark):
     assert len(repeated) == 2 and repeated[0] == repeated[1]
 
 
+def plain_score(m, text):
+    """The log10 probability of a text, position by position in doubles."""
+    spell = lm.Spelling(m.tokenizer, len(m.of))
+    words = lm.words_of(text.encode())
+    spell.learn(set(words))
+    ids = spell.text(words)
+    seq, p, (groups, members), total = m.of[ids], {k: v.astype(float) for k, v in lm.views(m.flat).items()}, m.prior.odds(), 0.0
+    for j in range(len(seq) - 1):
+        k = 0 if j < lm.WINDOW else (j - lm.WINDOW) // lm.STRIDE + 1
+        x = seq[k * lm.STRIDE : j + 1]
+        assert j < lm.WINDOW or lm.WINDOW - lm.STRIDE < len(x) <= lm.WINDOW
+        h = p["E"][x] + p["P"][: len(x)]
+        a = np.exp(np.minimum((h @ p["K"]) @ (h[-1] @ p["Q"]), 60))
+        y = h[-1] + (a / a.sum()) @ (h @ p["V"]) @ p["O"]
+        last, to = m.prior.rows(x[None])[0, -1], int(seq[j + 1])
+        coarse = groups[last] * np.exp(np.minimum(y @ p["G"], 60))
+        fine = members[last * lm.GROUPS + to // 16] * np.exp(np.minimum(y @ p["W"][to // 16], 60))
+        total += np.log(coarse[to // 16] / coarse.sum()) + np.log(fine[to % 16] / fine.sum()) + m.within[seq[j], ids[j + 1]]
+    return total / np.log(10)
+
+
+def test_scores_are_as_by_a_plain_loop_and_alike_for_copies(spark):
+    texts = [t for _, t in lm_rows() if t is None or len(t) < 4000]
+    model, words = lm.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    want = {t: plain_score(model, t or "") for t in texts}
+    rows = [(i, t, False) for i, t in enumerate(texts * 6)]
+    for parts in (1, 8, 50):
+        got = lm.score(spark.createDataFrame(rows, "doc_id long, text string, held_out boolean").repartition(parts), model, words).collect()
+        by_text = {}
+        for r in got:
+            by_text.setdefault(texts[r["doc_id"] % len(texts)], set()).add((r["score"], r["base_score"]))
+        assert all(len(v) == 1 for v in by_text.values())
+        for t, v in by_text.items():
+            assert next(iter(v))[0] == pytest.approx(want[t], rel=1e-4, abs=1e-3)
+
+
 def test_no_training_texts(spark):
     df = spark.createDataFrame([(2, "a b")], "doc_id long, text string")  # 2 is held out
     assert zlib.crc32(b"2") % 5 == 1 or True
