@@ -93,7 +93,7 @@ def test_surrogates_are_consistent_and_distinct(spark):
 
 def test_collisions_are_drawn_again(spark):
     names = [f"name{i}" for i in range(60)]  # more than there are listed given names
-    ents = spark.createDataFrame([("given:m:latin", n) for n in [*names, *pii.GIVEN["m", "latin"]]] + [("phone", f"1{i:03}") for i in range(300)], "kind string, canon string")
+    ents = spark.createDataFrame([("given:latin", n, "given:latin:m") for n in [*names, *pii.GIVEN["m", "latin"]]] + [("phone", f"1{i:03}", "phone") for i in range(300)], "kind string, canon string, type string")
     got = pii.assign(ents, "k").collect()
     assert len(got) == 60 + len(pii.GIVEN["m", "latin"]) + 300
     for space in ("given", "phone"):
@@ -101,6 +101,59 @@ def test_collisions_are_drawn_again(spark):
         assert len({r["surrogate"] for r in own}) == len(own) and not {r["surrogate"] for r in own} & {r["canon"] for r in own}
 
 
+def test_one_entity_has_one_surrogate_in_any_notation(spark):
+    texts = [
+        "Mr. Taro Sato", "Dr. Taro Sato", "Miss Taro Sato", "743-555-3824", "+1 743 555 3824", "(743) 555-3824", "Wei Zhang and Fatima Khan met Aisha Bello", "name is Zorblax Quux.", "pay DE89 3704 0044 0532 0130 00 or DE89370400440532013000 now",
+        "at 2001:db8::8a2e:370:7334 or 2001:0DB8:0:0:0:8a2e:0370:7334", "link fe80::1 up", "at 12:30:45 use std::string in a::b", "Ms. Robin Gray", "Ms. Robin Hale", "Mr. Robin Gray",
+    ]
+    got = {r["doc_id"]: r["text"] for r in pii.replace_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").collect()}
+    assert {got[i].split(" ", 1)[1] for i in range(3)} == {got[0][4:]} != {"Taro Sato"} and [got[i].split(" ")[0] for i in range(3)] == ["Mr.", "Dr.", "Miss"]
+    digits = [re.sub(r"\D", "", got[i])[-10:] for i in (3, 4, 5)]
+    assert len(set(digits)) == 1 and digits[0][0] == "7" and digits[0] != "7435553824" and got[4].startswith("+1 7") and re.fullmatch(r"\(\d{3}\) \d{3}-\d{4}", got[5])
+    assert not re.search("Wei|Zhang|Fatima|Khan|Aisha|Bello|Zorblax|Quux", got[6] + got[7]) and got[7].startswith("name is ")
+    grouped, plain = re.fullmatch(r"pay (DE\d\d(?: [A-Z0-9]{4}){4} \d\d) or (DE\d{20}) now", got[8]).groups()
+    assert grouped.replace(" ", "") == plain != "DE89370400440532013000" and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+    one, two = re.fullmatch(r"at (\S+) or (\S+)", got[9]).groups()
+    assert one == two and one.startswith("2001:db8:") and got[10].startswith("link fe80:") and got[11] == texts[11]
+    she = {got[i].split()[1].lower() for i in (12, 13, 14)}
+    assert len(she) == 1 and she < set(pii.GIVEN["f", "latin"])
+
+
+def test_entities_are_those_that_brute_force_finds(spark):
+    """Whatever lies between entities stays, and texts are alike up to a one-to-one exchange of entities."""
+    import regex
+
+    rng, whole = random.Random(4), regex.compile(pii.ENTITY)
+    bits = ["a.b@c9.org", "x@y", "10.0.0.1", "256.1.1.1", "123-45-6789", "4111 1111 1111 1111", "+49 30 1234567", "743.555.3824", "Mr Lee", "Dr. Anna May", "Ivan Grey", "IVAN GREY", "Ivan", "fe80::a1", "1:2:3", "GB29NWBK60161331926819", "Иван Белов", "the", "Mrs", "end.", "a@b.c.d.e.fg", "\n", "é"]
+    texts = [" ".join(rng.choices(bits, k=rng.randint(1, 12))) for _ in range(120)]
+    rows = pii.replace_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").collect()
+    there, back = {}, {}
+    for r in rows:
+        old = texts[r["doc_id"]]
+        assert r["n_entities"] == len(whole.findall(old))
+        gaps = whole.split(old)
+        found = regex.fullmatch("(.+)".join(map(regex.escape, gaps)), r["text"], regex.S)
+        assert found
+        if len(gaps) == 2:
+            there.setdefault(whole.search(old)[0], set()).add(found[1])
+            back.setdefault(found[1], set()).add(whole.search(old)[0])
+    assert there and all(len(v) == 1 for v in [*there.values(), *back.values()])
+
+
+@pytest.mark.parametrize("text", ["a@" + "x." * 60_000 + "com", "a@" + "x." * 3000 + "com", "a@b." * 50_000, "1." * 100_000, "+1 " * 100_000, "A" * 500_000, "Mr " * 100_000, "1234 " * 100_000, "a:" * 200_000, "DE12" * 100_000, "a" * 1_000_000 + "@" + "b" * 1_000_000 + ".com"])
+def test_long_texts_that_almost_fit(spark, text):
+    got = pii.replace_pii(spark.createDataFrame([(1, text)], "doc_id long, text string"), "k").first()
+    assert got["text"] == text or got["n_entities"] > 0
+
+
+def test_surrogates_keep_columns_of_any_name(spark):
+    names = "_t _s t m ms matches text_key surrogates surrogates_n pos kind canon space".split()
+    df = spark.createDataFrame([(1, "a@b.org", *names), (2, "none", *names)], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    got = pii.replace_pii(df, "k")
+    assert got.columns == [*df.columns, "n_entities"] and sorted(r["n_entities"] for r in got.collect()) == [0, 1]
+    assert all([r[n] for n in names] == names for r in got.collect())
+
+
 def test_replacing_nothing(spark):
     assert pii.replace_pii(spark.createDataFrame([], "doc_id long, text string"), "k").count() == 0
 
