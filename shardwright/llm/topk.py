@@ -9,13 +9,16 @@ tie so far; rows that tie in every slice are the boundary, resolved exactly by i
 Cases: a vector that is null, or holds a null or non-finite component, takes no part, nor does a row
 without id.  Vectors of different lengths aren't compared; empty ones score 0 with each other.
 Repeated rows are candidates one by one, except that a query never meets rows of its own id; a query
-id that repeats is asked once, with its smallest vector.  Components saturate at 2**40 after
-quantisation, scores at the range of a long.  Other columns are ignored.
+id that repeats is asked once, with its smallest vector.  Sums are exact and so are ranks, however
+large; a score beyond a long's range is shown as the nearest long.  Quantised components beyond 2**55
+raise an error.  Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,12 +26,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SATURATE = float(1 << 40)
+from .common import materialise
+
+LARGEST = float(1 << 55)
 LONG = (1 << 63) - 1
+#: Scores leave a task as two longs, high * 2**HALF + low.
+HALF = 62
 
 
 def quantise(x: np.ndarray, scale: float) -> np.ndarray:
-    return np.clip(np.floor(scale * x), -SATURATE, SATURATE).astype(np.int64)
+    q = np.floor(scale * x)
+    if q.size and np.abs(q).max() > LARGEST:
+        raise OverflowError(f"a quantised component is beyond {LARGEST:.0f}")
+    return q.astype(np.int64)
 
 
 def pack_block(ids: np.ndarray, q: np.ndarray) -> dict:
@@ -126,7 +136,7 @@ def search_block(block: dict, query_ids, queries: np.ndarray, k: int):
             valid[r >> 6] &= ~(np.uint64(1) << np.uint64(r & 63))
         for r in select_top(sums, valid, k).tolist():
             score = base + sum((int(s[r >> 6]) >> (r & 63) & 1) << c for c, s in enumerate(sums))
-            yield query_id, int(ids[r]), max(-LONG - 1, min(LONG, score))
+            yield query_id, int(ids[r]), score
 
 
 def top_k(
@@ -137,81 +147,94 @@ def top_k(
     id_col: str = "vec_id",
     vec_col: str = "embedding",
     block_rows: int = 8192,
-    query_rows: int = 128,
+    query_rows: int = 16384,
 ) -> DataFrame:
     """The k rows of highest score for each row where the condition `queries` (on the id) holds.
 
-    Columns query_id, rank, vec_id, score.  Blocks of at most block_rows rows meet groups of about
-    query_rows queries, each pair in a task of its own, so memory doesn't grow with the input; a block
-    hands on k rows a query at most.
+    Columns query_id, rank, vec_id, score.  The index is written once, in blocks of at most block_rows
+    rows.  About query_rows queries at a time are shipped to its tasks; a task takes one block after the
+    other, merges their best rows and hands on k rows a query, so neither the index nor the queries are
+    multiplied and memory doesn't grow with the input.
     """
     vec = F.col(vec_col).cast("array<double>")
     odd = F.exists(vec, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     rows = df.filter(
         F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & ~F.coalesce(odd, F.lit(False))
     ).select(F.col(id_col).cast("long").alias("id"), vec.alias("x"))
-    asked = rows.filter(queries(F.col("id"))).groupBy("id").agg(F.min("x").alias("x"))
-    n, n_asked = rows.count(), asked.count()
-    blocks, groups = max(1, math.ceil(n / block_rows)), max(1, math.ceil(n_asked / query_rows))
 
-    def by_length(batches):
-        for batch in batches:
-            lengths = batch.column("x").value_lengths().to_numpy(zero_copy_only=False)
-            values = batch.column("x").flatten().to_numpy(zero_copy_only=False)
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
-            starts = np.concatenate([[0], np.cumsum(lengths)]).astype(int)
-            for dim in np.unique(lengths):
-                at = np.flatnonzero(lengths == dim)
-                take = (starts[at][:, None] + np.arange(dim)).astype(int)
-                yield int(dim), ids[at], quantise(values[take], scale)
+    def by_length(batch):
+        lengths = batch.column("x").value_lengths().to_numpy(zero_copy_only=False)
+        values = batch.column("x").flatten().to_numpy(zero_copy_only=False)
+        ids = batch.column("id").to_numpy(zero_copy_only=False)
+        starts = np.concatenate([[0], np.cumsum(lengths)]).astype(int)
+        for dim in np.unique(lengths):
+            at = np.flatnonzero(lengths == dim)
+            take = (starts[at][:, None] + np.arange(dim)).astype(int)
+            yield int(dim), ids[at], quantise(values[take], scale)
 
     def index(batches):
-        from pyspark import TaskContext
-
-        part, held = TaskContext.get().partitionId(), {}
+        held: dict[int, list] = {}
 
-        def packed(dim, block):
-            b = pack_block(np.concatenate([i for i, _ in block]), np.concatenate([q for _, q in block]))
+        def packed(dim, ids, q):
+            b = pack_block(ids, q)
             return pa.RecordBatch.from_pydict({
-                "block": pa.array([part], pa.int32()), "dim": pa.array([dim], pa.int32()), "n": pa.array([b["n"]], pa.int32()),
-                **{c: pa.array([b[c].tobytes()], pa.binary()) for c in ("ids", "least", "bits", "slices")},
+                "dim": pa.array([dim], pa.int32()), "n": pa.array([b["n"]], pa.int32()), **{c: pa.array([b[c].tobytes()], pa.binary()) for c in ("ids", "least", "bits", "slices")},
             })
 
-        for dim, ids, q in by_length(batches):
-            held.setdefault(dim, []).append((ids, q))
-            if sum(len(i) for i, _ in held[dim]) >= 2 * block_rows:
-                yield packed(dim, held.pop(dim))
-        for dim, block in held.items():
-            yield packed(dim, block)
-
-    def group(batches):
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        for dim, ids, q in by_length(batches):
-            for at in range(0, len(ids), query_rows):
-                yield pa.RecordBatch.from_pydict({
-                    "grp": pa.array([part], pa.int32()), "dim": pa.array([dim], pa.int32()),
-                    "query_ids": pa.array([ids[at : at + query_rows].tobytes()], pa.binary()), "queries": pa.array([q[at : at + query_rows].tobytes()], pa.binary()),
-                })
-
-    def pair(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        for b in left.to_pylist():
-            block = {c: np.frombuffer(b[c], np.int64) for c in ("ids", "least", "bits")} | {"n": b["n"]}
-            block["slices"] = np.frombuffer(b["slices"], np.uint64).reshape(-1, -(-b["n"] // 64))
-            for g in right.to_pylist():
-                ids = np.frombuffer(g["query_ids"], np.int64)
-                out += search_block(block, ids.tolist(), np.frombuffer(g["queries"], np.int64).reshape(len(ids), b["dim"]), k)
-        ids, vecs, scores = zip(*out, strict=True) if out else ((), (), ())
-        return pa.table({"query_id": pa.array(ids, pa.int64()), "vec_id": pa.array(vecs, pa.int64()), "score": pa.array(scores, pa.int64())})
-
-    binary = "ids binary, least binary, bits binary, slices binary"
-    left = rows.repartition(blocks).mapInArrow(index, f"block int, dim int, n int, {binary}")
-    left = left.withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    right = asked.repartition(groups).mapInArrow(group, "grp int, dim int, query_ids binary, queries binary")
-    right = right.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    on = ["block", "dim", "grp"]
-    found = left.groupBy(*on).cogroup(right.groupBy(*on)).applyInArrow(pair, "query_id long, vec_id long, score long")
-    best = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", best).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        def full(dim, least):
+            """The blocks that dim's rows fill, if they are `least` at least."""
+            ids, q = (np.concatenate(x) for x in zip(*held[dim], strict=True))
+            whole = len(ids) - len(ids) % block_rows if least == block_rows else len(ids)
+            held[dim] = [(ids[whole:], q[whole:])]
+            for at in range(0, whole, block_rows):
+                yield packed(dim, ids[at : min(at + block_rows, whole)], q[at : min(at + block_rows, whole)])
+
+        for batch in batches:
+            for dim, ids, q in by_length(batch):
+                held.setdefault(dim, []).append((ids, q))
+                if sum(len(i) for i, _ in held[dim]) >= block_rows:
+                    yield from full(dim, block_rows)
+        for dim in held:
+            if sum(len(i) for i, _ in held[dim]):
+                yield from full(dim, 1)
+
+    def best(asked):
+        """Searches the blocks of a task for the queries asked: (ids, vectors) by dimension."""
+
+        def run(batches):
+            top: dict[int, list] = {}
+            for batch in batches:
+                for b in batch.to_pylist():
+                    ids, q = asked.value.get(b["dim"], ((), ()))
+                    if not len(ids):
+                        continue
+                    block = {c: np.frombuffer(b[c], np.int64) for c in ("ids", "least", "bits")} | {"n": b["n"]}
+                    block["slices"] = np.frombuffer(b["slices"], np.uint64).reshape(-1, -(-b["n"] // 64))
+                    for query_id, found in itertools.groupby(search_block(block, ids.tolist(), q, k), key=lambda f: f[0]):
+                        ours = top.get(query_id, []) + [(-score, i) for _, i, score in found]
+                        top[query_id] = sorted(ours)[:k]
+            out = [(query_id, i, -less >> HALF, -less & ((1 << HALF) - 1)) for query_id, found in top.items() for less, i in found]
+            columns = zip(*out, strict=True) if out else [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "high", "low"])
+
+        return run
+
+    blocks = max(1, math.ceil(rows.count() / block_rows))
+    stored = materialise(rows.repartition(blocks).mapInArrow(index, "dim int, n int, ids binary, least binary, bits binary, slices binary"), "topk-index")
+    asked = materialise(rows.filter(queries(F.col("id"))).groupBy("id").agg(F.min("x").alias("x")), "topk-queries")
+    groups = max(1, math.ceil(asked.count() / query_rows))
+    parts = []
+    for g in range(groups):
+        own = asked.filter(F.pmod(F.xxhash64("id"), F.lit(groups)) == g).toArrow().combine_chunks()
+        by_dim: dict[int, list] = {}
+        for batch in own.to_batches():
+            for dim, ids, q in by_length(batch):
+                by_dim.setdefault(dim, []).append((ids, q))
+        shipped = df.sparkSession.sparkContext.broadcast({dim: tuple(np.concatenate(x) for x in zip(*v, strict=True)) for dim, v in by_dim.items()})
+        found = stored.mapInArrow(best(shipped), "query_id long, vec_id long, high long, low long")
+        parts.append(materialise(found, "topk-found") if groups > 1 else found)
+    order = W.partitionBy("query_id").orderBy(F.desc("high"), F.desc("low"), "vec_id")
+    ranked = reduce(DataFrame.unionByName, parts).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    half = 1 << (63 - HALF)
+    score = F.when(F.col("high") >= half, F.lit(LONG)).when(F.col("high") < -half, F.lit(-LONG - 1)).otherwise(F.shiftleft("high", HALF) + F.col("low"))
+    return ranked.select("query_id", "rank", "vec_id", score.alias("score"))

@@ -39,6 +39,15 @@ def test_top_k_is_exact(spark, case):
     assert sorted(map(tuple, got.collect())) == brute_top(CASES[case], 5, lambda i: i % 2 == 0)
 
 
+def test_large_components_rank_exactly(spark):
+    rows = [(i, [x, 1.0]) for i, x in enumerate([5e9, 6e9, -6e9, 1e14, 0.0, -1e14, 5e9])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda i: i % 2 == 0, k=4).collect()
+    want = [(q, r, v, max(-(1 << 63), min((1 << 63) - 1, s))) for q, r, v, s in brute_top(rows, 4, lambda i: i % 2 == 0)]
+    assert sorted(map(tuple, got)) == want and any(s == (1 << 63) - 1 for *_, s in want)
+    with pytest.raises(Exception, match="beyond"):
+        topk.top_k(spark.createDataFrame([(1, [1e200])], "vec_id long, embedding array<double>"), lambda i: i > 0).collect()
+
+
 def test_slices_add_up():
     rng = np.random.default_rng(0)
     q = rng.integers(-300, 300, (70, 5))
