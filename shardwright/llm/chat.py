@@ -83,13 +83,13 @@ class Codec:
 
 
 def conversations(rows: DataFrame) -> DataFrame:
-    """conv_id, key (digest of all turns), path (sorts those that share initial turns together), turns."""
+    """conv_id, key (digest of all turns), path (the turns' digests, whose order has those that share initial turns together), turns."""
     own = rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("t"))
     whole = own.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
     digests = F.transform("turns", lambda t: F.md5(F.concat_ws("\x1f", F.length(t["role"]).cast("string"), t["role"], t["text"])))
     whole = whole.withColumn("digests", digests)
     return whole.select(
-        "conv_id", F.md5(F.array_join("digests", "")).alias("key"), F.array_join(F.transform(F.slice("digests", 1, 64), lambda d: F.substring(d, 1, 8)), "").alias("path"),
+        "conv_id", F.md5(F.array_join("digests", "")).alias("key"), F.col("digests").alias("path"),
         F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"),
     )
 

@@ -328,6 +328,19 @@ def test_trees_share_their_beginnings(spark):
         assert seen == path
 
 
+def test_any_number_of_shared_turns_is_emitted_once(spark):
+    rows = [(c, t, "user", f"shared {t}") for c in range(12) for t in range(65)] + [(c, 65 + t, "user", f"{c // 4} end {t} {c if t == 4 else ''}") for c in range(12) for t in range(5)]
+    packed, _ = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    codec = chat.Codec(open(chat.TOKENIZER, "rb").read())
+    distinct = {tuple(sorted((t, x) for i, t, _, x in rows if i == c and t <= last)) for c in range(12) for last in range(70)}
+    convs = chat.conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).orderBy("path").collect()
+    packer = chat.Packer(codec, "p", 1 << 30)
+    for r in convs:
+        assert not list(packer.add(r["key"], [(t["role"], t["text"]) for t in r["turns"]]))
+    assert len(packer.pack()["parent"]) == len(distinct) == 65 + 3 * 4 + 12
+    assert sum(len(r["leaf_key"]) for r in packed.collect()) == 12
+
+
 def test_packs_are_bounded_and_whole():
     codec = chat.Codec(open(chat.TOKENIZER, "rb").read())
     packer, out = chat.Packer(codec, "p", 60), []
