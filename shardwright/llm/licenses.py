@@ -54,7 +54,23 @@ SENTENCES = {
     "cc-by-nc": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "cc0": ["Licensed under CC0 1.0.", "This work is dedicated to the public domain under CC0 1.0."],
     "reserved": ["All rights reserved."],
+    "lgpl21-grant": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."],
+    "lgpl3-grant": ["This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "lgpl-warranty": ["This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."],
+    "lgpl-details": ["See the GNU Lesser General Public License for more details."],
+    "agpl3-grant": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "agpl-details": ["See the GNU Affero General Public License for more details."],
+    "zlib-warranty": ["This software is provided 'as-is', without any express or implied warranty."],
+    "zlib-liability": ["In no event will the authors be held liable for any damages arising from the use of this software."],
+    "zlib-grant": ["Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"],
+    "bsl-grant": ["Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:"],
+    "bsl-ref": ["Distributed under the Boost Software License, Version 1.0."],
+    "epl2-ref": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"],
+    "0bsd-grant": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."],
 }
+# Licences that a tag names.
+TAGGED = "MIT BSD-2-Clause BSD-3-Clause Apache-2.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later AGPL-3.0-only AGPL-3.0-or-later MPL-2.0 ISC 0BSD Zlib BSL-1.0 EPL-2.0 Unlicense CC0-1.0 CC-BY-4.0 CC-BY-SA-4.0 CC-BY-NC-4.0".split()
+SENTENCES |= {f"tag-{name}": [f"SPDX-License-Identifier: {name}"] for name in TAGGED}
 # Rules in order, (licence, identifiers).
 RULES = [
     ("MIT", ("mit-name", "mit-grant", "mit-notice", "mit-warranty", "mit-liability")),
@@ -78,6 +94,15 @@ RULES = [
     ("CC-BY-NC-4.0", ("cc-by-nc",)),
     ("CC0-1.0", ("cc0",)),
     ("LicenseRef-all-rights-reserved", ("reserved",)),
+    ("LGPL-2.1-or-later", ("lgpl21-grant", "lgpl-warranty", "lgpl-details")),
+    ("LGPL-3.0-or-later", ("lgpl3-grant", "lgpl-warranty", "lgpl-details")),
+    ("AGPL-3.0-or-later", ("agpl3-grant", "gpl-warranty", "agpl-details")),
+    ("Zlib", ("zlib-warranty", "zlib-liability", "zlib-grant")),
+    ("BSL-1.0", ("bsl-grant",)),
+    ("BSL-1.0", ("bsl-ref",)),
+    ("EPL-2.0", ("epl2-ref",)),
+    ("0BSD", ("0bsd-grant",)),
+    *((name, (f"tag-{name}",)) for name in TAGGED),
 ]
 #: Where a sentence ends: at stops before white space or the end, at blank lines and at list marks.
 END = re.compile(r"[.;:!?]+(?=\s|$)|\n\s*\n|\n\s*(?:[*#/-]+|\d+\.)\s+|\n(?=[^a-z]*\n|[A-Z])")
@@ -99,7 +124,6 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 
 KNOWN = {normalised(part): key for key, texts in SENTENCES.items() for text in texts for part in [text]}
-LONGEST = max(map(len, KNOWN)) + 40
 
 
 def beginnings(known: dict[str, str]) -> set[str]:
@@ -114,7 +138,7 @@ def identified(text: str, known: dict[str, str], starts: set[str]) -> list[tuple
     joined as long as they begin one (starts: `beginnings`), and the longest known one is taken.
     """
     cuts, out, i = sentences(text), [], 0
-    forms = [normalised(text[a:b]) if b - a <= 4 * LONGEST else "" for a, b in cuts]
+    forms = [normalised(text[a:b]) for a, b in cuts]
     number = 0
     while i < len(cuts):
         if not forms[i]:
@@ -124,7 +148,7 @@ def identified(text: str, known: dict[str, str], starts: set[str]) -> list[tuple
         while group in starts:
             if group in known:
                 last = j, known[group]
-            while j < len(cuts) and not forms[j] and cuts[j][1] - cuts[j][0] <= 4 * LONGEST:
+            while j < len(cuts) and not forms[j]:
                 j += 1
             if j == len(cuts) or not forms[j]:
                 break

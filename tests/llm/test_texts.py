@@ -41,6 +41,28 @@ def test_wrapped_licences_and_comment_headers(spark):
     assert got == [(0, "MIT", 5), (1, "BSD-2-Clause", 4), (2, "BSD-3-Clause", 5), (3, "GPL-3.0-or-later", 3), (4, "MIT", 5), (5, "MIT", 5), (6, "GPL-3.0-or-later", 3), (7, "GPL-3.0-or-later", 3), (8, "MIT", 5)]
 
 
+def test_every_rule_is_found_wrapped_and_commented(spark):
+    import textwrap
+
+    cases = []
+    for licence, keys in licenses.RULES:
+        for k in range(max(len(licenses.SENTENCES[key]) for key in keys)):
+            body = "\n".join(textwrap.fill(licenses.SENTENCES[key][min(k, len(licenses.SENTENCES[key]) - 1)], 72, break_long_words=False, break_on_hyphens=False) for key in keys)
+            cases += [(licence, mark + body.replace("\n", "\n" + mark)) for mark in ("", "# ", "// ", " * ")]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id long, text string")
+    got = {}
+    for r in licenses.scan(df).collect():
+        got.setdefault(r["doc_id"], []).append(r["licence"])
+    assert {i: got.get(i) for i in range(len(cases))} == {i: [name] for i, (name, _) in enumerate(cases)}
+
+
+def test_unknown_sentences_count_however_long(spark):
+    first, *rest = [licenses.SENTENCES[k][0] for k in ("mit-grant", "mit-notice", "mit-warranty", "mit-liability")]
+    texts = [" ".join([first, *[f"{'word ' * n}end."] * times, *rest]) for n, times in ((2, 5), (3000, 5), (2, 2), (3000, 2))]
+    got = {r["doc_id"] for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect() if r["n_sentences"] == 4}
+    assert got == {2, 3}
+
+
 def test_rules_match_as_brute_force_does():
     rng = random.Random(0)
     rules = [("A", ("a",)), ("AB", ("a", "b")), ("ABC", ("a", "b", "c")), ("CB", ("c", "b")), ("A2", ("a",))]
