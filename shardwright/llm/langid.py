@@ -1,8 +1,8 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
 Features are hashed character n-grams of one to three letters.  Document frequencies are counted over
-every training document; the regression is fitted on a bounded sample of them (`per_language` texts
-of each language, by hash of the row), with follow-the-regularised-leader and an elastic net (per
+every training document; the regression is fitted on a bounded sample of them (about `per_language`
+texts of each of the `most_languages` most frequent languages, by hash of id and text), with follow-the-regularised-leader and an elastic net (per
 coordinate steps, l1 sparsity, l2 shrinkage), then calibrated with a temperature on the sample's last
 fifth, which the fit doesn't see.
 
@@ -123,17 +123,17 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     return (total[:-1], int(total[-1])) if total is not None else (np.zeros(1 << BITS), 0)
 
 
-def train(training: DataFrame, per_language: int = 1000) -> Model:
-    """training: columns text and lang."""
-    usable = training.select("text", "lang").filter("lang is not null and text is not null").filter(F.col("text").rlike(r"\p{L}"))
-    by_lang = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+def train(training: DataFrame, per_language: int = 1000, most_languages: int = 500) -> Model:
+    """training: columns doc_id, text and lang.  Of more than most_languages values of lang the most frequent are learned."""
+    usable = training.select("doc_id", "text", "lang").filter("lang is not null and text is not null").filter(F.col("text").rlike(r"\p{L}"))
+    by_lang = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages).collect()}
     languages = sorted(by_lang)
     if not languages:
         return Model([], np.ones(1 << BITS), np.zeros(((1 << BITS) + 1, 1)), 1.0)
     df, n = document_frequencies(usable)
     idf = np.log((1 + n) / (1 + df)) + 1
     rate = F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, per_language / by_lang[k]))])
-    unit = F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(1 << 30)) / float(1 << 30)
+    unit = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
     number = {k: i for i, k in enumerate(languages)}
 
     def featurise(batches):
@@ -144,7 +144,7 @@ def train(training: DataFrame, per_language: int = 1000) -> Model:
                 "counts": pa.array([c.astype(np.float32).tobytes() for _, c in found], pa.binary()),
             })
 
-    sample = usable.filter(unit < rate[F.col("lang")]).mapInArrow(featurise, "lang string, at binary, counts binary").collect()
+    sample = usable.filter(unit < rate[F.col("lang")]).select("text", "lang").mapInArrow(featurise, "lang string, at binary, counts binary").collect()
     rows = []
     for lang, at, counts in sorted(map(tuple, sample)):
         at = np.frombuffer(at, np.uint16).astype(np.int64)

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shardwright.llm import langid, lm, secrets
 
@@ -40,6 +41,14 @@ def test_languages_are_told_on_held_out_texts(spark):
     assert got[903]["lang_pred"] == "xx" and got[904]["lang_pred"] == "xx" and got[905]["lang_pred"] == "yy"
 
 
+def test_the_model_does_not_depend_on_partitions(spark):
+    df = spark.createDataFrame([(*r, "s") for r in language_rows()], "doc_id long, text string, lang string, source string")
+    models = [langid.train(langid.folds(df.repartition(n)).filter("not held_out"), per_language=20) for n in (1, 7)]
+    assert np.array_equal(models[0].weights, models[1].weights) and models[0].temperature == models[1].temperature
+    few = langid.train(langid.folds(df.withColumn("lang", F.when(df.doc_id % 9 == 0, F.concat(F.lit("odd"), df.doc_id)).otherwise(df.lang))).filter("not held_out"), most_languages=2)
+    assert few.languages == ["xx", "yy"]
+
+
 def test_nothing_to_learn_from(spark):
     docs = langid.folds(spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string"))
     model = langid.train(docs)
