@@ -1,8 +1,8 @@
 """Weighted, seeded selection of whole shards under budgets.
 
 pool: source, path, n (count), key (seeded order).  wanted: source, ratio, fraction, repetition.
-A source is filled in the order of key until its target is reached; a source with fraction below 1
-never goes beyond its cap: a shard that would is passed over and a later, smaller one may be taken.
+A source is filled in the order of key until its target is reached; a source with fraction below 1,
+or with a cap below what is wanted, never goes beyond its cap: a shard that would is passed over and a later, smaller one may be taken.
 Passes repeat the pool in the same order only if repetition is above 1.
 """
 
@@ -46,7 +46,7 @@ def fill(pool: DataFrame, goals: DataFrame) -> DataFrame:
 
 def fill_capped(pool: DataFrame, goals: DataFrame) -> DataFrame:
     """Any source.  source, path, n, pass: a fold over the source's shards, which are files of a manifest and so few enough for one row."""
-    spec = goals.select("source", "cap", "target", (F.col("fraction") < 1).alias("strict"), F.when(F.col("repetition") > 1, F.ceil("repetition")).otherwise(1).cast("int").alias("passes"))
+    spec = goals.select("source", "cap", "target", ((F.col("fraction") < 1) | (F.col("cap") < F.col("want"))).alias("strict"), F.when(F.col("repetition") > 1, F.ceil("repetition")).otherwise(1).cast("int").alias("passes"))
     shards = pool.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("key", "path", "n"))).alias("shards"))
     both = shards.join(spec, "source")
     order = F.flatten(F.transform(F.sequence(F.lit(1), F.col("passes")), lambda p: F.transform("shards", lambda s: F.struct(p.alias("pass"), s["path"].alias("path"), s["n"].cast("long").alias("n")))))

@@ -32,9 +32,18 @@ def longest_run(tokens: DataFrame, value: int = 0) -> DataFrame:
 
 def order_domain(order: DataFrame, blocks: int, ordering: str = "permutation") -> DataFrame:
     """One row: indices, out_of_range, distinct_ids, repeated (ids), worst, missing, and the verdict."""
-    per = order.groupBy("id").agg(F.count("*").alias("n"))
+    return _domains(order, [], blocks, ordering)
+
+
+def order_domains(order: DataFrame, blocks: int, ordering: str = "permutation") -> DataFrame:
+    """As order_domain, a row for each path."""
+    return _domains(order, ["path"], blocks, ordering)
+
+
+def _domains(order: DataFrame, by: list[str], blocks: int, ordering: str) -> DataFrame:
+    per = order.groupBy(*by, "id").agg(F.count("*").alias("n"))
     inside = (F.col("id") >= 0) & (F.col("id") < blocks)
-    found = per.agg(
+    found = per.groupBy(*by).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("indices"), F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("out_of_range"), F.count("*").alias("distinct_ids"),
         F.count_if(F.col("n") > 1).alias("repeated"), F.coalesce(F.max("n"), F.lit(0)).alias("worst"), (F.lit(blocks) - F.count_if(inside)).alias("missing"),
     )

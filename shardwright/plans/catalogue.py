@@ -94,9 +94,19 @@ def extension_format_check(spark, sf_dir):
 COUNTS = [("a/train-00000.u32le.bin", "tokens", 10, 40, "raw", "uint32", 0, "none"), ("a/train-00001.u32le.bin", "tokens", 10, 38, "raw", "uint32", 0, "none"), ("a/train-00002.u16le.bin", "indices", 5, 18, "raw", "uint16", 8, "none"), ("a/b.jsonl", "rows", 5, 18, "jsonl", None, 0, "none"), ("a/c.bin", "tokens", 5, 1, "raw", "uint32", 0, "gzip")]
 
 
-@query(f"WITH {sql_values('v', 'path, count_unit, count_value, bytes, container, dtype, header_bytes, codec', COUNTS)}, w(dtype, width) AS (VALUES " + ", ".join(f"('{k}', {v})" for k, v in paths.WIDTHS.items()) + ") SELECT path, CAST(count_value * width + header_bytes AS BIGINT) AS expected, CAST(bytes AS BIGINT) AS declared FROM v JOIN w USING (dtype) WHERE count_unit IN ('tokens', 'indices') AND codec = 'none' AND container = 'raw' AND count_value * width + header_bytes <> bytes")
+_TOKEN_FILES = "SELECT path, 'tokens' AS count_unit, count(*) AS count_value, count(*) * 4 + CASE WHEN max(id) % 2 = 0 THEN 2 ELSE 0 END AS bytes, 'raw' AS container, CASE WHEN max(id) % 3 = 0 THEN 'uint16' ELSE 'uint32' END AS dtype, 0 AS header_bytes, 'none' AS codec FROM tokens GROUP BY path"
+
+
+@query(f"WITH {R.TOKEN_ROWS}, {sql_values('own', 'path, count_unit, count_value, bytes, container, dtype, header_bytes, codec', COUNTS)}, v AS (SELECT * FROM own UNION ALL {_TOKEN_FILES}), w(dtype, width) AS (VALUES " + ", ".join(f"('{k}', {v})" for k, v in paths.WIDTHS.items()) + ") SELECT path, CAST(count_value * width + header_bytes AS BIGINT) AS expected, CAST(bytes AS BIGINT) AS declared FROM v JOIN w USING (dtype) WHERE count_unit IN ('tokens', 'indices') AND codec = 'none' AND container = 'raw' AND count_value * width + header_bytes <> bytes")
 def count_arithmetic(spark, sf_dir):
-    return manifest.count_arithmetic(spark.createDataFrame(COUNTS, "path string, count_unit string, count_value long, bytes long, container string, dtype string, header_bytes int, codec string"))
+    """Token shards by supplier, some with stray bytes or a narrower type, and every kind of entry."""
+    own = spark.createDataFrame(COUNTS, "path string, count_unit string, count_value long, bytes long, container string, dtype string, header_bytes int, codec string")
+    found = R.token_rows(spark, sf_dir).groupBy("path").agg(F.count("*").alias("count_value"), F.max("id").alias("top"))
+    found = found.select(
+        "path", F.lit("tokens").alias("count_unit"), "count_value", (F.col("count_value") * 4 + F.when(F.col("top") % 2 == 0, 2).otherwise(0)).alias("bytes"), F.lit("raw").alias("container"),
+        F.when(F.col("top") % 3 == 0, "uint16").otherwise("uint32").alias("dtype"), F.lit(0).alias("header_bytes"), F.lit("none").alias("codec"),
+    )
+    return manifest.count_arithmetic(own.unionByName(found))
 
 
 @query("SELECT 'missing' AS side, CAST(doc_id AS VARCHAR) AS path FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT DISTINCT 'extra', CAST(doc_id AS VARCHAR) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)")
@@ -273,11 +283,13 @@ def conversation_wellformed(spark, sf_dir):
     return R.chats(spark, sf_dir).select("conv_id", rows.message_problem(F.col("messages")).alias("problem"))
 
 
-@query("WITH c AS (SELECT sha256(coalesce(substr(text, 1, 6), 'None')) AS key, max(CASE WHEN conv_id % 5 = 0 THEN 1 ELSE 0 END) AS h, max(CASE WHEN conv_id % 5 = 0 THEN 0 ELSE 1 END) AS t FROM conversations GROUP BY 1) SELECT key FROM c WHERE h = 1 AND t = 1")
+@query(f"""WITH {R.CHATS}, more AS (SELECT key, side FROM chats UNION ALL SELECT key, 'held' FROM chats WHERE side = 'train' AND conv_id % 7 = 0),
+c AS (SELECT key, max(CASE WHEN side = 'held' THEN 1 ELSE 0 END) AS h, max(CASE WHEN side = 'held' THEN 0 ELSE 1 END) AS t FROM more GROUP BY 1) SELECT key FROM c WHERE h = 1 AND t = 1""")
 def train_heldout_leakage(spark, sf_dir):
-    """Openings of turns on both sides."""
-    c = R.table(spark, sf_dir, "conversations").select(F.sha2(F.coalesce(F.substring("text", 1, 6), F.lit("None")), 256).alias("key"), F.when(F.col("conv_id") % 5 == 0, "held").otherwise("train").alias("side"))
-    return rows.leakage(c)
+    """Whole conversations on both sides; a seventh of those for training leak."""
+    chats = R.chats(spark, sf_dir).select("conv_id", keys.conversation_key(F.col("messages")).alias("key"), "side")
+    leaked = chats.filter("side = 'train' AND conv_id % 7 = 0").withColumn("side", F.lit("held"))
+    return rows.leakage(chats.unionByName(leaked).select("key", "side"))
 
 
 @query(f"WITH {R.EVALUATIONS} SELECT shard, count(*) FILTER (WHERE status IN ('ok', 'error', 'filtered')) AS declared, count(*) AS counted FROM evals GROUP BY shard HAVING count(*) <> count(*) FILTER (WHERE status IN ('ok', 'error', 'filtered'))")
@@ -337,11 +349,16 @@ def tokenizer_vocab(spark, sf_dir):
     return tokens.vocabulary(spark.createDataFrame(TOKENIZERS, "name string, vocab map<string,int>, added array<struct<id:int,content:string>>"))
 
 
-@query()
+_DRAW = "CAST('0x' || substr(sha256(seed || ':' || CAST(i AS VARCHAR)), 1, 16) AS UBIGINT) % CAST(bytes - 1024 + 1 AS UBIGINT)"
+
+
+@query(f"""WITH {R.ENTRIES}, s AS (SELECT path, bytes, substr(sha256(sha256('text/corpus|v1|' || grp) || ':' || path), 1, 16) AS seed FROM entries), d AS (SELECT path, bytes, {_DRAW} AS place FROM s, range(4) t(i) WHERE bytes > 1024),
+p AS (SELECT DISTINCT path, CAST(place - place % 4 AS BIGINT) AS first FROM d) SELECT path, string_agg(CAST(first AS VARCHAR), ',' ORDER BY first) AS offsets FROM p GROUP BY path UNION ALL SELECT path, '0' FROM s WHERE bytes <= 1024""")
 def sample_offsets(spark, sf_dir):
-    """Four windows of 64 KiB over each shard, seeded by its path; 64 unsigned bits have no like in the SQL."""
+    """Four windows of 1 KiB over each shard, seeded by its path."""
     e = R.entries(spark, sf_dir)
-    return e.select("path", keys.sample_offsets(F.col("bytes"), 4096, 4, keys.shard_seed(keys.group_seed(F.lit("text/corpus"), F.lit("v1"), F.col("grp")), F.col("path")), align=4).alias("offsets"))
+    found = keys.sample_offsets(F.col("bytes"), 1024, 4, keys.shard_seed(keys.group_seed(F.lit("text/corpus"), F.lit("v1"), F.col("grp")), F.col("path")), align=4)
+    return e.select("path", F.array_join(found.cast("array<string>"), ",").alias("offsets"))
 
 
 # --- names, versions, lineage ---

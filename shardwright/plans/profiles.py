@@ -164,15 +164,16 @@ def conversations(g: Group) -> DataFrame:
 def evaluations(g: Group) -> DataFrame:
     ok = g.config("ok_value", "ok")
     counts = g.document.get("status_counts")
-    metric = g.config("metric_field", "score")
-    found = g.payload(files.eval_rows(g.spark, g.root, g.config("status_field", "status"), metric).withColumnRenamed("shard", "path")).withColumn("shard", F.lit("*"))
+    metric = g.config("metric_field")
+    found = g.payload(files.eval_rows(g.spark, g.root, g.config("status_field", "status"), metric or "score").withColumnRenamed("shard", "path")).withColumn("shard", F.lit("*"))
     out = [g.one("missing-status-counts")] if not isinstance(counts, dict) else []
     if not out:
         known = [counts.get(k, 0) for k in (ok, g.config("error_value", "error"), g.config("filtered_value", "filtered"))]
         said = g.spark.createDataFrame([("*", *known)], "shard string, ok long, error long, filtered long")
         out.append(rows.eval_accounting(found, said).select(F.lit("row-count-mismatch").alias("code"), F.lit(None).cast("string").alias("path")))
     out.append(rows.no_success(found, ok).select(F.lit("all-error-no-success").alias("code"), F.lit(None).cast("string").alias("path")))
-    out.append(rows.constant_metric(found).select(F.lit("metric-all-identical").alias("code"), F.lit(None).cast("string").alias("path")))
+    if metric:
+        out.append(rows.constant_metric(found).select(F.lit("metric-all-identical").alias("code"), F.lit(None).cast("string").alias("path")))
     return manifest.union(out)
 
 
@@ -182,9 +183,10 @@ def orders(g: Group) -> DataFrame:
     sizes = g.payload(files.objects(g.spark, g.root)).join(g.entries.select("path", F.when(F.col("count_unit") == "indices", F.col("count_value")).alias("declared")), "path")
     out = [tokens.order_length(sizes), manifest.violation("order-too-large", sizes, F.col("length") > cap)]
     ids = g.payload(files.token_ids(g.spark, g.root, most_bytes=cap))
-    for path in [r["path"] for r in sizes.filter((F.col("length") <= cap) & (F.col("length") % 4 == 0)).select("path").collect()]:
-        verdict = tokens.order_domain(ids.filter(F.col("path") == path), blocks, g.config("ordering", "permutation"))
-        out.append(verdict.filter("verdict <> 'ok'").select(F.col("verdict").alias("code"), F.lit(path).alias("path")))
+    whole = sizes.filter((F.col("length") <= cap) & (F.col("length") % 4 == 0)).select("path")
+    found = tokens.order_domains(ids, blocks, g.config("ordering", "permutation"))
+    verdict = whole.join(found, "path", "left").select("path", F.coalesce("verdict", F.lit("order-empty")).alias("code"))
+    out.append(verdict.filter("code <> 'ok'").select("code", "path"))
     return manifest.union(out)
 
 

@@ -46,10 +46,23 @@ class Result:
         return {"dataset_id": self.dataset_id, "version": self.version, "status": self.status, "violations": [{"code": c, "path": p, "detail": d} for c, p, d in self.violations]}
 
 
+#: Findings of one check that a report lists; the rest is counted.
+LISTED = 10_000
+
+
+def reported(found: DataFrame, detail: str | None = None) -> list[tuple]:
+    """(code, path, detail) of found (code, path): the first LISTED, and how many each code has if there are more."""
+    some = found.limit(LISTED + 1).collect()
+    out = [(r["code"], r["path"], detail) for r in some[:LISTED]]
+    if len(some) > LISTED:
+        out += [("violations-truncated", None, f"{r['code']}: {r['count']} in all") for r in found.groupBy("code").count().orderBy("code").collect()]
+    return out
+
+
 def _safely(check, group: profiles.Group) -> list[tuple]:
     """A check that fails is a violation of its own; others go on."""
     try:
-        return [(r["code"], r["path"], group.name) for r in check(group).select("code", "path").collect()]
+        return reported(check(group).select("code", "path"), group.name)
     except (PySparkException, ArithmeticError, KeyError, TypeError, ValueError, OSError) as e:
         return [("profile-check-error", None, f"{group.name}: {check.__name__}: {str(e)[:200]}")]
 
@@ -79,7 +92,7 @@ def _parents(landing: Store, data: Store | None, document: dict, entries: DataFr
             out.append(("parent-manifest-hash-mismatch", None, where))
             continue
         theirs, _ = documents.read_manifest(spark, data.load(f"{where}/{own['manifest']}"), own["name"])
-        out += [("shared-sha-with-parent", r["path"], where) for r in lineage.shared_digests(entries, theirs).collect()]
+        out += reported(lineage.shared_digests(entries, theirs).select(F.lit("shared-sha-with-parent").alias("code"), "path"), where)
         if names_tokenizer(dep):
             try:
                 tokenizer = profiles.derive_vocabulary(data.get(f"{where}/{own['name']}/tokenizer.json"))
@@ -227,5 +240,5 @@ def validate(landing: Store, prefix: str, data: Store | None = None, families: d
         frames.append(splits.split_differences(shards, sorted(x for x in declared if x)).select("code", F.col("split").alias("path")))
     if defaults.get("validation_required") and not any(d in paths.SPLITS and d not in paths.TRAINABLE for d in declared) and not document.get("validation_optional"):
         add("missing-required-split")
-    result.violations += [(r["code"], r["path"], None) for r in (manifest.union(frames).collect() if frames else [])]
+    result.violations += reported(manifest.union(frames)) if frames else []
     return result

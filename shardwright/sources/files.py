@@ -1,10 +1,16 @@
 """Datasets as files: listings, digests, strict JSON lines, evaluation tables and raw token shards.
 
-Everything reads through Spark's file sources, so any store that Spark reaches will do.
+Listings and lines come through Spark's file sources, so any store that Spark reaches will do; see `ranges`
+for how parts and streams of files are read.
 """
 
 from __future__ import annotations
 
+import csv
+import gzip
+import hashlib
+import io
+import itertools
 import json
 
 import numpy as np
@@ -13,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import paths
+from . import ranges
 
 #: A JSON line longer than this is refused.
 RECORD_BYTES = 16 << 20
@@ -36,10 +43,22 @@ def objects(spark: SparkSession, root: str) -> DataFrame:
 
 
 def digests(spark: SparkSession, root: str, wanted: DataFrame | None = None) -> DataFrame:
-    """path, length, sha256 of files below root."""
-    found = _binary(spark, root)
+    """path, length, sha256 of files below root, of any size: they are hashed as streams."""
+
+    def run(batches):
+        for batch in batches:
+            found = []
+            for uri, content in zip(batch.column("uri").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                sha = hashlib.sha256()
+                with ranges.opened(uri, content) as file:
+                    for part in ranges.chunks(file):
+                        sha.update(part)
+                found.append(sha.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("length"), pa.array(found, pa.string())], names=["path", "length", "sha256"])
+
+    found = ranges.listed(spark, root).withColumn("path", relative(F.col("uri"), root))
     found = found if wanted is None else found.join(wanted.select("path"), "path", "left_semi")
-    return found.select("path", "length", F.sha2("content", 256).alias("sha256"))
+    return found.select("path", "length", "uri", "content").mapInArrow(run, "path string, length long, sha256 string")
 
 
 def lines(spark: SparkSession, root: str, only_newlines: bool = True) -> DataFrame:
@@ -80,6 +99,23 @@ def json_rows(spark: SparkSession, root: str, field: str = "text", only_newlines
     return lines(spark, root, only_newlines).select("path", "line").mapInArrow(parse, "path string, row string, text string, has_text boolean, is_text boolean, error string")
 
 
+def csv_rows(spark: SparkSession, root: str, status: str, metric: str) -> DataFrame:
+    """path, status, metric of CSV files, each by its own header."""
+    columns = ["path", "status", "metric"]
+
+    def run(batches):
+        for batch in batches:
+            for path, uri, content in zip(batch.column("path").to_pylist(), batch.column("uri").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                with ranges.opened(uri, content) as file:
+                    raw = gzip.GzipFile(fileobj=file) if path.lower().endswith(".gz") else file
+                    rows = csv.DictReader(io.TextIOWrapper(raw, encoding="utf-8-sig", errors="replace", newline=""))
+                    while part := list(itertools.islice(rows, 10_000)):
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in ([path] * len(part), [r.get(status) for r in part], [r.get(metric) for r in part])], names=columns)
+
+    found = ranges.listed(spark, root).withColumn("path", relative(F.col("uri"), root)).filter(F.lower("path").rlike(r"\.csv(\.gz)?$"))
+    return found.select("path", "uri", "content").mapInArrow(run, "path string, status string, metric string")
+
+
 def eval_rows(spark: SparkSession, root: str, status: str = "status", metric: str = "score") -> DataFrame:
     """shard, status, metric (as written) from JSON lines and CSV files with headers."""
     listing = objects(spark, root)
@@ -87,12 +123,12 @@ def eval_rows(spark: SparkSession, root: str, status: str = "status", metric: st
     kinds = listing.agg(F.max(low.rlike(r"\.jsonl(\.gz)?$")), F.max(low.rlike(r"\.csv(\.gz)?$"))).first()
     parts = []
     if kinds[0]:
+        spelled = F.to_json(F.variant_get(F.try_parse_json("row"), f"$.{metric}", "variant"))  # 1 and "1" differ
+        metric_as_written = F.nullif(F.coalesce(spelled, F.get_json_object("row", f"$.{metric}")), F.lit("null"))
         rows = json_rows(spark, root, only_newlines=False, strict=False).filter(F.lower("path").rlike(r"\.jsonl(\.gz)?$"))
-        parts.append(rows.select(F.col("path").alias("shard"), F.get_json_object("row", f"$.{status}").alias("status"), F.get_json_object("row", f"$.{metric}").alias("metric")))
+        parts.append(rows.select(F.col("path").alias("shard"), F.get_json_object("row", f"$.{status}").alias("status"), metric_as_written.alias("metric")))
     if kinds[1]:
-        csv = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv*").csv(root, header=True, multiLine=True)
-        own = lambda c: F.col(c) if c in csv.columns else F.lit(None).cast("string")
-        parts.append(csv.select(relative(F.col("_metadata.file_path"), root).alias("shard"), own(status).alias("status"), own(metric).alias("metric")))
+        parts.append(csv_rows(spark, root, status, metric).withColumnRenamed("path", "shard"))
     if not parts:
         raise ValueError(f"no evaluation rows below {root}: JSON lines or CSV are wanted")
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -127,12 +163,30 @@ def sampled_ids(spark: SparkSession, root: str, seed: Column, window: int = 16_3
     from ..functions.keys import sample_offsets, shard_seed
 
     width = paths.WIDTHS[dtype]
-    found = _binary(spark, root)
-    at = F.explode(sample_offsets(F.col("length"), window, n, shard_seed(seed, F.col("path")), align=width)).alias("at")
-    cuts = found.select("path", "content", at).select("path", F.floor(F.col("at") / width).alias("base"), F.substring("content", (F.col("at") + 1).cast("int"), F.lit(window)).alias("raw"))
-    return cuts.mapInArrow(_decoder(dtype, order, 65_536), "path string, pos long, id long")
+    found = ranges.listed(spark, root).withColumn("path", relative(F.col("uri"), root))
+    offsets = sample_offsets(F.col("length"), window, n, shard_seed(seed, F.col("path")), align=width)
+
+    def read(batches):
+        for batch in batches:
+            for path, uri, content, places in zip(*(batch.column(c).to_pylist() for c in ("path", "uri", "content", "places")), strict=True):
+                with ranges.opened(uri, content) as file:
+                    raw = [file.read_at(window, at) for at in places]
+                yield pa.RecordBatch.from_arrays([pa.array([path] * len(raw), pa.string()), pa.array([at // width for at in places], pa.int64()), pa.array(raw, pa.binary())], names=["path", "base", "raw"])
+
+    decode = _decoder(dtype, order, 65_536)
+    return found.select("path", "uri", "content", offsets.alias("places")).mapInArrow(lambda batches: decode(read(batches)), "path string, pos long, id long")
 
 
 def npy_files(spark: SparkSession, root: str) -> DataFrame:
-    """Paths whose first bytes are a NumPy header."""
-    return _binary(spark, root).filter(F.expr("hex(substring(content, 1, 6)) = '934E554D5059'")).select("path")
+    """Paths whose first bytes are a NumPy header; no more than those are read."""
+
+    def run(batches):
+        for batch in batches:
+            flags = []
+            for uri, content in zip(batch.column("uri").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                with ranges.opened(uri, content) as file:
+                    flags.append(file.read(6) == b"\x93NUMPY")
+            yield pa.RecordBatch.from_arrays([batch.column("path").filter(pa.array(flags, pa.bool_()))], names=["path"])
+
+    found = ranges.listed(spark, root).withColumn("path", relative(F.col("uri"), root))
+    return found.select("path", "uri", "content").mapInArrow(run, "path string")

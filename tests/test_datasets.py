@@ -1,9 +1,11 @@
 """A dataset's life in a local folder: describe, publish, validate, promote, read, sweep."""
 
+import hashlib
 import json
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shardwright.plans import cli, documents, profiles, readme
 from shardwright.plans.publish import PublishError, build, pin, promote, publish
@@ -219,10 +221,55 @@ def test_eval_profile(spark, stores):
     assert check(spark, stores[1], "a", "eval-results/v1", [], {"r.jsonl": good}, status_counts={"ok": 10, "error": 1}) == set()
     assert check(spark, stores[1], "b", "eval-results/v1", [], {"r.csv": "id,status,score\n"}, status_counts={"ok": 12}) == {"row-count-mismatch"}
     assert check(spark, stores[1], "c", "eval-results/v1", [], {"r.jsonl": jsonl(*[{"status": "error"}] * 5)}, status_counts={"error": 5}) == {"all-error-no-success"}
-    assert check(spark, stores[1], "d", "eval-results/v1", [], {"r.jsonl": jsonl(*[{"status": "ok", "score": 1.0}] * 5)}, status_counts={"ok": 5}) == {"metric-all-identical"}
+    assert check(spark, stores[1], "d", "eval-results/v1", [], {"r.jsonl": jsonl(*[{"status": "ok", "score": 1.0}] * 5)}, status_counts={"ok": 5}, metric_field="score") == {"metric-all-identical"}
+    assert check(spark, stores[1], "f", "eval-results/v1", [], {"r.jsonl": jsonl(*[{"status": "ok", "score": 1.0}] * 5)}, status_counts={"ok": 5}) == set()
+    assert check(spark, stores[1], "g", "eval-results/v1", [], {"r.jsonl": jsonl({"status": "ok", "score": 1}, {"status": "ok", "score": "1"})}, status_counts={"ok": 2}, metric_field="score") == set()
     assert check(spark, stores[1], "e", "eval-results/v1", [], {"r.jsonl": good}) == {"missing-status-counts"}
 
 
+def test_csv_files_have_headers_of_their_own(spark, tmp_path):
+    import gzip
+
+    write(tmp_path / "e/a.csv", b"status,score\nok,3\n")
+    write(tmp_path / "e/b.csv", "score,id,status\r\n5,x,error\r\n\"6\n7\",\"y,z\",ok\r\n".encode())
+    write(tmp_path / "e/c.csv.gz", gzip.compress(b"status\nok\n"))
+    write(tmp_path / "e/d.csv", b"")
+    got = sorted(map(tuple, files.eval_rows(spark, f"file://{tmp_path}/e").collect()))
+    assert got == [("a.csv", "ok", "3"), ("b.csv", "error", "5"), ("b.csv", "ok", "6\n7"), ("c.csv.gz", "ok", None)]
+
+
+@pytest.mark.parametrize("whole", [False, True])
+def test_parts_of_files_are_read_where_they_lie(spark, tmp_path, monkeypatch, whole):
+    from shardwright.functions import keys
+    from shardwright.sources import ranges
+
+    if whole:  # a store that tasks can't open
+        monkeypatch.setattr(ranges, "direct", lambda uri: False)
+    raw = np.arange(50_000, dtype="<u4").tobytes()
+    write(tmp_path / "r/a b/train-00000.bin", raw)
+    write(tmp_path / "r/small.bin", raw[:40])
+    write(tmp_path / "r/x.bin", b"\x93NUMPY" + raw[:100])
+    root = f"file://{tmp_path}/r"
+    assert {r["path"]: (r["length"], r["sha256"]) for r in files.digests(spark, root).collect()} == {"a b/train-00000.bin": (len(raw), hashlib.sha256(raw).hexdigest()), "small.bin": (40, hashlib.sha256(raw[:40]).hexdigest()), "x.bin": (106, hashlib.sha256(b"\x93NUMPY" + raw[:100]).hexdigest())}
+    assert [r["path"] for r in files.npy_files(spark, root).collect()] == ["x.bin"]
+    seed = F.lit("s")
+    got = {(r["path"], r["pos"], r["id"]) for r in files.sampled_ids(spark, root, seed, window=400, n=3).collect()}
+    sizes = spark.createDataFrame([("a b/train-00000.bin", len(raw)), ("small.bin", 40)], "path string, size long")
+    places = sizes.select("path", keys.sample_offsets(F.col("size"), 400, 3, keys.shard_seed(seed, F.col("path")), align=4).alias("at")).collect()
+    want = {(r["path"], at // 4 + k, at // 4 + k) for r in places for at in r["at"] for k in range(100 if r["path"][0] == "a" else 10)}
+    assert {g for g in got if g[0] != "x.bin"} == want
+
+
+def test_findings_are_listed_up_to_a_bound(spark, monkeypatch):
+    from shardwright.plans import validate as v
+
+    monkeypatch.setattr(v, "LISTED", 3)
+    found = spark.createDataFrame([("a", str(i)) for i in range(5)] + [("b", "x")], "code string, path string")
+    got = v.reported(found, "d")
+    assert len(got) == 5 and got[3:] == [("violations-truncated", None, "a: 5 in all"), ("violations-truncated", None, "b: 1 in all")]
+    assert v.reported(found.limit(3)) == [("a", str(i), None) for i in range(3)]
+
+
 def test_order_profile(spark, stores):
     raw = lambda xs: np.array(xs, "<u4").tobytes()
     run = lambda name, xs, **f: check(spark, stores[1], name, "token-order/v1", [], {"train-00000.u32le.bin": xs if isinstance(xs, bytes) else raw(xs)}, block_count=4, **f)

@@ -1,4 +1,5 @@
 import itertools
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -122,17 +123,17 @@ def fold(sizes, want, cap, strict, passes):
     return out
 
 
-@pytest.mark.parametrize(("sizes", "total", "fraction", "repetition"), [([50, 50], 60, 0.6, 1.0), ([60, 10, 30], 1000, 0.85, 1.0), ([5, 5, 5], 40, 1.0, 3.0), ([7, 3, 9, 1], 10, 1.0, 1.0), ([10, 20], 100, 0.5, 2.0)])
+@pytest.mark.parametrize(("sizes", "total", "fraction", "repetition"), [([50, 50], 60, 0.6, 1.0), ([60, 10, 30], 1000, 0.85, 1.0), ([5, 5, 5], 40, 1.0, 3.0), ([7, 3, 9, 1], 10, 1.0, 1.0), ([10, 20], 100, 0.5, 2.0), ([20, 4], 60, 1.0, 1.5)])
 def test_mixtures_follow_the_fold(spark, sizes, total, fraction, repetition):
     pool = spark.createDataFrame([("s", f"{i}", n, f"{i:03}") for i, n in enumerate(sizes)], "source string, path string, n long, key string")
     wanted = spark.createDataFrame([("s", 1.0, fraction, repetition)], "source string, ratio double, fraction double, repetition double")
     goals = mixture.targets(pool, wanted, total)
     got = sorted((int(r["path"]), r["pass"]) for r in mixture.fill_capped(pool, goals).collect())
     cap = int(sum(sizes) * fraction * repetition)
-    assert got == sorted(fold(sizes, total, cap, fraction < 1, int(repetition) if repetition > 1 else 1))
+    assert got == sorted(fold(sizes, total, cap, fraction < 1 or cap < total, math.ceil(repetition)))
     if fraction == repetition == 1.0:
         assert sorted(int(r["path"]) for r in mixture.fill(pool, goals).collect()) == [i for i, _ in got]
-    assert sum(sizes[i] for i, _ in got) <= cap or fraction == 1
+    assert sum(sizes[i] for i, _ in got) <= cap or fraction == 1 and cap >= total
 
 
 @pytest.mark.parametrize("bad", [[], [{"labels": {}, "ratio": 1.0}], [{"labels": {"a": "b"}, "ratio": 0.5}], [{"labels": {"a": "b"}, "ratio": 0.5}] * 2, [{"labels": {"a": "b"}, "ratio": 1.0, "fraction": 0}], [{"labels": {"a": "b"}, "ratio": 1.0, "repetition": 0.5}]])
