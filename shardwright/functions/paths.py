@@ -107,8 +107,8 @@ def matches_glob(path: Column, glob: str) -> Column:
 
 def extension(path: Column) -> Column:
     """The longest known extension, whatever its case; null if there is none."""
-    low = F.lower(path)
-    return F.coalesce(*[F.when(low.endswith(e), F.lit(e)) for e in sorted(CLAIMS, key=len, reverse=True)])
+    known = "|".join(map(re.escape, sorted(CLAIMS, key=len, reverse=True)))
+    return F.nullif(F.regexp_extract(F.lower(path), f"(?:{known})$", 0), F.lit(""))  # leftmost, so longest
 
 
 def claimed(path: Column, field: str) -> Column:

@@ -78,11 +78,14 @@ def count_arithmetic(entries: DataFrame) -> DataFrame:
 
 def extension_contradictions(entries: DataFrame) -> DataFrame:
     """path and field, for every field that contradicts the extension's claim."""
-    path = F.col("path")
-    differs = lambda f: F.when(paths.claimed(path, f).isNotNull() & ~F.col(f).eqNullSafe(paths.claimed(path, f)), F.lit(f))
-    short = F.when(F.coalesce(F.col("header_bytes") < paths.claimed(path, "min_header_bytes"), F.lit(False)), F.lit("min_header_bytes"))
-    found = F.array_compact(F.array(*[differs(f) for f in ("container", "dtype", "byte_order", "codec", "header_bytes")], short))
-    return entries.select("path", F.explode(found).alias("field"))
+    fields = ("container", "dtype", "byte_order", "codec", "header_bytes")
+    claims = [(e, *(c.get(f) for f in fields), c.get("min_header_bytes")) for e, c in paths.CLAIMS.items()]
+    claims = entries.sparkSession.createDataFrame(claims, "ext string, c_container string, c_dtype string, c_byte_order string, c_codec string, c_header_bytes int, least int")
+    both = entries.select("path", *fields, paths.extension(F.col("path")).alias("ext")).join(F.broadcast(claims), "ext")  # one row an extension
+    differs = lambda f: F.when(F.col(f"c_{f}").isNotNull() & ~F.col(f).eqNullSafe(F.col(f"c_{f}")), F.lit(f))
+    short = F.when(F.coalesce(F.col("header_bytes") < F.col("least"), F.lit(False)), F.lit("min_header_bytes"))
+    found = F.array_compact(F.array(*map(differs, fields), short))
+    return both.select("path", F.explode(found).alias("field"))
 
 
 def naming(entries: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ def main(args: list[str] | None = None) -> int:
     one.add_argument("--data", required=True)
     one.add_argument("--prefix", action="append")
     one.add_argument("--promote", action="store_true")
+    one.add_argument("--promote-workers", type=int, default=16, help="files that are copied at a time")
     one.add_argument("--now", default=None)
     two = kinds.add_parser("sweep")
     two.add_argument("--data", required=True)
@@ -43,7 +44,7 @@ def main(args: list[str] | None = None) -> int:
         print(prefix, result.status)
         failed |= not result.ok
         if result.ok and asked.promote:
-            promote(result, landing, data, now)
+            promote(result, landing, data, now, asked.promote_workers)
         elif result.status == "rejected":
             landing.put(f"{prefix}/_REJECTED.json", canonical(result.document() | {"at": now}), replace=True)
     return int(failed)

@@ -66,6 +66,10 @@ def unit_is(unit: str, code: str):
     return lambda g: manifest.violation(code, g.entries, ~F.coalesce(F.col("count_unit") == unit, F.lit(False)))
 
 
+def row_count_value(g: Group) -> DataFrame:
+    return manifest.violation("row-count-value", g.entries, (F.col("count_unit") == "rows") & ~F.coalesce(F.col("count_value") >= 0, F.lit(False)))
+
+
 def decoded_tokens(g: Group) -> DataFrame:
     """Four seeded windows of every shard: enough to tell a broken one, at a cost that doesn't grow with it."""
     dtype, order = g.config("dtype", "uint32"), g.config("byte_order", "little")
@@ -220,7 +224,7 @@ def tokenizer_document(g: Group) -> DataFrame:
 
 PROFILES: dict[str, list[Callable[[Group], DataFrame]]] = {
     "pretrain-tokens/v1": [unit_is("tokens", "token-count-unit"), decoded_tokens, npy_magic, alignment],
-    "text-corpus/v1": [unit_is("rows", "row-count-unit"), text_rows],
+    "text-corpus/v1": [unit_is("rows", "row-count-unit"), row_count_value, text_rows],
     "sft-conversations/v1": [conversations],
     "eval-results/v1": [evaluations],
     "token-order/v1": [orders],

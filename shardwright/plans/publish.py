@@ -137,7 +137,7 @@ def publish(plan: Plan, source: Store, landing: Store, data: Store, attempts: in
     raise PublishError("no version was free")
 
 
-def promote(result, landing: Store, data: Store, now: str) -> dict:
+def promote(result, landing: Store, data: Store, now: str, workers: int = 16) -> dict:
     """Copies a version that passed to the data store, enters it in the catalog and seals it, in this order.  The seal holds the digests of what was copied."""
     at = f"{result.dataset_id}/{result.version}"
     if not result.ok:
@@ -149,7 +149,7 @@ def promote(result, landing: Store, data: Store, now: str) -> dict:
     manifests = {g["name"]: landing.load(f"{at}/{g['manifest']}") for g in document["groups"]}
     listed = [e["path"] for m in manifests.values() for e in m["entries"]]
     control = ["dataset.json", *(g["manifest"] for g in document["groups"])]
-    Store(landing.spark, landing.uri(at)).copy([*listed, *control], Store(data.spark, data.uri(at)))
+    Store(landing.spark, landing.uri(at)).copy([*listed, *control], Store(data.spark, data.uri(at)), workers)
     sums = {r["path"]: r["sha256"] for r in files.digests(data.spark, data.uri(at)).filter(~F.col("path").isin(control)).collect()}
     root = sha256(raw)
     entry = {"dataset_id": result.dataset_id, "version": result.version, "uri": data.uri(at), "dataset_sha256": root, **document["inventory"]}

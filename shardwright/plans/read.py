@@ -96,9 +96,10 @@ def latest(data: Store, dataset_id: str) -> str | None:
 def _open(data: Store, dataset_id: str, version: str, group: str | None, require_validated: bool) -> tuple[dict, DataFrame, str]:
     at = f"{dataset_id}/{version}"
     if require_validated:
-        if not data.exists(f"{at}/_VALIDATED.json"):
+        sealed = data.exists(f"{at}/_VALIDATED.json")
+        if not sealed and not data.exists(f"{at}/_SUCCESS"):  # the older mark, which seals nothing
             raise NotValidated(at)
-        if problems := verify_seal(data, at):
+        if problems := verify_seal(data, at) if sealed else []:
             raise SealMismatch("; ".join(problems))
     document = data.load(f"{at}/dataset.json")
     groups = {g["name"]: g for g in document["groups"]}

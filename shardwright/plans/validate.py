@@ -18,7 +18,7 @@ from ..operators import lineage, manifest, splits
 from ..sources import files
 from ..sources.store import Missing, Store, sha256
 from . import documents, profiles
-from .families import FAMILIES
+from .families import families as known_families
 from .publish import problem
 
 CORE = ("schema_version", "dataset_id", "version", "purpose", "mutability", "inventory", "groups")
@@ -67,6 +67,10 @@ def _safely(check, group: profiles.Group) -> list[tuple]:
         return [("profile-check-error", None, f"{group.name}: {check.__name__}: {str(e)[:200]}")]
 
 
+# What a problem with a parent is called besides where the parent is the tokenizer.
+OF_TOKENIZER = {"dangling-parent": "tokenizer-parent-missing", "parent-manifest-pin-missing": "tokenizer-manifest-pin-missing", "parent-manifest-pin-mismatch": "tokenizer-manifest-pin-mismatch", "parent-manifest-hash-mismatch": "tokenizer-manifest-hash-mismatch"}
+
+
 def _parents(landing: Store, data: Store | None, document: dict, entries: DataFrame) -> tuple[list[tuple], dict]:
     """Problems with a group's parents, shared digests among them; and what its tokenizer says."""
     out, tokenizer = [], {}
@@ -81,6 +85,8 @@ def _parents(landing: Store, data: Store | None, document: dict, entries: DataFr
         status = lineage.pin_status(row, known).first()["status"]
         if status != "ok":
             out.append((status, None, where))
+            if names_tokenizer(dep):
+                out.append((OF_TOKENIZER.get(status, status), None, where))
             continue
         own = hashes[dep["manifest_sha256"]]
         try:
@@ -90,6 +96,8 @@ def _parents(landing: Store, data: Store | None, document: dict, entries: DataFr
             continue
         if sha256(raw) != dep["manifest_sha256"]:
             out.append(("parent-manifest-hash-mismatch", None, where))
+            if names_tokenizer(dep):
+                out.append((OF_TOKENIZER["parent-manifest-hash-mismatch"], None, where))
             continue
         theirs, _ = documents.read_manifest(spark, data.load(f"{where}/{own['manifest']}"), own["name"])
         out += reported(lineage.shared_digests(entries, theirs).select(F.lit("shared-sha-with-parent").alias("code"), "path"), where)
@@ -102,6 +110,7 @@ def _parents(landing: Store, data: Store | None, document: dict, entries: DataFr
                 out.append(("tokenizer-parent-unreadable", None, where))
     if deps and data is None:
         out.append(("depends-on-no-data-store", None, document["name"]))
+        out += [("tokenizer-no-data-bucket", None, document["name"])] if any(map(names_tokenizer, deps)) else []
     if document.get("profile") == "pretrain-tokens/v1" and (n := sum(map(names_tokenizer, deps))) != 1 and "vocab_size" not in document:
         out.append(("tokenizer-dependency-count", None, f"{document['name']}: {n}"))
     if "vocab_size" in document:
@@ -179,7 +188,7 @@ def validate(landing: Store, prefix: str, data: Store | None = None, families: d
         return result
 
     family = dataset_id.split("/")[0]
-    defaults = (FAMILIES if families is None else families).get(family, {})
+    defaults = (known_families() if families is None else families).get(family, {})
     listing = files.objects(spark, landing.uri(prefix)).cache()
     frames: list[DataFrame] = []
     every, unread, declared = None, False, set()

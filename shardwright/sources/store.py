@@ -7,6 +7,8 @@ import json
 
 from pyspark.sql import SparkSession
 
+from . import ranges
+
 
 class StoreError(RuntimeError):
     """The store refused or failed."""
@@ -93,7 +95,12 @@ class Store:
         return sorted(out)
 
     def copy(self, names: list[str], to: Store, workers: int = 16) -> None:
-        """Copies files to the same names in another store, in threads of the driver; a file that is there is replaced."""
+        """Copies files to the same names in another store; a file that is there is replaced.
+
+        Tasks copy, `workers` at a time, where they open both stores themselves (see ranges); else threads of the driver do.
+        """
+        if ranges.direct(self.uri("")) and ranges.direct(to.uri("")):
+            return ranges.copy(self.spark, [(self.uri(n), to.uri(n)) for n in names], workers)
         from concurrent.futures import ThreadPoolExecutor
 
         util = self.jvm.org.apache.hadoop.fs.FileUtil

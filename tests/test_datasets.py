@@ -260,6 +260,42 @@ def test_parts_of_files_are_read_where_they_lie(spark, tmp_path, monkeypatch, wh
     assert {g for g in got if g[0] != "x.bin"} == want
 
 
+def test_lines_are_numbered_and_bounded(spark, tmp_path):
+    import gzip
+
+    from shardwright.sources import ranges
+
+    write(tmp_path / "n/a.jsonl", b"one\n\r\nthree \xff\rstill\n\nlast")
+    write(tmp_path / "n/b.jsonl.gz", gzip.compress(b"1234567890123456\n12345678901234567\nmore\n"))
+    got = sorted((r["uri"][-1], r["number"], r["line"] and bytes(r["line"])) for r in ranges.numbered_lines(spark, f"file://{tmp_path}/n", 16).collect())
+    assert got == [("l", 1, b"one"), ("l", 2, b"\r"), ("l", 3, b"three \xff\rstill"), ("l", 4, b""), ("l", 5, b"last"), ("z", 1, b"1234567890123456"), ("z", 2, None)]
+
+
+@pytest.mark.parametrize("tasks", [True, False])
+def test_stores_copy_in_tasks_or_threads(spark, tmp_path, monkeypatch, tasks):
+    from shardwright.sources import ranges
+
+    if not tasks:
+        monkeypatch.setattr(ranges, "direct", lambda uri: False)
+    one, two = Store(spark, f"file://{tmp_path}/one"), Store(spark, f"file://{tmp_path}/two")
+    for i in range(5):
+        one.put(f"a b/{i}.bin", bytes([i]) * i * 1000)
+    two.put("a b/3.bin", b"older, with a checksum beside it")
+    one.copy([f"a b/{i}.bin" for i in range(5)], two, workers=3)
+    one.copy([], two)
+    assert [two.get(f"a b/{i}.bin") for i in range(5)] == [bytes([i]) * i * 1000 for i in range(5)]
+    assert [n for n in two.names() if not n.endswith(".crc")] == [f"a b/{i}.bin" for i in range(5)]
+
+
+def test_families_come_from_a_folder_too(tmp_path, monkeypatch):
+    from shardwright.plans import families
+
+    write(tmp_path / "sft.json", json.dumps({"coverage": "overlapping"}))
+    write(tmp_path / "custom.json", json.dumps({"profile": "own/v1"}))
+    monkeypatch.setenv(families.FOLDER, str(tmp_path))
+    assert families.defaults("sft/x") == {"coverage": "overlapping"} and families.defaults("custom/x") == {"profile": "own/v1"} and families.defaults("eval/x")["profile"] == "eval-results/v1"
+
+
 def test_findings_are_listed_up_to_a_bound(spark, monkeypatch):
     from shardwright.plans import validate as v
 
