@@ -1,6 +1,6 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words become template tokens: numbers, units (after a number) and names turn into typed placeholders,
+Words become template tokens: numbers (in digits or words), units (after a number) and names turn into typed placeholders,
 the rest stays as lower-case words without outer punctuation.  Windows of `n` template tokens of each
 benchmark item are hashed and joined with the windows of every document.  Hits of one item at one
 alignment form a passage; its slots must be filled consistently (each value of the item always stands
@@ -36,6 +36,8 @@ from .common import as_bytes, materialise
 # Units of measure and common given names.
 UNITS = "kg g mg lb lbs oz km m cm mm mi mile miles ft feet inch inches yard yards s sec second seconds min minute minutes h hour hours day days week weeks month months year years l ml litre litres liter liters gallon gallons cup cups dollar dollars cent cents euro euros pound pounds percent degree degrees mph kmh kw kwh w v a hz gb mb kb tb".split()
 NAMES = "james john robert michael william david richard joseph thomas charles mary patricia jennifer linda elizabeth barbara susan jessica sarah karen alice bob carol dave emma olivia noah liam sophia lucas mia ethan ava maria jose carlos juan ana luis pedro marta pierre marie jean claire louis hans anna peter julia klaus tom tim ben sam max alex kate lucy emily daniel matthew mark paul steven andrew kevin brian george edward laura rachel natalia".split()
+# Numbers in words.
+NUMERALS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen half twice".split()
 NUMBER = re.compile(r"[+-]?\d[\d.,]*(?:%|st|nd|rd|th)?")
 WORD, NUM, UNIT, NAME = 0, 1, 2, 3
 
@@ -48,7 +50,7 @@ class Vocabulary(dict):
 
     def __init__(self, size: int = 1 << 12):
         super().__init__()
-        self.units, self.names = frozenset(UNITS), frozenset(NAMES)
+        self.units, self.names, self.numerals = frozenset(UNITS), frozenset(NAMES), frozenset(NUMERALS)
         self.literal, self.kind, self.marks, self.ends = np.zeros(size, np.uint64), np.zeros(size, np.int8), np.zeros(size, np.int8), np.zeros(size, bool)
 
     def __missing__(self, raw: bytes) -> int:
@@ -58,7 +60,7 @@ class Vocabulary(dict):
         word = raw.decode("utf-8", "replace")
         core = word.strip("\"'()[]{}<>.,;:!?*#$%&_|=+-/\\`~“”‘’«»…")
         low = core.lower()
-        kind = -1 if not core else NUM if NUMBER.fullmatch(core) else NAME if core.istitle() and low in self.names else WORD
+        kind = -1 if not core else NUM if NUMBER.fullmatch(core) or all(x in self.numerals for x in low.split("-")) else NAME if core.istitle() and low in self.names else WORD
         self.literal[n] = xxhash.xxh3_64_intdigest(low)
         self.kind[n] = kind
         self.marks[n] = (kind == WORD and core.istitle()) | 2 * (low in self.units)

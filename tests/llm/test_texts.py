@@ -280,6 +280,17 @@ def test_edited_and_redrawn_passages_are_found():
     assert found(short.replace("2 kg", "7 kg")) == {(1, "reparameterised", len(short.split()))}
 
 
+def test_numbers_may_be_words_and_values_may_meet():
+    index = decontaminate.Index(8, 5)
+    texts = ["a shop has three apples and then sells four apples so how many are there", "the tall tree is twenty-one m high and the short one is 5 m high on that day"]
+    for i, t in enumerate(texts):
+        index.add(i, t.encode())
+    found = lambda t: {(p[0], p[1]) for p in decontaminate.passages(t.encode(), index.sealed(), decontaminate.Vocabulary())}
+    assert found(texts[0]) == {(0, "exact")} and found(texts[0].replace("three", "9").replace("four", "2")) == {(0, "reparameterised")}
+    assert found(texts[0].replace("three", "5").replace("four", "5")) == {(0, "reparameterised")}
+    assert found(texts[1].replace("twenty-one", "30")) == {(1, "reparameterised")} and not found("a shop has all apples and then sells some apples so how few are there")
+
+
 def test_slots_stand_for_each_other():
     a = np.array
     assert decontaminate.consistent(a([1, 2, 1]), a([5, 6, 5]))
