@@ -60,7 +60,7 @@ class Vocabulary(dict):
         word = raw.decode("utf-8", "replace")
         core = word.strip("\"'()[]{}<>.,;:!?*#$%&_|=+-/\\`~“”‘’«»…")
         low = core.lower()
-        kind = -1 if not core else NUM if NUMBER.fullmatch(core) or all(x in self.numerals for x in low.split("-")) else NAME if core.istitle() and low in self.names else WORD
+        kind = -1 if not core else NUM if (core[0] in "+-" or core[0].isdigit()) and NUMBER.fullmatch(core) or low in self.numerals or "-" in low and self.numerals.issuperset(low.split("-")) else NAME if core.istitle() and low in self.names else WORD
         self.literal[n] = xxhash.xxh3_64_intdigest(low)
         self.kind[n] = kind
         self.marks[n] = (kind == WORD and core.istitle()) | 2 * (low in self.units)
@@ -68,7 +68,7 @@ class Vocabulary(dict):
         self[raw] = n
         return n
 
-    def bound(self, most: int = 250_000) -> None:
+    def bound(self, most: int = 500_000) -> None:
         if len(self) > most:
             self.clear()
 
