@@ -85,17 +85,29 @@ def count_words(texts: DataFrame, most: int = 200_000) -> DataFrame:
     return texts.select("text").mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def tokenised(batches, sp):
+def spelled(words: DataFrame, model: bytes) -> DataFrame:
+    """word, c and ids (bytes of 16-bit numbers) of words that count_words gives."""
+    shipped = words.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        sp = pieces(shipped.value)
+        for batch in batches:
+            found = sp.encode([w.decode("utf-8", "replace") for w in batch.column("word").to_pylist()], num_threads=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([array("H", ids).tobytes() for ids in found], pa.binary())], names=["word", "c", "ids"])
+
+    return words.mapInArrow(run, "word binary, c long, ids binary")
+
+
+def tokenised(batches):
     """(ids, count) of each word."""
     for batch in batches:
-        words = [w.decode("utf-8", "replace") for w in batch.column("word").to_pylist()]
-        yield from zip(sp.encode(words, num_threads=1), batch.column("c").to_pylist(), strict=True)
+        yield from zip((np.frombuffer(ids, np.uint16).tolist() for ids in batch.column("ids").to_pylist()), batch.column("c").to_pylist(), strict=True)
 
 
-def id_counts(words: DataFrame, model: bytes, n_ids: int) -> np.ndarray:
+def id_counts(words: DataFrame, n_ids: int) -> np.ndarray:
     def count(batches):
         total = np.zeros(n_ids)
-        for ids, c in tokenised(batches, pieces(model)):
+        for ids, c in tokenised(batches):
             for i in ids:
                 total[i] += c
         yield pa.RecordBatch.from_pydict({"blob": pa.array([total.tobytes()], pa.binary())})
@@ -117,7 +129,7 @@ def classes(counts: np.ndarray, initial: np.ndarray) -> np.ndarray:
     return of
 
 
-def id_bigrams(words: DataFrame, model: bytes, of: np.ndarray) -> dict[int, float]:
+def id_bigrams(words: DataFrame, of: np.ndarray) -> dict[int, float]:
     """class * number of ids + id -> how often the id follows the class within a word; after CLASSES stands a word's first id, after CLASSES + 1 its last.
 
     At most (CLASSES + 2) times the tokenizer's ids, whatever the corpus.
@@ -126,7 +138,7 @@ def id_bigrams(words: DataFrame, model: bytes, of: np.ndarray) -> dict[int, floa
 
     def count(batches):
         own: Counter = Counter()
-        for ids, c in tokenised(batches, pieces(model)):
+        for ids, c in tokenised(batches):
             last = CLASSES
             for i in ids:
                 own[last * n + i] += c
@@ -144,12 +156,12 @@ def collected(counts: DataFrame) -> dict[int, float]:
     return dict(zip(found["k"].to_pylist(), map(float, found["c"].to_pylist()), strict=True))
 
 
-def class_trigrams(words: DataFrame, model: bytes, of: np.ndarray, pairs: np.ndarray) -> dict[int, float]:
+def class_trigrams(words: DataFrame, of: np.ndarray, pairs: np.ndarray) -> dict[int, float]:
     """(pair - CLASSES) * (CLASSES + 1) + next class, or CLASSES where the word ends, for the pairs that are numbered."""
 
     def count(batches):
         own: Counter = Counter()
-        for ids, c in tokenised(batches, pieces(model)):
+        for ids, c in tokenised(batches):
             k = of[ids].tolist()
             for a, b, then in zip(k, k[1:], [*k[2:], CLASSES], strict=False):
                 if (row := pairs[a, b]) >= CLASSES:
@@ -366,16 +378,18 @@ def average(windows: DataFrame, flat: np.ndarray, prior: Prior, rate: float) ->
         total, own, held = np.zeros(SIZE + 1), start, []
 
         def learn(own):
-            w = np.frombuffer(b"".join(held), np.uint8).reshape(-1, WINDOW + 1)
+            w = np.concatenate(held)
             total[-1] += len(w)
             return train_locally(own, table, w, rate)
 
         for batch in batches:
-            held += batch.column(0).to_pylist()
-            if len(held) >= most:
+            column = batch.column(0)
+            first = np.frombuffer(column.buffers()[1], np.int32)[column.offset] if len(column) else 0
+            held.append(np.frombuffer(column.buffers()[2], np.uint8)[first : first + len(column) * (WINDOW + 1)].reshape(-1, WINDOW + 1) if len(column) else np.zeros((0, WINDOW + 1), np.uint8))
+            if sum(map(len, held)) >= most:
                 own = learn(own)
                 held.clear()
-        if held:
+        if any(map(len, held)):
             own = learn(own)
         total[:-1] = total[-1] * own
         yield pa.RecordBatch.from_pydict({"blob": pa.array([total.tobytes()], pa.binary())})
@@ -479,14 +493,14 @@ def train(texts: DataFrame, tokenizer: str = TOKENIZER, rounds: int = 3) -> tupl
     sp = pieces(raw)
     n_ids = sp.get_piece_size()
     initial = np.array([sp.id_to_piece(i).startswith("▁") for i in range(n_ids)])
-    words = materialise(count_words(texts), "lm-words")
+    words = materialise(spelled(count_words(texts), raw), "lm-words")
     n_texts = texts.count()
     n, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     n, distinct = n + n_texts, distinct + (n_texts > 0)
-    counts = id_counts(words, raw, n_ids)
+    counts = id_counts(words, n_ids)
     of = classes(counts, initial)
-    prior, within = tables(counts, id_bigrams(words, raw, of), of, n_texts, lambda pairs: class_trigrams(words, raw, of, pairs))
-    hot = {bytes(w): c for w, c in words.filter((F.col("c") >= HOT_SHARE * n) & (F.length("word") <= HOT_BYTES)).collect()}
+    prior, within = tables(counts, id_bigrams(words, of), of, n_texts, lambda pairs: class_trigrams(words, of, pairs))
+    hot = {bytes(w): c for w, c in words.filter((F.col("c") >= HOT_SHARE * n) & (F.length("word") <= HOT_BYTES)).select("word", "c").collect()}
     shipped = spark.sparkContext.broadcast((raw, of))
 
     def pick(batches):
@@ -495,15 +509,17 @@ def train(texts: DataFrame, tokenizer: str = TOKENIZER, rounds: int = 3) -> tupl
         for batch in batches:
             texts = [words_of(t) for t in as_bytes(batch.column(0))]
             spell.learn(set().union(*texts))
-            out = [bytes(w) for words in texts for w in training_windows(of[spell.text(words)])]
-            yield pa.RecordBatch.from_pydict({"w": pa.array(out, pa.binary())})
+            for at in range(0, len(texts), 1024):
+                out = np.concatenate([training_windows(of[spell.text(words)]) for words in texts[at : at + 1024]])
+                offsets = np.arange(0, out.size + 1, WINDOW + 1, dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), len(out), [None, pa.py_buffer(offsets), pa.py_buffer(out)])], names=["w"])
 
     windows = materialise(texts.select("text").mapInArrow(pick, "w binary"), "lm-windows")
     flat = first_parameters()
     for r in range(rounds):
         flat = average(windows, flat, prior, 0.02 / (1 + r))
     discard(windows)
-    return Model(raw, of, within, prior, flat, hot, n, distinct, n_texts), words
+    return Model(raw, of, within, prior, flat, hot, n, distinct, n_texts), words.select("word", "c")
 
 
 def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
