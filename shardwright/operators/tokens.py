@@ -21,13 +21,31 @@ def id_statistics(tokens: DataFrame, vocab: int, eos: int, least_distinct: int =
     return out.withColumn("distinct_floor", distinct_floor(F.col("ids"), least_distinct))
 
 
-def longest_run(tokens: DataFrame, value: int = 0) -> DataFrame:
-    """path, longest: the longest run of value by position; 0 where there is none."""
-    by_place = W.partitionBy("path").orderBy("pos")
-    hits = tokens.withColumn("r", F.row_number().over(by_place)).filter(F.col("id") == value)
-    island = F.col("r") - F.row_number().over(by_place)
-    runs = hits.withColumn("i", island).groupBy("path", "i").agg(F.count("*").alias("n")).groupBy("path").agg(F.max("n").alias("longest"))
-    return tokens.select("path").distinct().join(runs, "path", "left").select("path", F.coalesce("longest", F.lit(0)).alias("longest"))
+#: Positions of a shard that one task orders.
+PIECE = 1 << 16
+
+
+def longest_run(tokens: DataFrame, value: int = 0, piece: int = PIECE) -> DataFrame:
+    """path, longest: the longest run of value by position; 0 where there is none.
+
+    Shards are ordered in pieces, so a long one is spread over tasks; of a piece only the runs at its ends, its longest and its size go on, and a shard's pieces are folded in order.
+    """
+    place = W.partitionBy("path", "piece").orderBy("pos")
+    pieces = tokens.select("path", "pos", "id", F.floor(F.col("pos") / piece).alias("piece"))
+    hits = pieces.withColumns({"r": F.row_number().over(place), "size": F.count("*").over(W.partitionBy("path", "piece"))})
+    hits = hits.withColumn("hit", F.col("id").eqNullSafe(F.lit(value)))
+    island = F.col("r") - F.sum(F.col("hit").cast("long")).over(place.rowsBetween(W.unboundedPreceding, 0))
+    runs = hits.withColumn("i", F.when(F.col("hit"), island).otherwise(-1)).groupBy("path", "piece", "i").agg(F.count("*").alias("n"), F.min("r").alias("first"), F.max("r").alias("last"), F.max("size").alias("size"))
+    n = F.when(F.col("i") >= 0, F.col("n")).otherwise(0)
+    ends = runs.groupBy("path", "piece").agg(F.max(n).alias("longest"), F.max(F.when(F.col("first") == 1, n).otherwise(0)).alias("head"), F.max(F.when(F.col("last") == F.col("size"), n).otherwise(0)).alias("tail"), F.max("size").alias("size"))
+    start = F.struct(F.lit(0).cast("long").alias("best"), F.lit(0).cast("long").alias("open"))
+
+    def step(a, p):
+        open_ = F.when(p["head"] == p["size"], a["open"] + p["size"]).otherwise(p["tail"])
+        return F.struct(F.greatest(a["best"], p["longest"], a["open"] + p["head"]).alias("best"), open_.alias("open"))
+
+    ordered = F.sort_array(F.collect_list(F.struct("piece", "size", "head", "longest", "tail")))
+    return ends.groupBy("path").agg(ordered.alias("pieces")).select("path", F.aggregate("pieces", start, step)["best"].alias("longest"))
 
 
 def order_domain(order: DataFrame, blocks: int, ordering: str = "permutation") -> DataFrame:

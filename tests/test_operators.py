@@ -114,6 +114,22 @@ def test_orders(spark, ids, kind, want):
     assert tokens.order_domain(df, 3, kind).first()["verdict"] == want
 
 
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 1000])
+def test_runs_are_found_across_pieces(spark, piece):
+    import random
+
+    rng = random.Random(piece)
+    shards = {f"s{k}": [rng.choice([0, 0, 0, 1, None]) for _ in range(rng.randint(1, 40))] for k in range(12)} | {"zeros": [0] * 25, "none": [5] * 9}
+    rows = [(p, 3 * i if p < "s5" else i, x) for p, ids in shards.items() for i, x in enumerate(ids)]
+    rng.shuffle(rows)
+    got = rows_of(tokens.longest_run(spark.createDataFrame(rows, "path string, pos long, id long"), piece=piece))
+    assert got == rows_of_plain({p: max((len(list(g)) for x, g in itertools.groupby(ids) if x == 0), default=0) for p, ids in shards.items()})
+
+
+def rows_of_plain(found):
+    return sorted(found.items(), key=repr)
+
+
 def fold(sizes, want, cap, strict, passes):
     got, out = 0, []
     for p, (i, n) in itertools.product(range(1, passes + 1), enumerate(sizes)):
