@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import hashlib
 import json
+import shutil
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -111,3 +115,22 @@ class Store:
 
         with ThreadPoolExecutor(workers) as pool:
             list(pool.map(one, names))
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """The uri of a new folder below the one that driver and executors share (spark.checkpoint.dir); it goes when the application ends.
+
+    Only a local session may go without the setting.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise StoreError("set spark.checkpoint.dir to a folder that all executors share")
+        own = tempfile.mkdtemp(prefix="shardwright-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        shared = f"file://{own}"
+        spark.conf.set("spark.checkpoint.dir", shared)
+    found = Store(spark, f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    found.fs.mkdirs(found.path(""))
+    found.fs.deleteOnExit(found.path(""))
+    return found.root
