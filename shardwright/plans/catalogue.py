@@ -109,6 +109,73 @@ def count_arithmetic(spark, sf_dir):
     return manifest.count_arithmetic(own.unionByName(found))
 
 
+_SHARDS = "SELECT path || '/train-00000.bin' AS path, count(*) AS n, max(id) AS top FROM tokens GROUP BY path"
+
+
+def _shards(spark, sf_dir):
+    """path, n (ids) and top (the greatest) of the token shards by supplier."""
+    return R.token_rows(spark, sf_dir).groupBy("path").agg(F.count("*").alias("n"), F.max("id").alias("top")).select(F.concat("path", F.lit("/train-00000.bin")).alias("path"), "n", "top")
+
+
+@query(f"""WITH {R.TOKEN_ROWS}, s AS ({_SHARDS}), e AS (SELECT path, CASE WHEN n % 7 = 0 THEN 'jsonl' ELSE 'raw' END AS container, CASE top % 4 WHEN 0 THEN 'uint8' WHEN 1 THEN 'uint16' WHEN 2 THEN 'uint24' ELSE NULL END AS dtype FROM s),
+c AS (SELECT path, CASE WHEN container = 'raw' AND dtype = 'uint24' THEN 'dtype-not-checkable' WHEN container <> 'raw' AND dtype IN ('uint8', 'uint16') THEN 'fixed-width-dtype-in-nonraw-container' WHEN container = 'raw' AND dtype = 'uint8' THEN 'dtype-too-narrow-for-vocab' END AS code FROM e) SELECT code, path FROM c WHERE code IS NOT NULL""")
+def token_dtype_width(spark, sf_dir):
+    """Token shards of every kind of type, for a vocabulary that needs two bytes."""
+    kind = F.col("top") % 4
+    dtype = F.when(kind == 0, "uint8").when(kind == 1, "uint16").when(kind == 2, "uint24")
+    e = _shards(spark, sf_dir).select("path", F.when(F.col("n") % 7 == 0, "jsonl").otherwise("raw").alias("container"), dtype.alias("dtype"), F.lit("tokens").alias("count_unit"))
+    return manifest.dtype_width(e, 50_000)
+
+
+@query(f"WITH {R.TOKEN_ROWS}, s AS ({_SHARDS}) SELECT 'seq-len-misalignment' AS code, path FROM s WHERE top % 3 > 0 AND n * 4 % (CASE WHEN top % 3 = 1 THEN 4 ELSE 2 END * 16) <> 0")
+def sequence_alignment(spark, sf_dir):
+    """Shards that aren't whole sequences of 16; those without a type aren't judged."""
+    kind = F.col("top") % 3
+    e = _shards(spark, sf_dir).select("path", (F.col("n") * 4).alias("bytes"), F.when(kind == 1, "uint32").when(kind == 2, "uint16").alias("dtype"))
+    return manifest.sequence_alignment(e, 16)
+
+
+@query(f"WITH {R.TOKEN_ROWS}, s AS ({_SHARDS}), l AS (SELECT path, n * 4 + CASE WHEN top % 5 = 0 THEN 1 ELSE 0 END AS length, CASE top % 3 WHEN 0 THEN n WHEN 1 THEN n + 1 END AS declared FROM s), c AS (SELECT path, CASE WHEN length % 4 <> 0 THEN 'order-bytes-not-multiple' WHEN declared * 4 <> length THEN 'order-length-mismatch' END AS code FROM l) SELECT code, path FROM c WHERE code IS NOT NULL")
+def order_length(spark, sf_dir):
+    """Order vectors with stray bytes, with another count than declared, and with none declared."""
+    kind = F.col("top") % 3
+    return tokens.order_length(_shards(spark, sf_dir).select("path", (F.col("n") * 4 + (F.col("top") % 5 == 0).cast("int")).alias("length"), F.when(kind == 0, F.col("n")).when(kind == 1, F.col("n") + 1).alias("declared")))
+
+
+_PROFILED = f"{R.ENTRIES}, n(path, profile) AS (SELECT path, 'text-corpus/v1' FROM entries UNION ALL SELECT * FROM (VALUES " + ", ".join(f"('{n}', '{p}')" for n in NAMES for p in ("pretrain-tokens/v1", "vendored/v1")) + "))"
+
+
+@query(f"WITH {_PROFILED}, b AS (SELECT path, profile, list_last(string_split(path, '/')) AS name FROM n) SELECT 'shard-naming' AS code, path FROM b WHERE NOT starts_with(profile, 'vendored/') AND NOT regexp_matches(name, {_SHARD_SQL}) AND NOT regexp_matches(name, '^[0-9a-f]{{64}}\\.[A-Za-z0-9.]+$')")
+def shard_naming(spark, sf_dir):
+    """Names of no accepted form, where the profile isn't exempt."""
+    own = spark.createDataFrame([(n, p) for n in NAMES for p in ("pretrain-tokens/v1", "vendored/v1")], "path string, profile string")
+    return manifest.naming(R.entries(spark, sf_dir).select("path", F.lit("text-corpus/v1").alias("profile")).unionByName(own))
+
+
+@query(f"WITH {R.DOCUMENT_ROWS}, c AS (SELECT path, count(*) AS n FROM rows_ GROUP BY path) SELECT 'duplicate-path' AS code, path FROM c WHERE n > 1")
+def duplicate_paths(spark, sf_dir):
+    """Every document listed as an entry of its shard."""
+    return manifest.duplicate_paths(R.document_rows(spark, sf_dir))
+
+
+@query(f"WITH {R.ENTRIES}, t AS (SELECT CASE WHEN grouping(grp) = 1 THEN '*' ELSE grp END AS grp, count(*) AS objects, CAST(sum(bytes) AS BIGINT) AS bytes FROM entries GROUP BY GROUPING SETS ((grp), ())) SELECT 'objects-total' AS code, grp AS path FROM t WHERE grp = '*' UNION ALL SELECT 'bytes-total', grp FROM t WHERE grp <> '*' AND bytes % 2 = 1 UNION ALL SELECT code, 'absent' FROM (VALUES ('objects-total'), ('bytes-total')) v(code)")
+def declared_totals(spark, sf_dir):
+    """Totals declared one object short on the whole, in even bytes by group, and for a group that isn't there."""
+    e = R.entries(spark, sf_dir)
+    whole = F.col("grp") == manifest.WHOLE
+    said = manifest.totals(e).select("grp", F.when(whole, F.col("objects") - 1).otherwise(F.col("objects")).alias("objects"), F.when(whole, F.col("bytes")).otherwise(F.col("bytes") - F.col("bytes") % 2).alias("bytes"))
+    return manifest.totals_mismatch(e, said.unionByName(spark.createDataFrame([("absent", 1, 1)], "grp string, objects long, bytes long")))
+
+
+CONTROLS = ["dataset.json", "_SUCCESS", "_VALIDATED.json", "_REJECTED.json", "README.md", "manifest.json", "text/manifest.json", "text/a/manifest.json", "text/dataset.json", "_catalog/a/b/v1.json", "dependents/x", "catalog/x.json", "text/README.md"]
+
+
+@query(f"WITH {R.ENTRIES}, {sql_values('v', 'path', [(c,) for c in CONTROLS])}, n AS (SELECT path FROM entries UNION ALL SELECT path FROM v) SELECT path, path IN ('dataset.json', '_SUCCESS', '_VALIDATED.json', '_REJECTED.json', 'README.md', 'manifest.json') OR regexp_matches(path, '^[^/]*/manifest\\.json$') OR starts_with(path, '_catalog/') OR starts_with(path, 'dependents/') AS control FROM n")
+def control_keys(spark, sf_dir):
+    both = R.entries(spark, sf_dir).select("path").unionByName(spark.createDataFrame([(c,) for c in CONTROLS], "path string"))
+    return both.select("path", paths.is_control(F.col("path")).alias("control"))
+
+
 @query("SELECT 'missing' AS side, CAST(doc_id AS VARCHAR) AS path FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT DISTINCT 'extra', CAST(doc_id AS VARCHAR) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)")
 def exhaustive_diff(spark, sf_dir):
     """Documents as listed, labelled ones as stored."""
@@ -435,3 +502,28 @@ def published_presence(spark, sf_dir):
     listed = R.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("path")).distinct().withColumn("bytes", F.lit(1))
     stored = R.table(spark, sf_dir, "orders").filter("o_orderpriority <> '1-URGENT'").select(F.col("o_orderkey").cast("string").alias("path"), F.when(F.col("o_orderstatus") == "O", 2).otherwise(1).alias("length"))
     return lineage.presence(listed, stored)
+
+
+DEPENDENCIES = [("tokenizer", None), (None, "tokenizer/bpe-32k"), (None, "vendor/open-tokenizer"), (None, "vendor/open-corpus"), ("parent", "pretrain/tokenizer-mix"), (None, None), ("", "tokenizers/x")]
+
+
+@query(f"WITH {sql_values('v', 'role, parent', DEPENDENCIES)}, a AS (SELECT role, parent FROM v UNION ALL SELECT DISTINCT CASE WHEN c_mktsegment = 'BUILDING' THEN 'tokenizer' END, 'vendor/' || lower(c_mktsegment) || CASE WHEN c_nationkey % 2 = 0 THEN '-tokenizer' ELSE '' END FROM customer) SELECT role, parent, coalesce(role = 'tokenizer', false) OR coalesce(starts_with(parent, 'tokenizer/'), false) OR coalesce(starts_with(parent, 'vendor/') AND contains(parent, 'tokenizer'), false) AS tokenizer FROM a")
+def tokenizer_dependency(spark, sf_dir):
+    """Dependencies by role or parent, the customers' segments among them."""
+    own = R.table(spark, sf_dir, "customer").select(F.when(F.col("c_mktsegment") == "BUILDING", "tokenizer").alias("role"), F.concat(F.lit("vendor/"), F.lower("c_mktsegment"), F.when(F.col("c_nationkey") % 2 == 0, "-tokenizer").otherwise("")).alias("parent")).distinct()
+    both = spark.createDataFrame(DEPENDENCIES, "role string, parent string").unionByName(own)
+    return both.select("role", "parent", names.is_tokenizer_dependency(F.col("role"), F.col("parent")).alias("tokenizer"))
+
+
+VERSIONS = [("v1", "supersedes", None), ("v1", "supersedes", "v0"), ("v2", "extends", "v1"), ("v2", "sibling", "v2"), ("v2", "forks", "v1"), ("v3", None, "v2"), ("v02", "extends", "v1"), ("2", "extends", "v1"), (None, "extends", "v1"), ("v2", "extends", None), ("v2", "extends", "1"), ("v10", "supersedes", "v9"), ("v2\n", "extends", "v1")]
+
+
+@query(f"""WITH {sql_values('v', 'version, relation, parent', VERSIONS)}, a AS (SELECT version, relation, parent FROM v UNION ALL SELECT 'v' || CAST(o_orderkey AS VARCHAR), CASE WHEN o_orderstatus = 'F' THEN 'supersedes' WHEN o_orderstatus = 'O' THEN 'extends' ELSE 'other' END, 'v' || CAST(o_custkey AS VARCHAR) FROM orders)
+SELECT version, relation, parent, CASE WHEN version IS NULL OR NOT regexp_matches(version, '^v[1-9][0-9]*$') THEN 'version' WHEN relation IS NULL OR relation NOT IN ('supersedes', 'extends', 'sibling') THEN 'relation' WHEN version = 'v1' AND parent IS NOT NULL THEN 'first-with-parent' WHEN version <> 'v1' AND (parent IS NULL OR NOT regexp_matches(parent, '^v[1-9][0-9]*$')) THEN 'parent' WHEN version = parent THEN 'own-parent' END AS problem,
+CASE WHEN regexp_matches(version, '^v[1-9][0-9]*$') AND version <> 'v1' THEN 'v' || CAST(CAST(substr(version, 2) AS BIGINT) - 1 AS VARCHAR) END AS previous FROM a""")
+def version_rules(spark, sf_dir):
+    """Version blocks that keep or break each rule, the orders as versions of their customers, and the version before."""
+    status = F.col("o_orderstatus")
+    own = R.table(spark, sf_dir, "orders").select(F.concat(F.lit("v"), F.col("o_orderkey").cast("string")).alias("version"), F.when(status == "F", "supersedes").when(status == "O", "extends").otherwise("other").alias("relation"), F.concat(F.lit("v"), F.col("o_custkey").cast("string")).alias("parent"))
+    both = spark.createDataFrame(VERSIONS, "version string, relation string, parent string").unionByName(own)
+    return both.select("version", "relation", "parent", names.version_problem(F.col("version"), F.col("relation"), F.col("parent")).alias("problem"), names.previous_version(F.col("version")).alias("previous"))
