@@ -122,14 +122,15 @@ def scratch(spark: SparkSession, name: str) -> str:
 
     Only a local session may go without the setting.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared, context = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
     if not shared:
-        if not spark.sparkContext.master.startswith("local["):
+        if not context.master.startswith("local["):
             raise StoreError("set spark.checkpoint.dir to a folder that all executors share")
-        own = tempfile.mkdtemp(prefix="shardwright-")
-        atexit.register(shutil.rmtree, own, ignore_errors=True)
-        shared = f"file://{own}"
-        spark.conf.set("spark.checkpoint.dir", shared)
+        if context.getCheckpointDir() is None:  # the setting itself can't be changed in a session
+            own = tempfile.mkdtemp(prefix="shardwright-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+            context.setCheckpointDir(f"file://{own}")
+        shared = context.getCheckpointDir()
     found = Store(spark, f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}")
     found.fs.mkdirs(found.path(""))
     found.fs.deleteOnExit(found.path(""))

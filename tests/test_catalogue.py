@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from shardwright.plans import catalogue
+from shardwright.plans import catalogue, stored  # noqa: F401 (stored registers its queries)
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -36,7 +36,7 @@ def test_queries_give_what_their_sql_gives(spark, duck, name):
     assert cells(got.collect(), columns) == cells(theirs, columns)
 
 
-@pytest.mark.parametrize("name", ["mixture_capped", "duplicate_digest", "token_longest_run", "sample_offsets", "text_row_violations"])
+@pytest.mark.parametrize("name", ["mixture_capped", "duplicate_digest", "token_longest_run", "sample_offsets", "text_row_violations", "token_sample"])
 def test_results_do_not_depend_on_partitions(spark, name):
     before, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
     try:

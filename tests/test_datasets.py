@@ -12,8 +12,8 @@ from shardwright.plans.publish import PublishError, build, pin, promote, publish
 from shardwright.plans.read import NotValidated, ReadError, SealMismatch, build_mixture, latest, resolve, verify_seal
 from shardwright.plans.sweep import sweep
 from shardwright.plans.validate import validate
-from shardwright.sources import files
-from shardwright.sources.store import Exists, Missing, Store, canonical
+from shardwright.sources import files, shards
+from shardwright.sources.store import Exists, Missing, Store, canonical, scratch
 from shardwright.streaming.arrivals import pending, watch
 
 PURPOSE = "Small corpus for the tests to follow a dataset's life"
@@ -401,3 +401,41 @@ def test_the_command_line(spark, stores, tmp_path, capsys):
 def test_readme_leaves_out_empty_columns():
     text = readme.render({"dataset_id": "a/b", "version": {"id": "v1"}, "purpose": "p", "inventory": {"objects": 1234, "bytes": 2048}, "groups": [], "sources": [{"name": "x|y", "url": ""}]})
     assert "1,234 files, 2.0 KiB" in text and "x\\|y" in text and "url" not in text
+
+
+def test_parts_become_files_in_order(spark, tmp_path):
+    rows = [("a/x.bin", 2, b"c"), ("a/x.bin", 1, b"ab"), ("b.bin", 5, b""), ("a/x.bin", 3, None)]
+    shards.write(spark.createDataFrame([r for r in rows if r[2] is not None], "path string, pos long, part binary"), f"file://{tmp_path}")
+    assert (tmp_path / "a/x.bin").read_bytes() == b"abc" and (tmp_path / "b.bin").read_bytes() == b""
+    shards.write(spark.createDataFrame([("b.bin", 1, b"new")], "path string, pos long, part binary"), f"file://{tmp_path}")
+    assert (tmp_path / "b.bin").read_bytes() == b"new" and sorted(p.name for p in tmp_path.rglob("*") if p.is_file()) == ["b.bin", "x.bin"]
+    shards.write(spark.createDataFrame([], "path string, pos long, part binary"), f"file://{tmp_path}/none")
+    with pytest.raises(ValueError):
+        shards.write(spark.createDataFrame(rows[:1], "path string, pos long, part binary"), "odd://x/y")
+
+
+def test_little_endian_numbers_and_lines(spark):
+    df = spark.createDataFrame([(n,) for n in (0, 1, 258, 0xFFFFFFFF, 0x80000000)], "n long")
+    assert [bytes(r[0]) for r in df.select(shards.little_endian(F.col("n"))).collect()] == [n.to_bytes(4, "little") for n in (0, 1, 258, 0xFFFFFFFF, 0x80000000)]
+    assert bytes(df.limit(1).select(shards.line(F.lit("é"))).first()[0]) == "é\n".encode()
+
+
+def test_scratch_folders_need_no_setting_in_a_local_session(tmp_path):
+    """In a process of its own, without the machine's defaults."""
+    import os
+    import subprocess
+    import sys
+
+    code = """
+from pyspark.sql import SparkSession
+from shardwright.sources.store import scratch
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+one, two = scratch(spark, "x"), scratch(spark, "x")
+assert one != two and one.rpartition("/")[0] == two.rpartition("/")[0] and "/x-" in one
+spark.range(3).write.parquet(one + "/t")
+print(spark.read.parquet(one + "/t").count())
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    found = subprocess.run([sys.executable, "-c", code], cwd=root, env=os.environ | {"SPARK_CONF_DIR": str(tmp_path)}, capture_output=True, text=True, timeout=300)
+    assert found.stdout.strip() == "3", found.stderr[-2000:]

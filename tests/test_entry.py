@@ -5,7 +5,7 @@ import __spark_entry__
 
 def test_every_sql_belongs_to_a_query():
     known = __spark_entry__.queries()
-    assert set(__spark_entry__.oracle_sql()) <= set(known) and len(known) >= 46
+    assert set(__spark_entry__.oracle_sql()) <= set(known) and len(known) >= 68
     assert all(callable(f) for f in known.values())
 
 
