@@ -31,15 +31,16 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session may go without the setting; it gets a folder that ends with the process.
     """
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    found, context = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
     if found:
         return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="shardwright-")
-    atexit.register(shutil.rmtree, own, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", f"file://{own}")
-    return f"file://{own}"
+    if context.getCheckpointDir() is None:  # the setting itself can't be changed in a session
+        own = tempfile.mkdtemp(prefix="shardwright-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        context.setCheckpointDir(f"file://{own}")
+    return context.getCheckpointDir().rstrip("/")
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

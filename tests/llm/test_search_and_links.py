@@ -148,3 +148,23 @@ def test_components(spark, edges):
         roots[a] = roots[b] = min(roots[a], roots[b])
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == roots
+
+
+def test_scratch_tables_need_no_setting_in_a_local_session(tmp_path):
+    """In a process of its own, without the machine's defaults."""
+    import os
+    import subprocess
+    import sys
+
+    code = """
+from pyspark.sql import SparkSession
+from shardwright.llm.common import discard, materialise
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+one, two = materialise(spark.range(3), "x"), materialise(spark.range(4), "x")
+print(one.count() + two.count())
+discard(one, two)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    found = subprocess.run([sys.executable, "-c", code], cwd=root, env=os.environ | {"SPARK_CONF_DIR": str(tmp_path)}, capture_output=True, text=True, timeout=300)
+    assert found.stdout.strip() == "7", found.stderr[-2000:]
