@@ -98,18 +98,36 @@ def spelled(words: DataFrame, model: bytes) -> DataFrame:
     return words.mapInArrow(run, "word binary, c long, ids binary")
 
 
-def tokenised(batches):
-    """(ids, count) of each word."""
+def tokenised(batches, most: int = 1 << 20):
+    """The ids of words end to end, how many each word has, and the words' counts: about `most` ids at a time."""
+    raw, counts, size = [], [], 0
+
+    def out():
+        return np.frombuffer(b"".join(raw), np.uint16).astype(int), np.array([len(ids) // 2 for ids in raw], int), np.concatenate(counts)
+
     for batch in batches:
-        yield from zip((np.frombuffer(ids, np.uint16).tolist() for ids in batch.column("ids").to_pylist()), batch.column("c").to_pylist(), strict=True)
+        new = batch.column("ids").to_pylist()
+        raw += new
+        counts.append(batch.column("c").to_numpy())
+        size += sum(map(len, new))
+        if size >= 2 * most:
+            yield out()
+            raw, counts, size = [], [], 0
+    if raw:
+        yield out()
+
+
+def added(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """k and c: each key once, with the sum of its counts."""
+    k, place = np.unique(keys, return_inverse=True)
+    return pa.RecordBatch.from_pydict({"k": pa.array(k.astype(np.int64)), "c": pa.array(np.bincount(place, counts).astype(np.int64))})
 
 
 def id_counts(words: DataFrame, n_ids: int) -> np.ndarray:
     def count(batches):
         total = np.zeros(n_ids)
-        for ids, c in tokenised(batches):
-            for i in ids:
-                total[i] += c
+        for ids, n, c in tokenised(batches):
+            total += np.bincount(ids, np.repeat(c, n), n_ids)
         yield pa.RecordBatch.from_pydict({"blob": pa.array([total.tobytes()], pa.binary())})
 
     found = sum_blobs(words.mapInArrow(count, "blob binary"))
@@ -137,15 +155,12 @@ def id_bigrams(words: DataFrame, of: np.ndarray) -> dict[int, float]:
     n = len(of)
 
     def count(batches):
-        own: Counter = Counter()
-        for ids, c in tokenised(batches):
-            last = CLASSES
-            for i in ids:
-                own[last * n + i] += c
-                last = int(of[i])
-            if ids:
-                own[(CLASSES + 1) * n + ids[-1]] += c
-        yield pa.RecordBatch.from_pydict({"k": pa.array(list(own), pa.int64()), "c": pa.array(own.values(), pa.int64())})
+        for ids, lengths, c in tokenised(batches):
+            ends, some = np.cumsum(lengths), lengths > 0
+            last = np.full(len(ids), CLASSES)
+            last[1:] = of[ids[:-1]]
+            last[(ends - lengths)[some]] = CLASSES
+            yield added(np.concatenate([last * n + ids, (CLASSES + 1) * n + ids[ends[some] - 1]]), np.concatenate([np.repeat(c, lengths), c[some]]))
 
     return collected(words.mapInArrow(count, "k long, c long"))
 
@@ -160,13 +175,13 @@ def class_trigrams(words: DataFrame, of: np.ndarray, pairs: np.ndarray) -> dict[
     """(pair - CLASSES) * (CLASSES + 1) + next class, or CLASSES where the word ends, for the pairs that are numbered."""
 
     def count(batches):
-        own: Counter = Counter()
-        for ids, c in tokenised(batches):
-            k = of[ids].tolist()
-            for a, b, then in zip(k, k[1:], [*k[2:], CLASSES], strict=False):
-                if (row := pairs[a, b]) >= CLASSES:
-                    own[(int(row) - CLASSES) * (CLASSES + 1) + then] += c
-        yield pa.RecordBatch.from_pydict({"k": pa.array(list(own), pa.int64()), "c": pa.array(own.values(), pa.int64())})
+        for ids, lengths, c in tokenised(batches):
+            k, word = of[ids].astype(int), np.repeat(np.arange(len(lengths)), lengths)
+            then = np.full(len(k), CLASSES)
+            then[:-2] = np.where(word[2:] == word[:-2], k[2:], CLASSES)
+            row = pairs[k[:-1], k[1:]]
+            at = np.flatnonzero((word[1:] == word[:-1]) & (row >= CLASSES))
+            yield added((row[at].astype(int) - CLASSES) * (CLASSES + 1) + then[at], c[word[at]])
 
     return collected(words.mapInArrow(count, "k long, c long"))
 
@@ -180,7 +195,7 @@ class Prior:
 
     def rows(self, x: np.ndarray) -> np.ndarray:
         out = x.astype(np.int32)
-        out[:, 1:] = self.pairs[x[:, :-1], x[:, 1:]]
+        out[:, 1:] = self.pairs.take(out[:, :-1] * CLASSES + out[:, 1:])
         return out
 
     def odds(self) -> tuple[np.ndarray, np.ndarray]:
@@ -261,96 +276,121 @@ def first_parameters(seed: int = 11) -> np.ndarray:
     return p
 
 
-def forward(p: dict, x: np.ndarray, causal: np.ndarray):
-    """Hidden states of windows x (rows of classes), and what the backward pass needs."""
-    h = p["E"][x] + p["P"][: x.shape[1]]
-    q, k, v = h @ p["Q"], h @ p["K"], h @ p["V"]
+def bounded(logits: np.ndarray) -> np.ndarray:
+    """In place: none above 60.  Looking for the greatest is faster than np.minimum, and there is seldom one to cut."""
+    return logits if logits.max(initial=0) <= 60 else np.minimum(logits, 60, out=logits)
+
+
+def forward(p: dict, x: np.ndarray, causal: np.ndarray, first: int = 0):
+    """Hidden states of windows x (rows of classes) at the places from first on, and what the backward pass needs.
+
+    A state is a sum of a class's and a place's row, so queries, keys and values are too: they are made by class and by place, then looked up.
+    """
+    t, qkv = x.shape[1], np.concatenate([p["Q"], p["K"], p["V"]], axis=1)
+    rows = np.concatenate([p["E"], p["P"][:t]])
+    rows = np.concatenate([rows, rows @ qkv], axis=1)
+    all_four = rows.take(x, axis=0)
+    all_four += rows[CLASSES:]
+    h, q, k, v = (all_four[:, :, n * WIDTH : (n + 1) * WIDTH] for n in range(4))
+    h, q = h[:, first:], q[:, first:]
     a = q @ k.transpose(0, 2, 1)
-    np.minimum(a, 60, out=a)
-    np.exp(a, out=a)
-    a *= causal
-    a /= (a @ np.ones(a.shape[2], a.dtype))[:, :, None]
+    np.exp(bounded(a), out=a)
+    a *= causal[first:]
+    share = 1 / (a @ np.ones(t, a.dtype))[:, :, None]
     z = a @ v
-    return h + z @ p["O"], (h, q, k, v, a, z)
+    z *= share
+    y = z @ p["O"]
+    y += h
+    return y, (h, q, k, v, a, share, z, qkv)
 
 
 def by_group(groups: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """An order in which positions of a group are together, and (group, first, last) of those that have any."""
-    order = np.argsort(groups.astype(np.uint8), kind="stable")
-    bounds = np.searchsorted(groups[order], np.arange(GROUPS + 1)).tolist()
-    return order, [(k, a, b) for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)) if b > a]
+    groups = groups.astype(np.uint8)
+    order = np.argsort(groups, kind="stable")
+    bounds = np.cumsum(np.bincount(groups, minlength=GROUPS)).tolist()
+    return order, [(k, a, b) for k, (a, b) in enumerate(zip([0, *bounds], bounds, strict=False)) if b > a]
 
 
-def softmaxes(p: dict, odds, y: np.ndarray, last: np.ndarray, to: np.ndarray):
-    """Unnormalised probabilities of the groups, and of the members of the targets' groups in the order that by_group gives; and their logits at the targets."""
+def softmaxes(p: dict, odds, y: np.ndarray, last: np.ndarray, to: np.ndarray, told: bool = True):
+    """Unnormalised probabilities of the groups, and of the members of the targets' groups in the order that by_group gives; where the targets are in both, flat; if told, their logits' sums; sorted y."""
     groups, members = odds
-    g, m, each = to >> 4, to & 15, np.arange(len(to))
-    coarse = y @ p["G"]
-    np.minimum(coarse, 60, out=coarse)
-    own = coarse[each, g]
-    np.exp(coarse, out=coarse)
-    coarse *= groups[last]
+    g, n = to >> 4, np.arange(0, len(to) * GROUPS, GROUPS)
     order, parts = by_group(g)
-    fine, sorted_y = np.empty((len(to), MEMBERS), y.dtype), y[order]
+    coarse = bounded(y @ p["G"])
+    fine, sorted_y = np.empty((len(to), MEMBERS), y.dtype), y.take(order, axis=0)
     for k, a, b in parts:
         np.matmul(sorted_y[a:b], p["W"][k], out=fine[a:b])
-    np.minimum(fine, 60, out=fine)
-    own[order] += fine[each, m[order]]
+    bounded(fine)
+    in_coarse, in_fine = n + g, n + (to & 15).take(order)
+    own = None
+    if told:
+        own = coarse.take(in_coarse)
+        own[order] += fine.take(in_fine)
+    np.exp(coarse, out=coarse)
+    coarse *= groups.take(last, axis=0)
     np.exp(fine, out=fine)
-    fine *= members[last[order] * GROUPS + g[order]]
-    return coarse, fine, own, order, parts
+    fine *= members.take((last * GROUPS + g).take(order), axis=0)
+    return coarse, fine, in_coarse, in_fine, own, sorted_y, order, parts
 
 
-def log_probabilities(p: dict, odds, prior: Prior, x: np.ndarray, targets: np.ndarray, scored: np.ndarray) -> np.ndarray:
-    """Natural log of each scored position's probability, in row order.  odds: those of prior."""
-    y, _ = forward(p, x, CAUSAL)
-    y, last, to = y[scored], prior.rows(x)[scored], targets[scored].astype(np.int64)
-    coarse, fine, own, order, _ = softmaxes(p, odds, y, last, to)
+def log_probabilities(p: dict, odds, prior: Prior, x: np.ndarray, targets: np.ndarray, scored: np.ndarray, first: int = 0) -> np.ndarray:
+    """Natural log of each scored position's probability, in row order.  odds: those of prior; first: no place before it is scored."""
+    y, _ = forward(p, x, CAUSAL, first)
+    at = np.flatnonzero(scored[:, first:])
+    y, last = y.reshape(-1, WIDTH).take(at, axis=0), prior.rows(x)[:, first:].ravel().take(at)
+    to = targets[:, first:].ravel().take(at).astype(np.int64)
+    coarse, fine, _, _, own, _, order, _ = softmaxes(p, odds, y, last, to)
     own -= np.log(coarse @ np.ones(GROUPS, coarse.dtype))  # faster than sums of short rows
     own[order] -= np.log(fine @ np.ones(MEMBERS, fine.dtype))
-    return own + prior.log[last, to]
+    return own + prior.log.take(last * CLASSES + to)
 
 
 def gradients(flat: np.ndarray, prior: Prior, odds, x: np.ndarray, targets: np.ndarray, real: np.ndarray, causal: np.ndarray, told: bool = True) -> tuple[np.ndarray, float]:
     """Of the mean loss over the real positions, and, if told, that loss."""
     p, g = views(flat), np.zeros_like(flat)
     d = views(g)
-    y, (h, q, k, v, a, z) = forward(p, x, causal)
+    y, (h, q, k, v, a, share, z, qkv) = forward(p, x, causal)
     side = lambda m: m.reshape(-1, m.shape[-1])
-    last, to, each = prior.rows(x).ravel(), targets.ravel().astype(np.int64), np.arange(x.size)
+    last, to = prior.rows(x).ravel(), targets.ravel().astype(np.int64)
     weight = (real.ravel() / max(1, int(real.sum()))).astype(flat.dtype)
-    coarse, fine, _, order, parts = softmaxes(p, odds, side(y), last, to)
-    coarse /= (coarse @ np.ones(GROUPS, coarse.dtype))[:, None]
-    fine /= (fine @ np.ones(MEMBERS, fine.dtype))[:, None]
-    member = to[order] & 15
-    loss = told and float(-(np.log(coarse[each, to >> 4] + 1e-30) * weight).sum() - (np.log(fine[each, member] + 1e-30) * weight[order]).sum())
-    coarse[each, to >> 4] -= 1
-    fine[each, member] -= 1
-    coarse *= weight[:, None]
-    fine *= weight[order][:, None]
-    d["G"][:] = side(y).T @ coarse
-    dy, sorted_y, back = coarse @ p["G"].T, side(y)[order], np.empty(side(y).shape, flat.dtype)
+    coarse, fine, in_coarse, in_fine, _, sorted_y, order, parts = softmaxes(p, odds, side(y), last, to, told=False)
+    sorted_weight = weight.take(order)
+    of_coarse, of_fine = coarse @ np.ones(GROUPS, coarse.dtype), fine @ np.ones(MEMBERS, fine.dtype)
+    loss = told and float(-(np.log(coarse.take(in_coarse) / of_coarse + 1e-30) * weight).sum() - (np.log(fine.take(in_fine) / of_fine + 1e-30) * sorted_weight).sum())
+    coarse *= (weight / of_coarse)[:, None]
+    fine *= (sorted_weight / of_fine)[:, None]
+    coarse.ravel()[in_coarse] -= weight
+    fine.ravel()[in_fine] -= sorted_weight
+    np.matmul(side(y).T, coarse, out=d["G"])
+    back, place = np.empty_like(sorted_y), np.empty_like(order)
     for n, lo, hi in parts:
-        d["W"][n] = sorted_y[lo:hi].T @ fine[lo:hi]
-        back[lo:hi] = fine[lo:hi] @ p["W"][n].T
-    dy[order] += back
-    dy = dy.reshape(y.shape)
-    d["O"][:] = side(z).T @ side(dy)
-    dz = dy @ p["O"].T
-    da = dz @ v.transpose(0, 2, 1)
-    dv = a.transpose(0, 2, 1) @ dz
-    da -= np.einsum("bij,bij->bi", da, a)[:, :, None]
-    ds = np.multiply(da, a, out=da)
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    dh = dy + dq @ p["Q"].T + dk @ p["K"].T + dv @ p["V"].T
-    for name, part in (("Q", dq), ("K", dk), ("V", dv)):
-        d[name][:] = side(h).T @ side(part)
-    d["P"][: x.shape[1]] = dh.sum(axis=0)
+        np.matmul(sorted_y[lo:hi].T, fine[lo:hi], out=d["W"][n])
+        np.matmul(fine[lo:hi], p["W"][n].T, out=back[lo:hi])
+    place[order] = np.arange(len(order))
+    dy = coarse @ p["G"].T
+    dy += back.take(place, axis=0)
+    np.matmul(side(z).T, dy, out=d["O"])
+    # a is not divided by its rows' sums, so dz is, and what is made of both is as if a were.
+    dz = (dy @ p["O"].T).reshape(z.shape)
+    dz *= share
+    ds = dz @ v.transpose(0, 2, 1)
+    ds -= np.einsum("bij,bij->bi", dz, z)[:, :, None]
+    ds *= a
+    of_qkv = np.empty((*x.shape, 3 * WIDTH), flat.dtype)
+    np.matmul(ds, k, out=of_qkv[:, :, :WIDTH])
+    np.matmul(ds.transpose(0, 2, 1), q, out=of_qkv[:, :, WIDTH : 2 * WIDTH])
+    np.matmul(a.transpose(0, 2, 1), dz, out=of_qkv[:, :, 2 * WIDTH :])
+    d["Q"][:], d["K"][:], d["V"][:] = np.split(side(h).T @ side(of_qkv), 3, axis=1)
+    dh = side(of_qkv) @ qkv.T
+    dh += dy
+    d["P"][: x.shape[1]] = dh.reshape(z.shape).sum(axis=0)
     flat_x = x.ravel()
     together = np.argsort(flat_x, kind="stable")
     sorted_x = flat_x[together]
     first = np.flatnonzero(np.concatenate([[True], sorted_x[1:] != sorted_x[:-1]]))
-    d["E"][sorted_x[first]] = np.add.reduceat(side(dh)[together], first, axis=0)
+    two = np.result_type(flat.dtype, np.complex64)  # adds two columns at a time
+    d["E"][sorted_x[first]] = np.add.reduceat(dh.take(together, axis=0).view(two), first, axis=0).view(flat.dtype)
     return g, loss
 
 
@@ -365,7 +405,11 @@ def train_locally(flat: np.ndarray, prior: Prior, windows: np.ndarray, rate: flo
         g, _ = gradients(flat, prior, odds, x, y, x != END, CAUSAL, told=False)
         m += 0.1 * (g - m)
         v += 0.01 * (g * g - v)
-        flat -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+        step = np.sqrt(v / (1 - 0.99**t))
+        step += 1e-8
+        np.divide(m, step, out=step)
+        step *= rate / (1 - 0.9**t)
+        flat -= step
     return flat
 
 
@@ -402,24 +446,58 @@ def average(windows: DataFrame, flat: np.ndarray, prior: Prior, rate: float) ->
 
 
 class Spelling(dict):
-    """word -> its ids as bytes of 16-bit numbers."""
+    """word -> its number, from 2 on; START and END are 0 and 1.  The numbered words' ids lie end to end, so a text is spelled by look-ups in arrays."""
 
-    def __init__(self, model: bytes, n: int, most: int = 500_000):
+    def __init__(self, model: bytes, n: int, most: int = 500_000, hot: dict[bytes, int] | None = None):
         super().__init__()
-        self.sp, self.most = pieces(model), most
-        self.start, self.end = (np.array([n - 2 + k], np.uint16).tobytes() for k in (0, 1))
-
-    def learn(self, words) -> None:
-        """Spells the words that aren't known yet, in one call of the tokenizer, which a call a text would slow down."""
+        self.sp, self.n, self.most, self.hot = pieces(model), n, most, hot or {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.words: list[bytes] = [b"", b""]
+        self.pool, self.starts = np.array([self.n - 2, self.n - 1], np.uint16), np.arange(3)
+        self.counts = np.zeros(2, np.int64)
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self.words)
+        self.words.append(word)
+        return number
+
+    def learn(self, words) -> np.ndarray:
+        """The words' numbers.  New ones are spelled in one call of the tokenizer, which a call a text would slow down; counts gets what hot has for them, or 0."""
         if len(self) > self.most:
-            self.clear()
-        new = [w for w in words if w not in self]
-        for word, ids in zip(new, self.sp.encode([w.decode("utf-8", "replace") for w in new], num_threads=1) if new else (), strict=True):
-            self[word] = array("H", ids).tobytes()
+            self.forget()
+        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if new := self.words[len(self.counts) :]:
+            found = self.sp.encode([w.decode("utf-8", "replace") for w in new], num_threads=1)
+            ends = self.starts[-1] + np.cumsum([len(ids) for ids in found])
+            self.pool = np.concatenate([self.pool, np.fromiter(itertools.chain.from_iterable(found), np.uint16)])
+            self.starts = np.concatenate([self.starts, ends])
+            self.counts = np.concatenate([self.counts, np.fromiter((self.hot.get(w, 0) for w in new), np.int64, len(new))])
+        return numbers
+
+    def ids(self, numbers: np.ndarray, most: int = 1 << 16) -> np.ndarray:
+        """The ids of START, the numbered words and END; looked up for `most` words at a time."""
+        whole, out = np.concatenate([[0], numbers, [1]]), []
+        for at in range(0, len(whole), most):
+            k = whole[at : at + most]
+            first = self.starts.take(k)
+            length = self.starts.take(k + 1) - first
+            ends = np.cumsum(length)
+            places = np.repeat(first - ends + length, length)
+            places += np.arange(len(places))
+            out.append(self.pool.take(places))
+        return out[0] if len(out) == 1 else np.concatenate(out)
 
     def text(self, words: list[bytes]) -> np.ndarray:
         """The ids of START, the words (all learned) and END."""
-        return np.frombuffer(self.start + b"".join(map(self.__getitem__, words)) + self.end, np.uint16)
+        return self.ids(np.fromiter(map(self.__getitem__, words), np.int64, len(words)))
+
+    def texts(self, texts: list[list[bytes]]) -> list[np.ndarray]:
+        """The numbers of each text's words."""
+        ends = np.cumsum([len(words) for words in texts])
+        return np.split(self.learn(list(itertools.chain.from_iterable(texts))), ends[:-1])
 
 
 def cut(seq: np.ndarray) -> np.ndarray:
@@ -446,30 +524,38 @@ def scored_positions(n: int, length: int) -> np.ndarray:
     return own
 
 
-def score_sequences(flat: np.ndarray, prior: Prior, sequences, chunk: int = 128) -> np.ndarray:
-    """Natural log probability of each sequence of classes."""
-    p, odds = views(flat), prior.odds()
+def score_sequences(flat: np.ndarray, prior: Prior, sequences, chunk: int = 128, odds=None) -> np.ndarray:
+    """Natural log probability of each sequence of classes.  odds: those of prior, if they are at hand.
+
+    A sequence's first window is scored whole; the others only from where the one before ends, so only there do they ask.
+    """
+    p, odds = views(flat), odds or prior.odds()
     totals = np.zeros(len(sequences))
-    held, masks, owners, waiting = [], [], [], 0
+    held = {first: ([], [], []) for first in (0, WINDOW - STRIDE)}
 
-    def run():
-        w, mask, own = np.concatenate(held), np.concatenate(masks), np.concatenate(owners)
-        lp = log_probabilities(p, odds, prior, w[:, :-1], w[:, 1:], mask)
+    def run(first):
+        w, mask, own = map(np.concatenate, held[first])
+        lp = log_probabilities(p, odds, prior, w[:, :-1], w[:, 1:], mask, first)
         totals[:] += np.bincount(np.repeat(own, mask.sum(axis=1)), lp, len(totals))
+        for part in held[first]:
+            part.clear()
 
+    waiting = dict.fromkeys(held, 0)
     for i, seq in enumerate(sequences):
         windows = cut(seq)
         mask = scored_positions(len(windows), len(seq))
-        for at in range(0, len(windows), chunk):
-            held.append(windows[at : at + chunk])
-            masks.append(mask[at : at + chunk])
-            owners.append(np.full(len(held[-1]), i))
-            waiting += len(held[-1])
-            if waiting >= chunk:
-                run()
-                held, masks, owners, waiting = [], [], [], 0
-    if waiting:
-        run()
+        ends = [0, *range(1, len(windows), chunk), len(windows)]
+        for at, end in zip(ends, ends[1:], strict=False):
+            first = WINDOW - STRIDE if at else 0
+            for part, new in zip(held[first], (windows[at:end], mask[at:end], np.full(end - at, i)), strict=True):
+                part.append(new)
+            waiting[first] += end - at
+            if waiting[first] >= chunk:
+                run(first)
+                waiting[first] = 0
+    for first, n in waiting.items():
+        if n:
+            run(first)
     return totals
 
 
@@ -507,10 +593,10 @@ def train(texts: DataFrame, tokenizer: str = TOKENIZER, rounds: int = 3) -> tupl
         raw, of = shipped.value
         spell = Spelling(raw, len(of))
         for batch in batches:
-            texts = [words_of(t) for t in as_bytes(batch.column(0))]
-            spell.learn(set().union(*texts))
-            for at in range(0, len(texts), 1024):
-                out = np.concatenate([training_windows(of[spell.text(words)]) for words in texts[at : at + 1024]])
+            texts = as_bytes(batch.column(0))
+            for at in range(0, len(texts), TEXTS):
+                numbers = spell.texts([words_of(t) for t in texts[at : at + TEXTS]])
+                out = np.concatenate([training_windows(of.take(spell.ids(own))) for own in numbers])
                 offsets = np.arange(0, out.size + 1, WINDOW + 1, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), len(out), [None, pa.py_buffer(offsets), pa.py_buffer(out)])], names=["w"])
 
@@ -531,38 +617,29 @@ def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
         from pyspark import TaskContext
 
         m = shipped.value
-        spell = Spelling(m.tokenizer, len(m.of))
+        spell, odds = Spelling(m.tokenizer, len(m.of), hot=m.hot), m.prior.odds()
         whole = m.n + 0.5 * (m.distinct + 1)
-        hot = {w: (c, float(np.log10((c + 0.5) / whole))) for w, c in m.hot.items()}
-        unseen, end = float(np.log10(0.5 / whole)), float(np.log10((m.n_texts + 0.5) / whole))
+        end = float(np.log10((m.n_texts + 0.5) / whole))
         uid = TaskContext.get().partitionId() << 33
         for batch in itertools.chain.from_iterable(([b.slice(at, TEXTS) for at in range(0, b.num_rows, TEXTS)] for b in batches)):
-            uids, tokens, known, base, within, sequences = [], [], [], [], [], []
-            cold, times, offsets = [], [], [0]
-            raw_texts = as_bytes(batch.column(2))
-            texts = [words_of(t) for t in raw_texts]
-            counted = [Counter(words) for words in texts]
-            spell.learn(set().union(*counted))
-            for words, times_of in zip(texts, counted, strict=True):
-                ids = spell.text(words)
-                sequences.append(m.of[ids])
-                within.append(float(m.within[sequences[-1][:-1], ids[1:]].sum(dtype=float)))
-                k, b = int(m.n_texts > 0), end
-                for word, tf in times_of.items():
-                    if found := hot.get(word):
-                        k += tf
-                        b += tf * found[1]
-                    else:
-                        b += tf * unseen
-                        cold.append(word)
-                        times.append(tf)
-                offsets.append(len(cold))
-                uids.append(uid)
-                uid += 1
-                tokens.append(len(words) + 1)
-                known.append(k)
-                base.append(b)
-            lp = score_sequences(m.flat, m.prior, sequences)
+            raw_texts, n = as_bytes(batch.column(2)), batch.num_rows
+            numbers = spell.texts([words_of(t) for t in raw_texts])
+            within, sequences = [], []
+            for own in numbers:
+                ids = spell.ids(own)
+                sequences.append(m.of.take(ids))
+                within.append(float(m.within.take(sequences[-1][:-1].astype(np.int32) * len(m.of) + ids[1:]).sum(dtype=float)))
+            lengths = np.array([len(own) for own in numbers])
+            text, every = np.repeat(np.arange(n), lengths), np.concatenate(numbers)
+            c = spell.counts.take(every)
+            base = end + np.bincount(text, np.log10((c + 0.5) / whole), n)
+            known = np.bincount(text[c > 0], minlength=n) + (m.n_texts > 0)
+            cold, times = np.unique(text[c == 0] * len(spell.words) + every[c == 0], return_counts=True)
+            offsets = np.searchsorted(cold, np.arange(n + 1) * len(spell.words))
+            cold = [spell.words[k] for k in (cold % len(spell.words)).tolist()]
+            uids, tokens = np.arange(uid, uid + n), lengths + 1
+            uid += n
+            lp = score_sequences(m.flat, m.prior, sequences, odds=odds)
             at = pa.array(offsets, pa.int32())
             yield pa.RecordBatch.from_arrays([
                 pa.array(uids, pa.int64()), batch.column(0), batch.column(1), pa.array([hashlib.md5(t).digest() for t in raw_texts], pa.binary()), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),

@@ -1,5 +1,6 @@
 """Language ID, language model and secret scan: against brute force and on held-out cases."""
 
+import functools
 import hashlib
 import math
 import random
@@ -8,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,6 +170,64 @@ def test_every_token_is_scored_once_and_only_from_before():
     assert np.allclose(y[0, :20], y2[0, :20]) and not np.allclose(y[0, 20:], y2[0, 20:])
 
 
+def test_counts_of_ids_bigrams_and_trigrams_are_exact(spark):
+    texts = [t for _, t in lm_rows()]
+    raw = open(lm.TOKENIZER, "rb").read()
+    table = lm.spelled(lm.count_words(spark.createDataFrame([(t,) for t in texts], "text string")), raw).cache()
+    rng = np.random.default_rng(8)
+    n_ids = lm.pieces(raw).get_piece_size()
+    of = rng.integers(2, lm.CLASSES, n_ids + 2).astype(np.uint8)
+    pairs = lm.frequent_pairs(rng.integers(0, 9, (lm.CLASSES + 2, lm.CLASSES)).astype(float), 30_000)
+    sp = lm.pieces(raw)
+    spell = functools.cache(lambda w: sp.encode(w.decode("utf-8", "replace")))
+    n, singles, twos, threes = len(of), Counter(), Counter(), Counter()
+    for w in (w for t in texts for w in lm.words_of((t or "").encode())):
+        ids = spell(w)
+        k = [int(of[i]) for i in ids]
+        singles.update(ids)
+        twos.update(a * n + i for a, i in zip([lm.CLASSES, *k], ids, strict=False))
+        twos.update([(lm.CLASSES + 1) * n + ids[-1]] if ids else [])
+        threes.update((int(pairs[a, b]) - lm.CLASSES) * (lm.CLASSES + 1) + c for a, b, c in zip(k, k[1:], [*k[2:], lm.CLASSES], strict=False) if pairs[a, b] >= lm.CLASSES)
+    assert {i: c for i, c in enumerate(lm.id_counts(table, n_ids)) if c} == singles
+    assert lm.id_bigrams(table, of) == twos and len(threes) > 10
+    assert lm.class_trigrams(table, of, pairs) == threes
+
+
+def test_parts_of_what_is_counted_and_spelled_make_the_whole():
+    raw = open(lm.TOKENIZER, "rb").read()
+    words = lm.words_of(" ".join(t or "" for _, t in lm_rows()[:60]).encode())
+    spell = lm.Spelling(raw, 40_000, hot={words[0]: 7})
+    numbers = spell.learn(words)
+    assert np.array_equal(spell.ids(numbers, most=3), spell.text(words)) and spell.text([]).tolist() == [39_998, 39_999]
+    assert [spell.words[k] for k in numbers] == words and set(spell.counts[numbers[[w == words[0] for w in words]]]) == {7} and set(spell.counts[numbers[[w != words[0] for w in words]]]) == {0}
+    few = lm.Spelling(raw, 40_000, most=5)
+    for at in range(0, len(words), 10):  # forgets again and again
+        (own,) = few.texts([words[at : at + 10]])
+        assert np.array_equal(few.ids(own), spell.text(words[at : at + 10]))
+    batch = pa.RecordBatch.from_pydict({"ids": pa.array([b"\1\0\2\0", b"", b"\3\0"], pa.binary()), "c": pa.array([5, 6, 7], pa.int64())})
+    parts = list(lm.tokenised([batch] * 3, most=4))
+    assert [x.tolist() for x in parts[0]] == [[1, 2, 3] * 2, [2, 0, 1] * 2, [5, 6, 7] * 2] and len(parts) == 2
+
+
+def test_later_windows_ask_only_where_they_score(monkeypatch):
+    rng = np.random.default_rng(7)
+    flat = lm.first_parameters() + rng.normal(0, 0.2, lm.SIZE).astype(np.float32)
+    by_class = rng.integers(0, 9, (lm.CLASSES + 2, lm.CLASSES)).astype(float)
+    prior = lm.Prior(np.log(rng.dirichlet(np.ones(lm.CLASSES), lm.CLASSES + lm.PAIRS)).astype(np.float32), lm.frequent_pairs(by_class))
+    seqs = [rng.integers(2, lm.CLASSES, n).astype(np.uint8) for n in (2, 3, lm.WINDOW, lm.WINDOW + 1, lm.WINDOW + 2, 500, 8000)]
+    want = []
+    for seq in seqs:
+        w = lm.cut(seq)
+        want.append(lm.log_probabilities(lm.views(flat), prior.odds(), prior, w[:, :-1], w[:, 1:], lm.scored_positions(len(w), len(seq))).sum(dtype=float))
+    asked, forward = [0, 0], lm.forward
+    monkeypatch.setattr(lm, "forward", lambda p, x, causal, first=0: (asked.__setitem__(0, asked[0] + len(x) * (lm.WINDOW - first)), forward(p, x, causal, first))[1])
+    monkeypatch.setattr(lm.Prior, "odds", lambda prior, odds=lm.Prior.odds: (asked.__setitem__(1, asked[1] + 1), odds(prior))[1])
+    got = lm.score_sequences(flat, prior, seqs, chunk=7, odds=prior.odds())
+    assert np.allclose(got, want, rtol=1e-5)
+    windows = sum(len(lm.cut(seq)) for seq in seqs)
+    assert asked == [len(seqs) * lm.WINDOW + (windows - len(seqs)) * lm.STRIDE, 1]
+
+
 def test_gradients_are_the_losses():
     rng = np.random.default_rng(4)
     flat = (lm.first_parameters() + rng.normal(0, 0.1, lm.SIZE)).astype(np.float64)
