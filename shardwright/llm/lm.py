@@ -29,7 +29,7 @@ import itertools
 import os
 from array import array
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -572,9 +572,8 @@ class Model:
     n_texts: int
 
 
-def train(texts: DataFrame, tokenizer: str = TOKENIZER, rounds: int = 3) -> tuple[Model, DataFrame]:
-    """The model, and the table of training words with their counts.  texts: a column text."""
-    spark = texts.sparkSession
+def count_corpus(texts: DataFrame, tokenizer: str = TOKENIZER) -> tuple[Model, DataFrame]:
+    """The model before attention is trained (it starts as the prior), and the table of training words with their counts."""
     raw = open(tokenizer, "rb").read()
     sp = pieces(raw)
     n_ids = sp.get_piece_size()
@@ -587,79 +586,121 @@ def train(texts: DataFrame, tokenizer: str = TOKENIZER, rounds: int = 3) -> tupl
     of = classes(counts, initial)
     prior, within = tables(counts, id_bigrams(words, of), of, n_texts, lambda pairs: class_trigrams(words, of, pairs))
     hot = {bytes(w): c for w, c in words.filter((F.col("c") >= HOT_SHARE * n) & (F.length("word") <= HOT_BYTES)).select("word", "c").collect()}
-    shipped = spark.sparkContext.broadcast((raw, of))
+    return Model(raw, of, within, prior, first_parameters(), hot, n, distinct, n_texts), words.select("word", "c")
 
-    def pick(batches):
-        raw, of = shipped.value
-        spell = Spelling(raw, len(of))
-        for batch in batches:
-            texts = as_bytes(batch.column(0))
-            for at in range(0, len(texts), TEXTS):
-                numbers = spell.texts([words_of(t) for t in texts[at : at + TEXTS]])
-                out = np.concatenate([training_windows(of.take(spell.ids(own))) for own in numbers])
-                offsets = np.arange(0, out.size + 1, WINDOW + 1, dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), len(out), [None, pa.py_buffer(offsets), pa.py_buffer(out)])], names=["w"])
-
-    windows = materialise(texts.select("text").mapInArrow(pick, "w binary"), "lm-windows")
-    flat = first_parameters()
-    for r in range(rounds):
-        flat = average(windows, flat, prior, 0.02 / (1 + r))
-    discard(windows)
-    return Model(raw, of, within, prior, flat, hot, n, distinct, n_texts), words.select("word", "c")
 
+READ = "uid long, doc_id long, held_out boolean, tkey binary, n_tokens long, known long, base double, ids binary, cold array<binary>, times array<int>"
 
-def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
-    """docs: doc_id, text, held_out.  Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
-    schema = "uid long, doc_id long, held_out boolean, tkey binary, n_tokens long, known long, base double, score double, cold array<binary>, times array<int>"
+
+def read_texts(docs: DataFrame, model: Model) -> DataFrame:
+    """docs: doc_id, text, held_out.  Each text is split and spelled once, for training and for scoring: its ids (16-bit numbers, with START and END), and its base score but for the words that aren't hot (cold, with their times)."""
+    shipped = docs.sparkSession.sparkContext.broadcast((model.tokenizer, len(model.of), model.hot, model.n + 0.5 * (model.distinct + 1), model.n_texts))
 
     def run(batches):
         from pyspark import TaskContext
 
-        m = shipped.value
-        spell, odds = Spelling(m.tokenizer, len(m.of), hot=m.hot), m.prior.odds()
-        whole = m.n + 0.5 * (m.distinct + 1)
-        end = float(np.log10((m.n_texts + 0.5) / whole))
+        raw, n_ids, hot, whole, n_texts = shipped.value
+        spell = Spelling(raw, n_ids, hot=hot)
+        end = float(np.log10((n_texts + 0.5) / whole))
         uid = TaskContext.get().partitionId() << 33
-        for batch in itertools.chain.from_iterable(([b.slice(at, TEXTS) for at in range(0, b.num_rows, TEXTS)] for b in batches)):
+        for batch in slices(batches):
             raw_texts, n = as_bytes(batch.column(2)), batch.num_rows
             numbers = spell.texts([words_of(t) for t in raw_texts])
-            within, sequences = [], []
-            for own in numbers:
-                ids = spell.ids(own)
-                sequences.append(m.of.take(ids))
-                within.append(float(m.within.take(sequences[-1][:-1].astype(np.int32) * len(m.of) + ids[1:]).sum(dtype=float)))
             lengths = np.array([len(own) for own in numbers])
             text, every = np.repeat(np.arange(n), lengths), np.concatenate(numbers)
             c = spell.counts.take(every)
             base = end + np.bincount(text, np.log10((c + 0.5) / whole), n)
-            known = np.bincount(text[c > 0], minlength=n) + (m.n_texts > 0)
+            known = np.bincount(text[c > 0], minlength=n) + (n_texts > 0)
             cold, times = np.unique(text[c == 0] * len(spell.words) + every[c == 0], return_counts=True)
             offsets = np.searchsorted(cold, np.arange(n + 1) * len(spell.words))
             cold = [spell.words[k] for k in (cold % len(spell.words)).tolist()]
             uids, tokens = np.arange(uid, uid + n), lengths + 1
             uid += n
-            lp = score_sequences(m.flat, m.prior, sequences, odds=odds)
             at = pa.array(offsets, pa.int32())
             yield pa.RecordBatch.from_arrays([
                 pa.array(uids, pa.int64()), batch.column(0), batch.column(1), pa.array([hashlib.md5(t).digest() for t in raw_texts], pa.binary()), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-                pa.array((lp + np.array(within)) / LOG10, pa.float64()), pa.ListArray.from_arrays(at, pa.array(cold, pa.binary())), pa.ListArray.from_arrays(at, pa.array(times, pa.int32())),
-            ], names=[x.split()[0] for x in schema.split(", ")])
+                pa.array([spell.ids(own).tobytes() for own in numbers], pa.binary()), pa.ListArray.from_arrays(at, pa.array(cold, pa.binary())), pa.ListArray.from_arrays(at, pa.array(times, pa.int32())),
+            ], names=[x.split()[0] for x in READ.split(", ")])
+
+    return materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "text").mapInArrow(run, READ), "lm-read")
+
+
+def slices(batches):
+    """TEXTS rows at a time."""
+    return itertools.chain.from_iterable((b.slice(at, TEXTS) for at in range(0, b.num_rows, TEXTS)) for b in batches)
+
+
+def spelled_texts(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(ids, np.uint16) for ids in column.to_pylist()]
+
+
+def attend(model: Model, read: DataFrame, rounds: int = 3) -> Model:
+    """The model with attention trained on every text of read (as read_texts gives them)."""
+    shipped = read.sparkSession.sparkContext.broadcast(model.of)
 
-    rows = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "text").mapInArrow(run, schema), "lm-scores")
-    pairs = rows.select("uid", F.inline(F.arrays_zip(F.col("cold").alias("word"), F.col("times").alias("tf"))).alias("word", "tf"))
+    def pick(batches):
+        of = shipped.value
+        for batch in slices(batches):
+            out = np.concatenate([training_windows(of.take(ids)) for ids in spelled_texts(batch.column(0))])
+            offsets = np.arange(0, out.size + 1, WINDOW + 1, dtype=np.int32)
+            yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), len(out), [None, pa.py_buffer(offsets), pa.py_buffer(out)])], names=["w"])
+
+    windows = materialise(read.select("ids").mapInArrow(pick, "w binary"), "lm-windows")
+    flat = model.flat
+    for r in range(rounds):
+        flat = average(windows, flat, model.prior, 0.02 / (1 + r))
+    discard(windows)
+    return replace(model, flat=flat)
+
+
+def score_read(read: DataFrame, model: Model, words: DataFrame) -> DataFrame:
+    """Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of what read_texts read, and discards that."""
+    shipped = read.sparkSession.sparkContext.broadcast(replace(model, tokenizer=b"", hot={}))
+    kept = ["uid", "doc_id", "held_out", "tkey", "n_tokens", "known", "base"]
+    schema = ", ".join([x for x in READ.split(", ") if x.split()[0] in kept] + ["score double"])
+
+    def run(batches):
+        m = shipped.value
+        odds = m.prior.odds()
+        for batch in slices(batches):
+            within, sequences = [], []
+            for ids in spelled_texts(batch.column(len(kept))):
+                sequences.append(m.of.take(ids))
+                within.append(float(m.within.take(sequences[-1][:-1].astype(np.int32) * len(m.of) + ids[1:]).sum(dtype=float)))
+            lp = score_sequences(m.flat, m.prior, sequences, odds=odds)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array((lp + np.array(within)) / LOG10, pa.float64())], names=[*kept, "score"])
+
+    rows = materialise(read.select(*kept, "ids").mapInArrow(run, schema), "lm-scores")
+    pairs = read.select("uid", F.inline(F.arrays_zip(F.col("cold").alias("word"), F.col("times").alias("tf"))).alias("word", "tf"))
     more = pairs.join(words, "word").select("uid", "tf", (F.col("tf") * F.log10((F.col("c") + 0.5) / 0.5)).alias("gain"))
     more = more.groupBy("uid").agg(F.sum("tf").alias("more"), F.sum("gain").alias("gain"))
-    found = rows.select("uid", "doc_id", "held_out", "tkey", "n_tokens", "known", "base", "score").join(more, "uid", "left").select(
+    found = rows.join(more, "uid", "left").select(
         "doc_id", "held_out", "tkey", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), (F.col("base") + F.coalesce("gain", F.lit(0.0))).alias("base"), "score",
     )
     found = materialise(found, "lm-found")
-    discard(rows)
+    discard(read, rows)
     # Sums of floats depend a little on what else is in a batch or a shuffle: copies of a text get the least of theirs.
     least = materialise(found.groupBy("tkey").agg(F.min("base").alias("base_score"), F.min("score").alias("score")), "lm-least")
     return found.drop("base", "score").join(least, "tkey").select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
+def train(texts: DataFrame, tokenizer: str = TOKENIZER, rounds: int = 3) -> tuple[Model, DataFrame]:
+    """The model, and the table of training words with their counts.  texts: a column text."""
+    model, words = count_corpus(texts, tokenizer)
+    read = read_texts(texts.select(F.lit(None).alias("doc_id"), F.lit(False).alias("held_out"), "text"), model)
+    model = attend(model, read, rounds)
+    discard(read)
+    return model, words
+
+
+def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
+    """docs: doc_id, text, held_out.  Returns what score_read does."""
+    return score_read(read_texts(docs, model), model, words)
+
+
 def score_documents(docs: DataFrame, tokenizer: str = TOKENIZER, modulus: int = 5) -> DataFrame:
+    """Trains on the documents that aren't held out and scores all; both from one reading of the texts, after that which counts."""
     docs = docs.select("doc_id", "text", held_out(F.col("doc_id"), modulus).alias("held_out"))
-    return score(docs, *train(docs.filter("not held_out"), tokenizer))
+    model, words = count_corpus(docs.filter("not held_out"), tokenizer)
+    read = read_texts(docs, model)
+    return score_read(read, attend(model, read.filter("not held_out")), words)

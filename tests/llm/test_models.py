@@ -154,6 +154,33 @@ def test_attention_learns_from_every_id_of_every_text(spark, monkeypatch):
     assert len(seen) == 3
 
 
+def test_texts_are_read_once_to_be_counted_and_once_for_training_and_scoring(spark):
+    rows = [(i, t) for i, t in lm_rows() if i != 65]
+    reads = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda t: (reads.add(1), t)[1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text", seen("text"))
+    assert lm.score_documents(docs).count() == len(rows)
+    learnt = sum(i is None or zlib.crc32(str(i).encode()) % 5 != 1 for i, _ in rows)
+    assert reads.value == learnt + len(rows) and 0 < learnt < len(rows)
+
+
+def test_what_is_read_is_the_texts_ids_in_words_that_are_cold_or_hot(spark):
+    texts = [t for _, t in lm_rows() if t is None or len(t) < 4000] * 3  # more than are spelled at a time
+    docs = spark.createDataFrame([(i, t, i % 5 == 0) for i, t in enumerate(texts)], "doc_id long, text string, held_out boolean")
+    model, _ = lm.count_corpus(docs.filter("not held_out").select("text"))
+    model.hot = dict(list(model.hot.items())[:20])
+    spell = lm.Spelling(model.tokenizer, len(model.of))
+    read = {r["doc_id"]: r for r in lm.read_texts(docs.coalesce(1), model).collect()}
+    assert sorted(read) == list(range(len(texts))) and len({r["uid"] for r in read.values()}) == len(texts)
+    for i, t in enumerate(texts):
+        r, words = read[i], lm.words_of((t or "").encode())
+        spell.learn(words)
+        assert np.frombuffer(r["ids"], np.uint16).tolist() == spell.text(words).tolist()
+        assert (r["held_out"], bytes(r["tkey"]), r["n_tokens"]) == (i % 5 == 0, hashlib.md5((t or "").encode()).digest(), len(words) + 1)
+        assert dict(zip(map(bytes, r["cold"]), r["times"], strict=True)) == Counter(w for w in words if w not in model.hot)
+        assert r["known"] == 1 + sum(w in model.hot for w in words)
+
+
 def test_every_token_is_scored_once_and_only_from_before():
     rng = np.random.default_rng(3)
     for length in (1, 2, lm.WINDOW, lm.WINDOW + 1, lm.WINDOW + 2, 200, 777):
