@@ -17,6 +17,7 @@ PLACEHOLDERS = ("", "todo", "tbd", "data", "training data", "the dataset", "data
 RELATIONS = ("supersedes", "extends", "sibling")
 #: White space as Python's strip() has it, as a class that Java's and RE2's engines share.
 SPACE = r"[\t-\r\x1C-\x20\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+NOT_SPACE = SPACE.replace("[", "[^", 1)
 _ABBREVIATED = "|".join(m[:3] for m in MONTHS)
 #: Word rules in the order in which they are applied: (problem, pattern of an offending word).
 WORD_RULES = (

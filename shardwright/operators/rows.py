@@ -13,14 +13,29 @@ REPORTED = 100
 
 def text_problems(rows: DataFrame, least: int = 1, cap: int = REPORTED) -> DataFrame:
     """rows: path, row_idx, text (null: missing).  path, row_idx, code: at most cap a path, then one row text-row-violations-truncated."""
-    code = F.when(F.col("text").isNull(), "missing-text-field").when(F.char_length(names.strip(F.col("text"))) < least, "text-field-empty")
-    found = rows.select("path", "row_idx", code.alias("code")).filter("code is not null")
+    return coded_problems(rows.select("path", "row_idx", text_code(least).alias("code")), cap)
+
+
+def text_code(least: int = 1) -> Column:
+    text = F.col("text")
+    short = ~text.rlike(names.NOT_SPACE) if least == 1 else F.char_length(names.strip(text)) < least  # the first is found without reading on
+    return F.when(text.isNull(), "missing-text-field").when(short, "text-field-empty")
+
+
+def coded_problems(rows: DataFrame, cap: int = REPORTED) -> DataFrame:
+    """As text_problems, of rows judged by text_code: path, row_idx, code (null: no problem)."""
+    found = rows.select("path", "row_idx", "code").filter("code is not null")
     return first_rows(found, "path", "row_idx", cap, "text-row-violations-truncated")
 
 
 def top_fraction(rows: DataFrame, limit: float) -> DataFrame:
     """path, rows, top: shards of several rows where one text makes up more than limit of them.  Exact, by two combined aggregations."""
-    per = rows.groupBy("path", keys.text_fingerprint(F.col("text")).alias("k")).agg(F.count("*").alias("n"))
+    return keyed_fraction(rows.select("path", keys.text_fingerprint(F.col("text")).alias("k")), limit)
+
+
+def keyed_fraction(rows: DataFrame, limit: float) -> DataFrame:
+    """As top_fraction, of rows with fingerprints: path, k."""
+    per = rows.groupBy("path", "k").agg(F.count("*").alias("n"))
     found = per.groupBy("path").agg(F.sum("n").alias("rows"), F.max(F.when(F.col("k").isNotNull(), F.col("n"))).alias("top"))
     return found.filter((F.col("rows") > 1) & (F.col("top") / F.col("rows") > limit)).select("path", "rows", "top")
 

@@ -30,6 +30,7 @@ class Group:
     entries: DataFrame
     defaults: dict = field(default_factory=dict)
     tokenizer: dict = field(default_factory=dict)
+    held: list[DataFrame] = field(default_factory=list)
 
     @property
     def name(self) -> str:
@@ -47,6 +48,16 @@ class Group:
         """df, whose paths are below the group, with paths below the dataset; the manifest is no payload."""
         return df.filter("path <> 'manifest.json'").withColumn("path", F.concat(F.lit(f"{self.name}/"), "path"))
 
+    def hold(self, df: DataFrame) -> DataFrame:
+        """df, computed once for all its readers, until release()."""
+        self.held.append(df.cache())
+        df.count()  # readers that begin together would each compute what isn't there yet
+        return df
+
+    def release(self) -> None:
+        while self.held:
+            self.held.pop().unpersist()
+
     def none(self) -> DataFrame:
         return self.spark.createDataFrame([], CODES)
 
@@ -108,13 +119,17 @@ def text_rows(g: Group) -> DataFrame:
     out = [g.one(c) for c in wrong]
     if any(c.startswith("invalid") for c in wrong):
         return manifest.union(out)
-    found = g.payload(files.json_rows(g.spark, g.root, name)).withColumn("row_idx", F.monotonically_increasing_id())
-    read = found.filter("error is null")
-    types = manifest.first_rows(read.filter("has_text and not is_text").select("path", "row_idx", F.lit("text-field-type").alias("code")), "path", "row_idx", rows.REPORTED, "text-row-violations-truncated")
-    top = rows.top_fraction(read, float(limit))
+    found = g.payload(files.json_rows(g.spark, g.root, name, columns=("path", "text", "has_text", "is_text", "error")))
+    # Lines are read and parsed once; every finding comes from these few bytes a row.
+    code = F.when(F.col("has_text") & ~F.col("is_text"), "text-field-type").otherwise(rows.text_code(int(least)))
+    found = g.hold(found.select("path", F.monotonically_increasing_id().alias("row_idx"), F.col("error").isNotNull().alias("failed"), F.when(F.col("error").isNull(), code).alias("code"), F.unhex(keys.text_fingerprint(F.col("text"))).alias("k")))
+    read = found.filter("not failed")
+    typed = F.coalesce(F.col("code") == "text-field-type", F.lit(False))
+    types = rows.coded_problems(read.filter(typed))
+    top = rows.keyed_fraction(read, float(limit))
     counts = rows.row_counts(read, g.entries)
     out += [
-        manifest.violation("row-read-failed", found.filter("error is not null").select("path").distinct(), F.lit(True)), rows.text_problems(read.filter("is_text or not has_text"), int(least)).select("code", "path"), types.select("code", "path"),
+        manifest.violation("row-read-failed", found.filter("failed").select("path").distinct(), F.lit(True)), rows.coded_problems(read.filter(~typed)).select("code", "path"), types.select("code", "path"),
         manifest.violation("text-all-identical", top, F.lit(True)), counts.select("code", "path"), read.agg(F.count("*").alias("n")).filter("n = 0").select(F.lit("empty-group").alias("code"), F.lit(None).cast("string").alias("path")),
     ]
     return manifest.union(out)

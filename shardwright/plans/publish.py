@@ -50,7 +50,7 @@ def describe(spark: SparkSession, root: str, defaults: dict | None = None) -> Da
     listing = files.objects(spark, root).filter(F.lower("path").rlike(r"\.jsonl(\.gz)?$"))
     counted = None
     if not listing.isEmpty():
-        good = files.json_rows(spark, root).filter(F.lower("path").rlike(r"\.jsonl(\.gz)?$"))
+        good = files.json_rows(spark, root, columns=("path", "error")).filter(F.lower("path").rlike(r"\.jsonl(\.gz)?$"))
         counted = good.groupBy("path").agg(F.count_if(F.col("error").isNotNull()).alias("bad"), F.count("*").alias("n")).select("path", F.when(F.col("bad") == 0, F.col("n")).alias("rows"))
     found = found.join(counted, "path", "left") if counted is not None else found.withColumn("rows", F.lit(None).cast("long"))
     raw = (F.col("container") == "raw") & paths.width(F.col("dtype")).isNotNull()

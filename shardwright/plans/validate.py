@@ -65,6 +65,8 @@ def _safely(check, group: profiles.Group) -> list[tuple]:
         return reported(check(group).select("code", "path"), group.name)
     except (PySparkException, ArithmeticError, KeyError, TypeError, ValueError, OSError) as e:
         return [("profile-check-error", None, f"{group.name}: {check.__name__}: {str(e)[:200]}")]
+    finally:
+        group.release()
 
 
 # What a problem with a parent is called besides where the parent is the tokenizer.

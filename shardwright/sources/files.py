@@ -15,6 +15,7 @@ import json
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,8 +69,12 @@ def lines(spark: SparkSession, root: str, only_newlines: bool = True) -> DataFra
     return reader.text(root).select(relative(F.col("_metadata.file_path"), root).alias("path"), F.col("value").alias("line"), F.col("_metadata.file_block_start").alias("_at"))
 
 
-def json_rows(spark: SparkSession, root: str, field: str = "text", only_newlines: bool = True, strict: bool = True) -> DataFrame:
-    """path, row (as canonical JSON), text, has_text, is_text, error.
+#: What json_rows gives.
+ROW_COLUMNS = {"path": "string", "row": "string", "text": "string", "has_text": "boolean", "is_text": "boolean", "error": "string"}
+
+
+def json_rows(spark: SparkSession, root: str, field: str = "text", only_newlines: bool = True, strict: bool = True, columns: tuple[str, ...] = tuple(ROW_COLUMNS)) -> DataFrame:
+    """path, row (as canonical JSON), text, has_text, is_text, error: those asked for, as what isn't read needn't be spelled and passed on.
 
     Blank lines are left out.  A line that isn't a JSON object is an error, or with strict off an object
     whose _value it is.  Duplicate keys keep their last value, NaN is allowed: Python's json decides.
@@ -77,12 +82,12 @@ def json_rows(spark: SparkSession, root: str, field: str = "text", only_newlines
 
     def parse(batches):
         for batch in batches:
-            out = []
-            for path, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            out = {c: [] for c in columns}
+            for path, line, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), pc.binary_length(batch.column(1)).to_pylist(), strict=True):
                 if not line.strip():
                     continue
                 row, error = None, None
-                if len(line.encode()) > RECORD_BYTES:
+                if size > RECORD_BYTES:
                     error = "record too long"
                 else:
                     try:
@@ -92,11 +97,23 @@ def json_rows(spark: SparkSession, root: str, field: str = "text", only_newlines
                 if error is None and not isinstance(row, dict):
                     row, error = ({"_value": row}, None) if not strict else (None, "not an object")
                 value = row.get(field) if row else None
-                out.append({"path": path, "row": None if row is None else json.dumps(row, sort_keys=True, separators=(",", ":"), ensure_ascii=False), "text": value if isinstance(value, str) else None, "has_text": bool(row) and value is not None, "is_text": isinstance(value, str), "error": error})
-            yield pa.RecordBatch.from_pylist(out, schema=schema)
-
-    schema = pa.schema([("path", pa.string()), ("row", pa.string()), ("text", pa.string()), ("has_text", pa.bool_()), ("is_text", pa.bool_()), ("error", pa.string())])
-    return lines(spark, root, only_newlines).select("path", "line").mapInArrow(parse, "path string, row string, text string, has_text boolean, is_text boolean, error string")
+                for column, put in out.items():
+                    if column == "path":
+                        put.append(path)
+                    elif column == "row":
+                        put.append(None if row is None else json.dumps(row, sort_keys=True, separators=(",", ":"), ensure_ascii=False))
+                    elif column == "text":
+                        put.append(value if isinstance(value, str) else None)
+                    elif column == "has_text":
+                        put.append(value is not None)
+                    elif column == "is_text":
+                        put.append(isinstance(value, str))
+                    else:
+                        put.append(error)
+            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
+
+    schema = pa.schema([(c, pa.bool_() if ROW_COLUMNS[c] == "boolean" else pa.string()) for c in columns])
+    return lines(spark, root, only_newlines).select("path", "line").mapInArrow(parse, ", ".join(f"{c} {ROW_COLUMNS[c]}" for c in columns))
 
 
 def csv_rows(spark: SparkSession, root: str, status: str, metric: str) -> DataFrame:

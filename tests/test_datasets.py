@@ -439,3 +439,31 @@ print(spark.read.parquet(one + "/t").count())
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     found = subprocess.run([sys.executable, "-c", code], cwd=root, env=os.environ | {"SPARK_CONF_DIR": str(tmp_path)}, capture_output=True, text=True, timeout=300)
     assert found.stdout.strip() == "3", found.stderr[-2000:]
+
+
+def test_texts_are_parsed_once_for_all_their_checks(spark, stores, tmp_path, monkeypatch):
+    import uuid
+
+    lines, seen = files.lines, tmp_path / "seen"
+    seen.mkdir()
+
+    def watched(*given, **named):
+        found = lines(*given, **named)
+
+        def pass_on(batches):
+            (seen / uuid.uuid4().hex).touch()
+            yield from batches
+
+        return found.mapInArrow(pass_on, found.schema)
+
+    write(tmp_path / "parsed/text/train-00000.jsonl", jsonl({"text": "a"}, {"text": 7}, {"text": ""}, {}, {"text": "b"}))
+    store = Store(spark, f"file://{tmp_path}/parsed")
+    entries = spark.createDataFrame([("text/train-00000.jsonl", 5)], "path string, count_value long")
+    group = profiles.Group(spark, store, "x", "y", {"name": "text", "record_schema": {"text": "string"}}, entries)
+    monkeypatch.setattr(profiles.Group, "root", property(lambda self: f"file://{tmp_path}/parsed/text"))
+    monkeypatch.setattr(files, "lines", watched)
+    found = sorted(r["code"] for r in profiles.text_rows(group).collect())
+    assert found == ["missing-text-field", "text-field-empty", "text-field-type"]
+    assert len(list(seen.iterdir())) == 1
+    group.release()
+    assert not group.held
