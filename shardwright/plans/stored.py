@@ -93,7 +93,7 @@ def line_files(spark: SparkSession, sf_dir: str, name: str) -> str:
 @query(f"WITH {R.DOCUMENT_ROWS}, k AS (SELECT path, text, row_idx % 10 AS d FROM rows_) SELECT path, count(*) FILTER (WHERE d NOT IN (3, 4, 7)) AS good, count(*) FILTER (WHERE d IN (3, 4)) AS bad, count(text) FILTER (WHERE d NOT IN (3, 4, 5, 7)) AS with_text, CAST(coalesce(sum(length(text)) FILTER (WHERE d NOT BETWEEN 3 AND 7), 0) AS BIGINT) AS chars, count(DISTINCT text) FILTER (WHERE d NOT BETWEEN 3 AND 7) AS texts FROM k GROUP BY path HAVING count(*) FILTER (WHERE d <> 7) > 0")
 def json_lines(spark, sf_dir):
     """Rows by shard: readable, faulty, with a text; blank lines are no rows."""
-    found = files.json_rows(spark, line_files(spark, sf_dir, "lines"))
+    found = files.json_rows(spark, line_files(spark, sf_dir, "lines"), columns=("path", "text", "has_text", "error"))
     out = found.groupBy("path").agg(
         F.count_if(F.col("error").isNull()).alias("good"), F.count_if(F.col("error").isNotNull()).alias("bad"), F.count_if("has_text").alias("with_text"),
         F.coalesce(F.sum(F.char_length("text")), F.lit(0)).alias("chars"), F.count_distinct("text").alias("texts"),

@@ -64,6 +64,7 @@ def digests(spark: SparkSession, root: str, wanted: DataFrame | None = None) ->
 
 def lines(spark: SparkSession, root: str, only_newlines: bool = True) -> DataFrame:
     """path, line: lines that end with \\n alone, or with any of \\r, \\n and \\r\\n."""
+    ranges.bound_batches(spark)
     reader = spark.read.option("recursiveFileLookup", True)
     reader = reader.option("lineSep", "\n") if only_newlines else reader
     return reader.text(root).select(relative(F.col("_metadata.file_path"), root).alias("path"), F.col("value").alias("line"), F.col("_metadata.file_block_start").alias("_at"))
@@ -168,6 +169,7 @@ def _decoder(dtype: str, order: str, chunk: int):
 
 def token_ids(spark: SparkSession, root: str, dtype: str = "uint32", order: str = "little", header: int = 0, most_bytes: int | None = None) -> DataFrame:
     """path, pos, id of raw integer shards; files above most_bytes are left out before they are read."""
+    ranges.bound_batches(spark)
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     if most_bytes is not None:
         found = found.filter(F.col("length") <= most_bytes)

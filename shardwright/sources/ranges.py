@@ -6,6 +6,7 @@ other store that only Spark's readers reach, contents come through Spark's binar
 
 from __future__ import annotations
 
+import contextlib
 import io
 
 import pyarrow as pa
@@ -16,6 +17,13 @@ from pyspark.sql import functions as F
 SCHEMES = {"": "", "file": "", "s3": "s3://", "s3a": "s3://", "hdfs": "hdfs://", "gs": "gs://"}
 #: Bytes of a stream in memory at a time.
 CHUNK = 8 << 20
+#: Arrow batches between the JVM and Python workers hold at most this many bytes, or one row.
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """From now on; batches of rows alone grow with the rows' length."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def split_scheme(uri: str) -> tuple[str, str]:
@@ -52,6 +60,7 @@ def chunks(file: pa.NativeFile):
 
 def listed(spark: SparkSession, root: str) -> DataFrame:
     """uri, length and content of every file below root; content is null where tasks open files themselves."""
+    bound_batches(spark)
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     return found.select(F.col("path").alias("uri"), "length", F.lit(None).cast("binary").alias("content") if direct(root) else F.col("content"))
 

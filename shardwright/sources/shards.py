@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import itertools
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +25,21 @@ def line(text: Column) -> Column:
     return F.encode(F.concat(text, F.lit("\n")), "UTF-8")
 
 
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[str, pa.Buffer]]:
+    """path and the bytes of its parts, for each run of rows with a path; the bytes stay where Arrow has them, end to end."""
+    paths, parts = batch.column(0), batch.column(1).cast(pa.large_binary())
+    if parts.null_count:
+        raise ValueError("a part is null")
+    if not len(parts):
+        return
+    _, offsets, data = parts.buffers()
+    at = np.frombuffer(offsets, np.int64)[parts.offset : parts.offset + len(parts) + 1]
+    changes = pc.not_equal(paths.slice(1), paths.slice(0, len(paths) - 1)).fill_null(True)
+    starts = [0, *(np.flatnonzero(changes.to_numpy(zero_copy_only=False)) + 1).tolist()]
+    for first, end in itertools.pairwise([*starts, len(parts)]):
+        yield paths[first].as_py(), data.slice(at[first], at[end] - at[first]) if data is not None else pa.py_buffer(b"")
+
+
 def write(parts: DataFrame, root: str) -> None:
     """Writes one file a path below root.  parts: path, pos, part (binary), appended by pos.
 
@@ -32,8 +50,7 @@ def write(parts: DataFrame, root: str) -> None:
         raise ValueError(f"{root} can't be written by tasks")
 
     def run(batches):
-        rows = itertools.chain.from_iterable(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for b in batches)
-        for path, own in itertools.groupby(rows, key=lambda r: r[0]):
+        for path, own in itertools.groupby(itertools.chain.from_iterable(map(_runs, batches)), key=lambda r: r[0]):
             system, at = ranges.located(f"{root}/{path}")
             folder = at.rpartition("/")[0]
             system.create_dir(folder, recursive=True)
@@ -44,5 +61,6 @@ def write(parts: DataFrame, root: str) -> None:
             system.move(hidden, at)
             yield pa.RecordBatch.from_pydict({"path": [path]})
 
+    ranges.bound_batches(parts.sparkSession)
     ordered = parts.select("path", "pos", "part").repartition("path").sortWithinPartitions("path", "pos")
     ordered.select("path", "part").mapInArrow(run, "path string").write.format("noop").mode("overwrite").save()

@@ -467,3 +467,33 @@ def test_texts_are_parsed_once_for_all_their_checks(spark, stores, tmp_path, mon
     assert len(list(seen.iterdir())) == 1
     group.release()
     assert not group.held
+
+
+def test_batches_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+    from shardwright.sources import ranges
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    frame = type(spark.range(1))
+    measured, original = [], frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, *a, **k: (measured.append(original(self, sizes, "n long")), original(self, *a, **k))[1])
+    rows = spark.range(0, 3000, 1, 1).select(F.lit("x.jsonl").alias("path"), F.col("id").alias("pos"), shards.line(F.concat(F.lit('{"text":"'), F.repeat(F.lit("a"), 10_000), F.lit('"}'))).alias("part"))
+    shards.write(rows, f"file://{tmp_path}/s")
+    assert files.json_rows(spark, f"file://{tmp_path}/s").filter("char_length(text) = 10000").count() == 3000
+    assert len(measured) == 2
+    for frame_ in measured:
+        assert max(r["n"] for r in frame_.collect()) < 1.2 * ranges.BATCH_BYTES
+
+
+def test_runs_of_parts_are_written_as_they_lie():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"path": ["z", "a", "a", "b", "b", "c"], "part": [b"zz", b"", b"x" * 3, b"yy", b"y", b""]})
+    assert [(p, bytes(x)) for p, x in shards._runs(batch.slice(1))] == [("a", b"xxx"), ("b", b"yyy"), ("c", b"")]
+    assert list(shards._runs(batch.slice(0, 0))) == []
+    with pytest.raises(ValueError):
+        list(shards._runs(pa.RecordBatch.from_pydict({"path": ["a"], "part": pa.array([None], pa.binary())})))
