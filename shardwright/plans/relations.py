@@ -50,6 +50,16 @@ entries AS (
 )
 
 
+#: What a supplier's tokens are in order of.
+TOKEN_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+
+
+def token_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as token shards by supplier, unnumbered: path, place (sorts as the tokens do), id; returned items are the id 0."""
+    items = table(spark, sf_dir, "lineitem")
+    return items.select(F.concat(F.lit("tokens/"), F.col("l_suppkey").cast("string")).alias("path"), F.struct(*TOKEN_ORDER).alias("place"), F.when(F.col("l_returnflag") == "N", 0).otherwise(F.col("l_partkey")).cast("long").alias("id"))
+
+
 def token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as token shards by supplier: returned items are the id 0."""
     from pyspark.sql import Window as W

@@ -23,7 +23,7 @@ _LITTLE_ENDIAN = "string_agg(printf('%02x%02x%02x%02x', id & 255, (id >> 8) & 25
 def token_files(spark: SparkSession, sf_dir: str, name: str) -> str:
     """The uri of a folder with a shard for each supplier."""
     root = scratch(spark, name)
-    shards.write(R.token_rows(spark, sf_dir).select(F.concat("path", F.lit(SHARD)).alias("path"), "pos", shards.little_endian(F.col("id")).alias("part")), root)
+    shards.write(R.token_items(spark, sf_dir).select(F.concat("path", F.lit(SHARD)).alias("path"), F.col("place").alias("pos"), shards.little_endian(F.col("id")).alias("part")), root)
     return root
 
 

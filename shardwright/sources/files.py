@@ -34,8 +34,7 @@ def relative(path: Column, root: str) -> Column:
 
 
 def _binary(spark: SparkSession, root: str) -> DataFrame:
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    return found.withColumn("path", relative(F.col("path"), root))
+    return ranges.stored(spark, root).withColumn("path", relative(F.col("path"), root))
 
 
 def objects(spark: SparkSession, root: str) -> DataFrame:
@@ -67,7 +66,9 @@ def lines(spark: SparkSession, root: str, only_newlines: bool = True) -> DataFra
     ranges.bound_batches(spark)
     reader = spark.read.option("recursiveFileLookup", True)
     reader = reader.option("lineSep", "\n") if only_newlines else reader
-    return reader.text(root).select(relative(F.col("_metadata.file_path"), root).alias("path"), F.col("value").alias("line"), F.col("_metadata.file_block_start").alias("_at"))
+    with ranges.few_listers(spark):
+        found = reader.text(root)
+    return found.select(relative(F.col("_metadata.file_path"), root).alias("path"), F.col("value").alias("line"), F.col("_metadata.file_block_start").alias("_at"))
 
 
 #: What json_rows gives.
@@ -153,28 +154,46 @@ def eval_rows(spark: SparkSession, root: str, status: str = "status", metric: st
 
 
 def _decoder(dtype: str, order: str, chunk: int):
+    """From (path, first position, bytes) to batches of about chunk ids; those of small shards go together."""
     kind = {"little": "<", "big": ">"}.get(order, "=") + _NUMPY[dtype]
     width = paths.WIDTHS[dtype]
 
-    def decode(batches):
-        for batch in batches:
-            for path, base, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                ids = np.frombuffer(raw[: len(raw) // width * width], kind)
-                for at in range(0, len(ids), chunk):
-                    part = ids[at : at + chunk].astype(np.int64 if ids.dtype.kind in "iu" else np.float64)
-                    yield pa.RecordBatch.from_pydict({"path": pa.array([path] * len(part), pa.string()), "pos": pa.array(np.arange(base + at, base + at + len(part)), pa.int64()), "id": pa.array(part.astype(np.int64), pa.int64())})
+    def joined(held):
+        sizes = [len(part) for _, _, part in held]
+        owner = np.repeat(np.arange(len(held)), sizes)
+        pos = np.concatenate([np.arange(first, first + len(part)) for _, first, part in held])
+        return pa.RecordBatch.from_arrays([pa.array([path for path, _, _ in held], pa.string()).take(pa.array(owner)), pa.array(pos, pa.int64()), pa.array(np.concatenate([part for _, _, part in held]), pa.int64())], names=["path", "pos", "id"])
+
+    def decode(shards):
+        held, size = [], 0
+        for path, base, raw in shards:
+            ids = np.frombuffer(raw[: len(raw) // width * width], kind)
+            for at in range(0, len(ids), chunk):
+                part = ids[at : at + chunk].astype(np.int64 if ids.dtype.kind in "iu" else np.float64).astype(np.int64)
+                held.append((path, base + at, part))
+                size += len(part)
+                if size >= chunk:
+                    yield joined(held)
+                    held, size = [], 0
+        if held:
+            yield joined(held)
 
     return decode
 
 
+def _rows(batches):
+    for batch in batches:
+        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+
 def token_ids(spark: SparkSession, root: str, dtype: str = "uint32", order: str = "little", header: int = 0, most_bytes: int | None = None) -> DataFrame:
     """path, pos, id of raw integer shards; files above most_bytes are left out before they are read."""
-    ranges.bound_batches(spark)
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    found = ranges.stored(spark, root)
     if most_bytes is not None:
         found = found.filter(F.col("length") <= most_bytes)
+    decode = _decoder(dtype, order, 65_536)
     content = F.expr(f"substring(content, {header + 1}, 2147483647)") if header else F.col("content")
-    return found.select(relative(F.col("path"), root).alias("path"), F.lit(0).cast("long").alias("base"), content.alias("raw")).mapInArrow(_decoder(dtype, order, 65_536), "path string, pos long, id long")
+    return found.select(relative(F.col("path"), root).alias("path"), F.lit(0).cast("long").alias("base"), content.alias("raw")).mapInArrow(lambda batches: decode(_rows(batches)), "path string, pos long, id long")
 
 
 def sampled_ids(spark: SparkSession, root: str, seed: Column, window: int = 16_384, n: int = 4, dtype: str = "uint32", order: str = "little") -> DataFrame:
@@ -186,11 +205,10 @@ def sampled_ids(spark: SparkSession, root: str, seed: Column, window: int = 16_3
     offsets = sample_offsets(F.col("length"), window, n, shard_seed(seed, F.col("path")), align=width)
 
     def read(batches):
-        for batch in batches:
-            for path, uri, content, places in zip(*(batch.column(c).to_pylist() for c in ("path", "uri", "content", "places")), strict=True):
-                with ranges.opened(uri, content) as file:
-                    raw = [file.read_at(window, at) for at in places]
-                yield pa.RecordBatch.from_arrays([pa.array([path] * len(raw), pa.string()), pa.array([at // width for at in places], pa.int64()), pa.array(raw, pa.binary())], names=["path", "base", "raw"])
+        for path, uri, content, places in _rows(batches):
+            with ranges.opened(uri, content) as file:
+                for at in places:
+                    yield path, at // width, file.read_at(window, at)
 
     decode = _decoder(dtype, order, 65_536)
     return found.select("path", "uri", "content", offsets.alias("places")).mapInArrow(lambda batches: decode(read(batches)), "path string, pos long, id long")

@@ -58,10 +58,33 @@ def chunks(file: pa.NativeFile):
         yield part
 
 
+#: Tasks a core, at most, that list folders or read files: each of them takes many where there are many.
+TASKS = 8
+
+
+@contextlib.contextmanager
+def few_listers(spark: SparkSession):
+    """Within, Spark lists folders in TASKS tasks a core; else each folder has a task of its own, up to 10,000."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), TASKS * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def stored(spark: SparkSession, root: str) -> DataFrame:
+    """Spark's binary source of every file below root."""
+    bound_batches(spark)
+    with few_listers(spark):
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    return found.coalesce(TASKS * spark.sparkContext.defaultParallelism)  # Spark has a task for each 32 files
+
+
 def listed(spark: SparkSession, root: str) -> DataFrame:
     """uri, length and content of every file below root; content is null where tasks open files themselves."""
-    bound_batches(spark)
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    found = stored(spark, root)
     return found.select(F.col("path").alias("uri"), "length", F.lit(None).cast("binary").alias("content") if direct(root) else F.col("content"))
 
 

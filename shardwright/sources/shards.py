@@ -17,8 +17,10 @@ from . import ranges
 
 def little_endian(number: Column) -> Column:
     """The four bytes of a number from 0 to 2**32 - 1."""
-    digits = F.lpad(F.hex(number), 8, "0")
-    return F.unhex(F.concat(*[F.substring(digits, at, 2) for at in (7, 5, 3, 1)]))
+    n = number.cast("long")
+    byte = lambda at: F.shiftright(n, at).bitwiseAND(255)
+    turned = F.shiftleft(byte(0), 24).bitwiseOR(F.shiftleft(byte(8), 16)).bitwiseOR(F.shiftleft(byte(16), 8)).bitwiseOR(byte(24))
+    return F.unhex(F.lpad(F.hex(turned), 8, "0"))
 
 
 def line(text: Column) -> Column:
@@ -41,7 +43,7 @@ def _runs(batch: pa.RecordBatch) -> Iterator[tuple[str, pa.Buffer]]:
 
 
 def write(parts: DataFrame, root: str) -> None:
-    """Writes one file a path below root.  parts: path, pos, part (binary), appended by pos.
+    """Writes one file a path below root.  parts: path, pos (of any type that sorts), part (binary), appended by pos.
 
     A task sorts its paths' parts (on disk where they are many) and streams them out; a file gets its
     name when it is whole, so a task may be run again.  root is of a store that `ranges` opens.
@@ -59,8 +61,8 @@ def write(parts: DataFrame, root: str) -> None:
                 for _, part in own:
                     out.write(part)
             system.move(hidden, at)
-            yield pa.RecordBatch.from_pydict({"path": [path]})
+        yield pa.RecordBatch.from_pydict({"path": pa.array([], pa.string())})
 
     ranges.bound_batches(parts.sparkSession)
-    ordered = parts.select("path", "pos", "part").repartition("path").sortWithinPartitions("path", "pos")
+    ordered = parts.select("path", "pos", "part").repartition("path").sortWithinPartitions(F.xxhash64("path"), "path", "pos")  # paths that begin alike are told apart by their hash, at less cost
     ordered.select("path", "part").mapInArrow(run, "path string").write.format("noop").mode("overwrite").save()

@@ -497,3 +497,27 @@ def test_runs_of_parts_are_written_as_they_lie():
     assert list(shards._runs(batch.slice(0, 0))) == []
     with pytest.raises(ValueError):
         list(shards._runs(pa.RecordBatch.from_pydict({"path": ["a"], "part": pa.array([None], pa.binary())})))
+
+
+def test_many_small_shards_take_few_tasks_and_batches(spark, tmp_path):
+    from shardwright.sources import ranges
+
+    for i in range(70):
+        (tmp_path / f"t/{i}").mkdir(parents=True)
+        (tmp_path / f"t/{i}/a.bin").write_bytes(np.arange(i, dtype="<u4").tobytes())
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    context.setJobGroup("many", "many")
+    try:
+        found = files.token_ids(spark, f"file://{tmp_path}/t")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tasks = sum(tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("many") for s in tracker.getJobInfo(j).stageIds)
+    assert 0 < tasks <= ranges.TASKS * context.defaultParallelism
+    assert sorted((r["path"], r["id"]) for r in found.collect()) == sorted((f"{i}/a.bin", n) for i in range(70) for n in range(i))
+
+    small = [(f"p{i}", 5, np.arange(10, dtype="<u4").tobytes()) for i in range(100)]
+    large = [("large", 0, np.arange(150_000, dtype="<u4").tobytes())]
+    batches = list(files._decoder("uint32", "little", 65_536)(iter(small + large)))
+    assert len(batches) == 3 and max(b.num_rows for b in batches) <= 2 * 65_536
+    rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    assert rows == [(f"p{i}", 5 + n, n) for i in range(100) for n in range(10)] + [("large", n, n) for n in range(150_000)]
