@@ -521,3 +521,23 @@ def test_many_small_shards_take_few_tasks_and_batches(spark, tmp_path):
     assert len(batches) == 3 and max(b.num_rows for b in batches) <= 2 * 65_536
     rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
     assert rows == [(f"p{i}", 5 + n, n) for i in range(100) for n in range(10)] + [("large", n, n) for n in range(150_000)]
+
+
+def test_contents_that_spark_reads_come_in_bounded_batches(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+    from shardwright.sources import ranges
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    for i in range(24):
+        (tmp_path / f"{i}.bin").write_bytes(bytes([i]) * (1 << 20))
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    monkeypatch.setattr(ranges, "direct", lambda uri: False)
+    frame = type(spark.range(1))
+    measured, original = [], frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, *a, **k: (measured.append(original(self.coalesce(1), sizes, "n long")), original(self, *a, **k))[1])
+    found = {r["path"]: r["sha256"] for r in files.digests(spark, f"file://{tmp_path}").collect()}
+    assert found == {f"{i}.bin": hashlib.sha256(bytes([i]) * (1 << 20)).hexdigest() for i in range(24)}
+    assert max(r["n"] for r in measured[0].collect()) < 1.2 * ranges.BATCH_BYTES
